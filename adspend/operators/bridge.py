@@ -35,3 +35,17 @@ def account_bridge(accounts: DataFrame, projects: DataFrame, entities: DataFrame
     a = accounts.select(F.col(account_key).alias("account_id"), "project_id")
     return a.join(project_bridge(projects, entities, customers), "project_id").select(
         "account_id", *BRIDGE_COLUMNS)
+
+
+def unified_bridge(bridges: dict[str, DataFrame], *, key: str = "_k", tag: str = "_src") -> DataFrame:
+    """One bridge for many key spaces: ``{tag: bridge}`` with the bridge's own
+    key in its first column, stacked as ``(tag, key, project_id, entity_id,
+    customer_id, platform_id)``.  Facts of all key spaces then join it once on
+    ``(tag, key)``."""
+    parts = []
+    for name, b in bridges.items():
+        parts.append(b.select(F.lit(name).alias(tag), F.col(b.columns[0]).alias(key), *BRIDGE_COLUMNS))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

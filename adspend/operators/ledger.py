@@ -4,13 +4,15 @@ One generic operator covers every ledger query of the reference: they differ
 only in table, filter, unit, grain and name.  The plan is always
 
     fact --filter--> partial+final aggregate on (fact key, day, by...)
+         --> long rows (key, day, by..., metric, amount)
          --join--> bridge (account or project -> entity, customer, platform)
-         --> one long row per measure: (keep..., stat_date, by..., metric, amount)
 
 Pre-aggregating on the fact's own key before the join means the shuffle for
-the join carries at most one row per key and day, so a hot account (a third of
-all rows) is collapsed map-side instead of landing in one join task.  Several
-measures over one table share a single scan (conditional sums).
+the join carries at most one row per key, day and measure, so a hot account
+(a third of all rows) is collapsed map-side instead of landing in one join
+task.  Several measures over one table share a single scan (conditional
+sums), and the pre-aggregates of many tables share one bridge join
+(``ledger_long_many``).
 """
 
 from __future__ import annotations
@@ -36,16 +38,15 @@ class Measure:
     platform: int | None = None
 
 
-def ledger_long(fact: DataFrame, bridge: DataFrame, *, key: str, day: Column,
-                measures: list[Measure], by: tuple[str, ...] = (),
-                keep: tuple[str, ...] = ("customer_id",),
-                bridge_key: str | None = None) -> DataFrame:
-    """Long form ``(keep..., stat_date, by..., metric, amount)``.
+def preaggregate(fact: DataFrame, *, key: str, day: Column, measures: list[Measure],
+                 by: tuple[str, ...] = (), tag: str | None = None) -> DataFrame:
+    """``(_src, _k, stat_date, by..., metric, amount, _platform)``: one row per
+    fact key, day and measure that had rows passing its filter.
 
-    A row exists for a measure only where at least one fact row passed its
-    filter (so an all-NULL amount gives 0, not a missing row: ``IFNULL(SUM(x), 0)``).
+    Rows are filtered by the union of the measure filters first (pushed to
+    the scan), then summed per key and day with one conditional sum per
+    measure (partial aggregation map-side).
     """
-    bridge_key = bridge_key or key
     conds = [m.where for m in measures]
     pre = fact
     if all(c is not None for c in conds):
@@ -56,22 +57,39 @@ def ledger_long(fact: DataFrame, bridge: DataFrame, *, key: str, day: Column,
         aggs.append(F.sum(F.when(cond, m.amount)).cast(AMOUNT).alias(f"_s{i}"))
         aggs.append(F.count(F.when(cond, F.lit(1))).alias(f"_n{i}"))
     pre = pre.groupBy(F.col(key).alias("_k"), day.alias("stat_date"), *by).agg(*aggs)
-
+    entries = [F.struct(F.lit(m.name).alias("metric"),
+                        F.coalesce(F.col(f"_s{i}"), F.lit(0).cast(AMOUNT)).alias("amount"),
+                        F.lit(m.platform).cast("int").alias("_platform"),
+                        (F.col(f"_n{i}") > 0).alias("_ok"))
+               for i, m in enumerate(measures)]
+    return (pre.select(F.lit(tag or key).alias("_src"), "_k", "stat_date", *by, F.inline(F.array(*entries)))
+            .filter("_ok").drop("_ok"))
+
+
+def attach_bridge(pre: DataFrame, bridge: DataFrame, *, keep: tuple[str, ...] = ("customer_id",),
+                  by: tuple[str, ...] = ()) -> DataFrame:
+    """Join pre-aggregated long rows to a (unified) bridge on ``(_src, _k)``
+    and keep measures whose platform condition holds."""
     need = list(dict.fromkeys([*keep, "platform_id"]))
-    b = bridge.select(F.col(bridge_key).alias("_k"), *need)
-    joined = pre.join(b, "_k")
+    b = bridge.select("_src", "_k", *need)
+    j = pre.join(b, ["_src", "_k"])
+    ok = F.col("_platform").isNull() | (F.col("platform_id") == F.col("_platform"))
+    return j.filter(ok).select(*keep, "stat_date", *by, "metric", "amount")
 
-    entries = []
-    for i, m in enumerate(measures):
-        ok = F.col(f"_n{i}") > 0
-        if m.platform is not None:
-            ok = ok & (F.col("platform_id") == F.lit(m.platform))
-        entries.append(F.struct(
-            F.lit(m.name).alias("metric"),
-            F.coalesce(F.col(f"_s{i}"), F.lit(0).cast(AMOUNT)).alias("amount"),
-            ok.alias("ok")))
-    return (joined.select(*keep, "stat_date", *by, F.inline(F.array(*entries)))
-            .filter("ok").drop("ok"))
+
+def ledger_long(fact: DataFrame, bridge: DataFrame, *, key: str, day: Column,
+                measures: list[Measure], by: tuple[str, ...] = (),
+                keep: tuple[str, ...] = ("customer_id",),
+                bridge_key: str | None = None) -> DataFrame:
+    """Long form ``(keep..., stat_date, by..., metric, amount)`` of one fact table.
+
+    A row exists for a measure only where at least one fact row passed its
+    filter (so an all-NULL amount gives 0, not a missing row: ``IFNULL(SUM(x), 0)``).
+    """
+    pre = preaggregate(fact, key=key, day=day, measures=measures, by=by, tag="_")
+    b = bridge.select(F.lit("_").alias("_src"), F.col(bridge_key or key).alias("_k"),
+                      *[c for c in bridge.columns if c != (bridge_key or key)])
+    return attach_bridge(pre, b, keep=keep, by=by)
 
 
 def sum_long(long: DataFrame, names: list[str], *, grain: tuple[str, ...]) -> DataFrame:

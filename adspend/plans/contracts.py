@@ -65,7 +65,8 @@ def daily_rates(terms: DataFrame) -> DataFrame:
         F.max("gift_ratio").alias("gift_ratio"))
 
 
-def net_income(src: Sources, p: Params | None = None, *, expanded: bool = True, **terms_kw) -> DataFrame:
+def net_income(src: Sources, p: Params | None = None, *, expanded: bool = True,
+               spend: DataFrame | None = None, **terms_kw) -> DataFrame:
     """Income per customer and day and platform: spend divided by ``1 + ratio``
     of every contract line covering the day (a day covered by two lines counts
     twice, one with none counts at ratio 0; H4), summed.
@@ -73,7 +74,8 @@ def net_income(src: Sources, p: Params | None = None, *, expanded: bool = True,
     ``expanded=True`` joins the daily rates table; ``False`` joins the contract
     periods directly with ``interval_join``.  Both give the same rows.
     """
-    spend = spend_by_entity(src, p).withColumnRenamed("entity_id", "customer_entity_id")
+    spend = (spend if spend is not None else spend_by_entity(src, p)).withColumnRenamed(
+        "entity_id", "customer_entity_id")
     terms = contract_terms(src, **terms_kw)
     if expanded:
         rates = daily_rates(terms)

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import cents_to_money, day_of, epoch_seconds_day, money, remap
-from ..operators.bridge import account_bridge, project_bridge
-from ..operators.ledger import AMOUNT, Measure, ledger_long, sum_long
+from ..operators.bridge import account_bridge, project_bridge, unified_bridge
+from ..operators.ledger import AMOUNT, Measure, attach_bridge, preaggregate, sum_long
 from ..sources.tables import Sources
 
 # ---- fixed values (as the reference states them) -------------------------
@@ -54,88 +54,136 @@ class Params:
 class FactSource:
     fact: DataFrame
     key: str
-    bridge: DataFrame
+    tag: str            # key space: which bridge maps the key (gdt, tt, wechat, project)
     day: Column
     measures: list[Measure] = field(default_factory=list)
 
 
-def fact_sources(src: Sources, p: Params | None = None) -> dict[str, FactSource]:
-    """Every ledger table with its measures."""
-    p = p or Params()
-    projects = project_bridge(src.projects, src.entities, src.customers)
+def bridges(src: Sources, tags=("gdt", "tt", "wechat", "project")) -> DataFrame:
+    """The unified bridge of the key spaces ``tags``, built once per plan."""
+    pb = project_bridge(src.projects, src.entities, src.customers)
+    accounts = {"gdt": lambda: src.gdt_accounts, "tt": lambda: src.tt_accounts,
+                "wechat": lambda: src.wechat_accounts}
+    parts = {}
+    for t in tags:
+        if t == "project":
+            parts[t] = pb
+        else:
+            parts[t] = accounts[t]().select("account_id", "project_id").join(pb, "project_id").select(
+                "account_id", *pb.columns)
+    return unified_bridge(parts)
 
-    def accounts(a: DataFrame) -> DataFrame:
-        return account_bridge(a, src.projects, src.entities, src.customers)
 
+def _gdt(src: Sources, p: Params) -> FactSource:
     tt, at = F.col("trade_type"), F.col("account_type")
-    gdt_amt = cents_to_money("amount")
-    gdt = FactSource(src.gdt_cash_flow, "account_id", accounts(src.gdt_accounts), day_of("trade_time"), [
-        Measure("deposit_all_gdt", gdt_amt, (tt == GDT_CHARGE) & at.isin(*FUND_TYPES_ALL), GDT),
-        Measure("refund_all_gdt", gdt_amt, tt == GDT_TRANSFER_BACK, GDT),
-        Measure("total_cost_gdt", gdt_amt, (tt == GDT_PAY) & at.isin(*FUND_TYPES_ALL)),
-        Measure("cb_gdt", gdt_amt, (tt == GDT_PAY) & at.isin(*FUND_TYPES_COST_BASIS)),
-        Measure("income_base_gdt", gdt_amt, (tt == GDT_PAY) & at.isin(*FUND_TYPES_INCOME)),
+    amt = cents_to_money("amount")
+    return FactSource(src.gdt_cash_flow, "account_id", "gdt", day_of("trade_time"), [
+        Measure("deposit_all_gdt", amt, (tt == GDT_CHARGE) & at.isin(*FUND_TYPES_ALL), GDT),
+        Measure("refund_all_gdt", amt, tt == GDT_TRANSFER_BACK, GDT),
+        Measure("total_cost_gdt", amt, (tt == GDT_PAY) & at.isin(*FUND_TYPES_ALL)),
+        Measure("cb_gdt", amt, (tt == GDT_PAY) & at.isin(*FUND_TYPES_COST_BASIS)),
+        Measure("income_base_gdt", amt, (tt == GDT_PAY) & at.isin(*FUND_TYPES_INCOME)),
     ])
 
+
+def _tt_transfers(src: Sources, p: Params) -> FactSource:
     xt = F.col("transaction_type") == TT_TRANSFER
     agents = list(p.agents) or [None]
-    tt_tr = FactSource(src.tt_transfers, "account_id", accounts(src.tt_accounts), day_of("create_time"), [
+    return FactSource(src.tt_transfers, "account_id", "tt", day_of("create_time"), [
         Measure("deposit_all_tt", money("amount"), xt & F.col("remitter").isin(*agents), TT),
         Measure("refund_all_tt", money("amount"), xt & F.col("payee").isin(*agents), TT),
     ])
 
+
+def _wechat_statements(src: Sources, p: Params) -> FactSource:
     wt = F.col("trade_type")
-    wx_stmt = FactSource(src.wechat_statements, "account_id", accounts(src.wechat_accounts),
-                         epoch_seconds_day("wechat_time", p.tz), [
+    return FactSource(src.wechat_statements, "account_id", "wechat", epoch_seconds_day("wechat_time", p.tz), [
         Measure("deposit_all_wechat", cents_to_money("amount"), wt == WECHAT_DEPOSIT, WECHAT),
         Measure("refund_all_wechat", cents_to_money("amount"), wt == WECHAT_REFUND, WECHAT),
     ])
-    wx_day = FactSource(src.wechat_daily, "account_id", accounts(src.wechat_accounts), day_of("date"), [
+
+
+def _wechat_daily(src: Sources, p: Params) -> FactSource:
+    return FactSource(src.wechat_daily, "account_id", "wechat", day_of("date"), [
         Measure("total_cost_wechat", cents_to_money("cost")),
         Measure("income_base_wechat", cents_to_money("cost")),
     ])
-    tt_day = FactSource(src.tt_daily, "account_id", accounts(src.tt_accounts), day_of("date"), [
+
+
+def _tt_daily(src: Sources, p: Params) -> FactSource:
+    return FactSource(src.tt_daily, "account_id", "tt", day_of("date"), [
         Measure("cb_tt", money("cash_cost")),
         Measure("total_cost_tt", money("cash_cost") + money("reward_cost")),
         Measure("income_base_tt", money("reward_cost") + money("cash_cost")),
     ])
 
-    def project_log(df: DataFrame, ts: str, measures: list[Measure]) -> FactSource:
-        return FactSource(df, "project_id", projects, day_of(ts), measures)
 
-    deposit = project_log(src.deposit_log, "deposit_time", [
-        Measure("deposit_yxt_cash", money("deposit_amount"), F.col("deposit_time").isNotNull())])
-    present = project_log(src.present_log, "present_time", [
-        Measure("deposit_yxt_gift", money("present_amount"), F.col("present_time").isNotNull())])
-    refund = project_log(src.refund_log, "refund_time", [Measure("refund_yxt_cash", money("refund_amount"))])
-    gift_refund = project_log(src.gift_refund_log, "gift_refund_time",
-                              [Measure("refund_yxt_gift", money("gift_refund_amount"))])
+def _project_log(table: str, ts: str, name: str, amount: str, *, ts_required: bool = False):
+    def build(src: Sources, p: Params) -> FactSource:
+        where = F.col(ts).isNotNull() if ts_required else None
+        return FactSource(getattr(src, table), "project_id", "project", day_of(ts),
+                          [Measure(name, money(amount), where)])
+    return build
+
+
+def _consume(src: Sources, p: Params) -> FactSource:
     own_spend = money("pay_consume_amount") + money("present_consume_amount")
-    consume = project_log(src.consume_log, "consume_time", [
+    return FactSource(src.consume_log, "project_id", "project", day_of("consume_time"), [
         Measure("total_cost_yxt", own_spend), Measure("income_base_yxt", own_spend)])
-    media = project_log(src.media_cost, "stat_date", [
-        Measure("cb_yxt", money("dsp_cost"),
-                F.col("stat_date") >= F.lit(p.media_cost_since).cast("timestamp_ntz"))])
 
-    return {"gdt_cash_flow": gdt, "tt_transfers": tt_tr, "wechat_statements": wx_stmt,
-            "wechat_daily": wx_day, "tt_daily": tt_day, "deposit_log": deposit,
-            "present_log": present, "refund_log": refund, "gift_refund_log": gift_refund,
-            "consume_log": consume, "media_cost": media}
+
+def _media(src: Sources, p: Params) -> FactSource:
+    since = F.col("stat_date") >= F.lit(p.media_cost_since).cast("timestamp_ntz")
+    return FactSource(src.media_cost, "project_id", "project", day_of("stat_date"),
+                      [Measure("cb_yxt", money("dsp_cost"), since)])
+
+
+# source table -> (builder, measures it yields)
+SOURCES = {
+    "gdt_cash_flow": (_gdt, ("deposit_all_gdt", "refund_all_gdt", "total_cost_gdt", "cb_gdt",
+                             "income_base_gdt")),
+    "tt_transfers": (_tt_transfers, ("deposit_all_tt", "refund_all_tt")),
+    "wechat_statements": (_wechat_statements, ("deposit_all_wechat", "refund_all_wechat")),
+    "wechat_daily": (_wechat_daily, ("total_cost_wechat", "income_base_wechat")),
+    "tt_daily": (_tt_daily, ("cb_tt", "total_cost_tt", "income_base_tt")),
+    "deposit_log": (_project_log("deposit_log", "deposit_time", "deposit_yxt_cash", "deposit_amount",
+                                 ts_required=True), ("deposit_yxt_cash",)),
+    "present_log": (_project_log("present_log", "present_time", "deposit_yxt_gift", "present_amount",
+                                 ts_required=True), ("deposit_yxt_gift",)),
+    "refund_log": (_project_log("refund_log", "refund_time", "refund_yxt_cash", "refund_amount"),
+                   ("refund_yxt_cash",)),
+    "gift_refund_log": (_project_log("gift_refund_log", "gift_refund_time", "refund_yxt_gift",
+                                     "gift_refund_amount"), ("refund_yxt_gift",)),
+    "consume_log": (_consume, ("total_cost_yxt", "income_base_yxt")),
+    "media_cost": (_media, ("cb_yxt",)),
+}
+
+
+def fact_sources(src: Sources, p: Params | None = None, names=None) -> dict[str, FactSource]:
+    """The ledger tables that hold any of ``names`` (all when None), with their measures."""
+    p = p or Params()
+    return {t: build(src, p) for t, (build, ms) in SOURCES.items()
+            if names is None or any(m in names for m in ms)}
 
 
 def facts_long(src: Sources, names: list[str] | None = None, *, p: Params | None = None,
                keep: tuple[str, ...] = ("customer_id",), by: tuple[str, ...] = ()) -> DataFrame:
     """Long rows ``(keep..., stat_date, by..., metric, amount)`` of the named
-    measures (all when ``names`` is None), one scan per source table."""
-    parts = []
-    for s in fact_sources(src, p).values():
+    measures (all when ``names`` is None).
+
+    One scan and one pre-aggregate per source table; the pre-aggregates of all
+    tables are stacked and joined to the unified bridge once.
+    """
+    parts, tags = [], []
+    for s in fact_sources(src, p, names).values():
         ms = [m for m in s.measures if names is None or m.name in names]
-        if ms:
-            parts.append(ledger_long(s.fact, s.bridge, key=s.key, day=s.day, measures=ms,
-                                     keep=keep, by=by))
+        parts.append(preaggregate(s.fact, key=s.key, day=s.day, measures=ms, by=by, tag=s.tag))
+        if s.tag not in tags:
+            tags.append(s.tag)
     if not parts:
         raise KeyError(f"unknown measures {names}")
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    pre = reduce(lambda a, b: a.unionByName(b), parts)
+    return attach_bridge(pre, bridges(src, tags), keep=keep, by=by)
 
 
 def fact_daily(src: Sources, names: list[str], *, p: Params | None = None,
@@ -169,9 +217,7 @@ def wechat_deposit(src, p=None):
 
 def gdt_spend_by_fund_type(src, p=None):
     """GDT spend per customer, fund type and day (all four fund types)."""
-    s = fact_sources(src, p)["gdt_cash_flow"]
-    m = [x for x in s.measures if x.name == "total_cost_gdt"]
-    long = ledger_long(s.fact, s.bridge, key=s.key, day=s.day, measures=m, by=("account_type",))
+    long = facts_long(src, ["total_cost_gdt"], p=p, by=("account_type",))
     return sum_long(long, ["total_cost_gdt"], grain=("customer_id", "stat_date", "account_type")
                     ).withColumnRenamed("total_cost_gdt", "cost")
 
@@ -222,10 +268,13 @@ def own_cost_basis(src, p=None):
     return fact_daily(src, ["cb_yxt"], p=p)
 
 
-def spend_by_entity(src, p=None):
+def spend_by_entity(src, p=None, *, long: DataFrame | None = None):
     """Spend per customer, legal entity, day and platform: the base of net income.
-    ``platform_id`` says which contracts apply (1 own, 2 GDT, 3 TT, 4 WeChat)."""
-    long = facts_long(src, list(INCOME_BASE), p=p, keep=("customer_id", "entity_id"))
+    ``platform_id`` says which contracts apply (1 own, 2 GDT, 3 TT, 4 WeChat).
+    ``long``: entity-grain long rows that already hold the income-base measures."""
+    if long is None:
+        long = facts_long(src, list(INCOME_BASE), p=p, keep=("customer_id", "entity_id"))
+    long = long.filter(F.col("metric").isin(*INCOME_BASE))
     platform = remap("metric", INCOME_BASE, default=None, keep_others=False)
     return (long.withColumn("platform_id", platform)
             .groupBy("customer_id", "entity_id", "platform_id", "stat_date")

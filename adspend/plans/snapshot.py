@@ -19,7 +19,7 @@ from ..operators.calendar import date_spine
 from ..operators.ledger import sum_long
 from ..sources.tables import Sources
 from .contracts import net_income
-from .facts import INCOME_BASE, Params, facts_long, invoices_daily, receipts_daily
+from .facts import INCOME_BASE, Params, facts_long, invoices_daily, receipts_daily, spend_by_entity
 
 JOINED = ["deposit_yxt_cash", "deposit_yxt_gift", "deposit_all_gdt", "deposit_all_tt",
           "deposit_all_wechat", "refund_all_gdt", "refund_all_tt", "refund_all_wechat",
@@ -50,12 +50,18 @@ def _long(df: DataFrame, value: str) -> DataFrame:
 
 
 def snapshot_long(src: Sources, p: Params | None = None) -> DataFrame:
-    """All joined measures and incomes as ``(customer_id, stat_date, metric, amount)``."""
-    ledger = facts_long(src, [m for m in JOINED if m not in ("invoice_amount", "arrive_amount")], p=p)
-    parts = [ledger.select("customer_id", "stat_date", "metric", "amount"),
+    """All joined measures and incomes as ``(customer_id, stat_date, metric, amount)``.
+
+    The ledger tables are read once: the customer-level measures and the
+    entity-level spend behind net income come out of the same pass.
+    """
+    ledger_names = [m for m in JOINED if m not in ("invoice_amount", "arrive_amount")]
+    ledger = facts_long(src, ledger_names + list(INCOME_BASE), p=p, keep=("customer_id", "entity_id"))
+    parts = [ledger.filter(~F.col("metric").isin(*INCOME_BASE))
+             .select("customer_id", "stat_date", "metric", "amount"),
              _long(invoices_daily(src), "invoice_amount"),
              _long(receipts_daily(src), "arrive_amount"),
-             net_income(src, p)]
+             net_income(src, p, spend=spend_by_entity(src, p, long=ledger))]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

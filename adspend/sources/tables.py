@@ -10,7 +10,6 @@ the tables and columns it uses, with filters pushed to the scan.
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -54,48 +53,44 @@ SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
 }
 
 
-@dataclass
 class Sources:
-    """The input DataFrames of the ledger jobs, one attribute per table."""
-
-    customers: DataFrame
-    entities: DataFrame
-    projects: DataFrame
-    gdt_accounts: DataFrame
-    tt_accounts: DataFrame
-    wechat_accounts: DataFrame
-    gdt_cash_flow: DataFrame
-    tt_transfers: DataFrame
-    wechat_statements: DataFrame
-    wechat_daily: DataFrame
-    tt_daily: DataFrame
-    deposit_log: DataFrame
-    present_log: DataFrame
-    refund_log: DataFrame
-    gift_refund_log: DataFrame
-    consume_log: DataFrame
-    media_cost: DataFrame
-    invoices: DataFrame
-    process_codes: DataFrame
-    receipt_heads: DataFrame
-    receipt_lines: DataFrame
-    contracts: DataFrame
-    contract_lines: DataFrame
-    settlement_heads: DataFrame
-    settlement_lines: DataFrame
+    """The input DataFrames of the ledger jobs, one attribute per table of
+    ``SOURCE_COLUMNS``.
+
+    Each table is given as a DataFrame or as a zero-argument function that
+    returns one; functions are called on first use only, so a job plans just
+    the tables it reads.
+    """
+
+    def __init__(self, **tables):
+        unknown = set(tables) - set(SOURCE_COLUMNS)
+        missing = set(SOURCE_COLUMNS) - set(tables)
+        if unknown or missing:
+            raise TypeError(f"unknown tables {sorted(unknown)}, missing tables {sorted(missing)}")
+        self._tables = dict(tables)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        tables = self.__dict__.get("_tables", {})
+        if name not in tables:
+            raise AttributeError(name)
+        v = tables[name]
+        if callable(v) and not isinstance(v, DataFrame):
+            v = tables[name] = v()
+        return v
 
     def validate(self) -> None:
-        for f in fields(self):
-            df = getattr(self, f.name)
-            missing = [c for c in SOURCE_COLUMNS[f.name] if c not in df.columns]
+        for name, cols in SOURCE_COLUMNS.items():
+            df = getattr(self, name)
+            missing = [c for c in cols if c not in df.columns]
             if missing:
-                raise ValueError(f"{f.name} lacks columns {missing}")
+                raise ValueError(f"{name} lacks columns {missing}")
 
 
 def read_sources(spark: SparkSession, base: str, *, fmt: str = "parquet") -> Sources:
     """Lazy reads of ``base/<table>`` for every table of ``Sources``."""
-    return Sources(**{name: spark.read.format(fmt).load(os.path.join(base, name))
-                      for name in SOURCE_COLUMNS})
+    def reader(name):
+        return lambda: spark.read.format(fmt).load(os.path.join(base, name))
+    return Sources(**{name: reader(name) for name in SOURCE_COLUMNS})
 
 
 def jdbc_sources(spark: SparkSession, url: str, tables: dict[str, str], *, properties: dict,
@@ -104,11 +99,11 @@ def jdbc_sources(spark: SparkSession, url: str, tables: dict[str, str], *, prope
     ``numPartitions`` per table in ``partitioning``), so a large ledger is read
     by many tasks instead of one connection."""
     partitioning = partitioning or {}
-    out = {}
-    for name in SOURCE_COLUMNS:
+
+    def reader(name):
         opts = dict(properties, **partitioning.get(name, {}))
-        out[name] = spark.read.jdbc(url, tables.get(name, name), properties=opts)
-    return Sources(**out)
+        return lambda: spark.read.jdbc(url, tables.get(name, name), properties=opts)
+    return Sources(**{name: reader(name) for name in SOURCE_COLUMNS})
 
 
 def empty_like(spark: SparkSession, schema: StructType) -> DataFrame:

@@ -31,11 +31,15 @@ TEST_AGENT_ID = 1
 
 
 class TestTables:
-    """Lazy ``spark.read.parquet`` of the driver's tables."""
+    """Lazy ``spark.read.parquet`` of the driver's tables, one read per table
+    and session (a read plans nothing but the file scan)."""
+
+    _reads: dict = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
-        self._cache: dict[str, DataFrame] = {}
+        self._cache = TestTables._reads.setdefault((id(spark), spark.sparkContext.applicationId,
+                                                     self.sf_dir), {})
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name in ("spark", "sf_dir"):
@@ -70,18 +74,23 @@ def _days(base: Column, n: Column) -> Column:
 
 
 def build_sources(t: TestTables) -> Sources:
-    li, o, s = t.lineitem, t.orders, t.supplier
+    """Stand-in ``Sources``; each table is built on first use."""
     ln = F.col("l_linenumber")
 
-    customers = t.region.select(F.col("r_regionkey").cast("bigint").alias("id"))
-    entities = t.nation.select(F.col("n_nationkey").cast("bigint").alias("id"),
+    def customers():
+        return t.region.select(F.col("r_regionkey").cast("bigint").alias("id"))
+    def entities():
+        return t.nation.select(F.col("n_nationkey").cast("bigint").alias("id"),
                                F.col("n_regionkey").cast("bigint").alias("customer_id"))
-    projects = t.customer.select(F.col("c_custkey").alias("project_id"),
+    def projects():
+        return t.customer.select(F.col("c_custkey").alias("project_id"),
                                  F.col("c_nationkey").cast("bigint").alias("entity_id"),
                                  (F.col("c_custkey") % 4 + 1).cast("int").alias("platform_id"))
-    accounts = o.select(F.col("o_orderkey").alias("account_id"), F.col("o_custkey").alias("project_id"))
+    def accounts():
+        return t.orders.select(F.col("o_orderkey").alias("account_id"), F.col("o_custkey").alias("project_id"))
 
-    gdt_cash_flow = li.select(
+    def gdt_cash_flow():
+        return t.lineitem.select(
         F.col("l_orderkey").alias("account_id"),
         F.when(F.col("l_returnflag") == "A", "CHARGE").when(F.col("l_returnflag") == "N", "PAY")
          .otherwise("TRANSFER_BACK").alias("trade_type"),
@@ -91,24 +100,28 @@ def build_sources(t: TestTables) -> Sources:
         _hours("l_shipdate", ln).alias("trade_time"),
         F.when(ln == 7, F.lit(None).cast("bigint")).otherwise(_cents(F.col("l_extendedprice") * 100))
          .alias("amount"))
-    tt_transfers = li.select(
+    def tt_transfers():
+        return t.lineitem.select(
         F.col("l_orderkey").alias("account_id"),
         F.when(F.col("l_returnflag") == "R", "FREEZE").otherwise("TRANSFER").alias("transaction_type"),
         (F.col("l_suppkey") % 4).alias("remitter"),
         (F.col("l_partkey") % 4).alias("payee"),
         _hours("l_shipdate", ln * 2).alias("create_time"),
         _price("l_extendedprice").alias("amount"))
-    wechat_statements = li.select(
+    def wechat_statements():
+        return t.lineitem.select(
         F.col("l_orderkey").alias("account_id"),
         (F.unix_date(F.to_date("l_shipdate")).cast("bigint") * 86400 + ln * 10800).alias("wechat_time"),
         F.when(F.col("l_linestatus") == "O", "AGENCY_TRANSFER_TO_ADVERTISER")
          .otherwise("AGENCY_REFUND_FROM_ADVERTISER").alias("trade_type"),
         _cents(F.col("l_extendedprice") * 100).alias("amount"))
-    wechat_daily = li.select(
+    def wechat_daily():
+        return t.lineitem.select(
         F.col("l_orderkey").alias("account_id"),
         _hours("l_shipdate", (ln % 2) * 12).alias("date"),
         _cents(F.col("l_extendedprice") * (1 - F.col("l_discount")) * 100).alias("cost"))
-    tt_daily = li.select(
+    def tt_daily():
+        return t.lineitem.select(
         F.col("l_orderkey").alias("account_id"),
         F.col("l_shipdate").alias("date"),
         _price("l_extendedprice").alias("cash_cost"),
@@ -117,33 +130,40 @@ def build_sources(t: TestTables) -> Sources:
          .alias("reward_cost"))
 
     okey, price = F.col("o_orderkey"), F.col("o_totalprice")
-    deposit_log = o.select(
+    def deposit_log():
+        return t.orders.select(
         F.col("o_custkey").alias("project_id"),
         F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("timestamp_ntz"))
          .otherwise(_hours("o_orderdate", okey % 24)).alias("deposit_time"),
         _price("o_totalprice").alias("deposit_amount"))
-    present_log = o.select(F.col("o_custkey").alias("project_id"),
+    def present_log():
+        return t.orders.select(F.col("o_custkey").alias("project_id"),
                            _hours("o_orderdate", F.lit(6)).alias("present_time"),
                            _cents_money(_cents(price * 5)).alias("present_amount"))
-    refund_log = o.select(
+    def refund_log():
+        return t.orders.select(
         F.col("o_custkey").alias("project_id"),
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(None).cast("timestamp_ntz"))
          .otherwise(_hours("o_orderdate", F.lit(3))).alias("refund_time"),
         F.when(F.col("o_orderstatus") == "F", _price("o_totalprice")).alias("refund_amount"))
-    gift_refund_log = o.select(F.col("o_custkey").alias("project_id"),
+    def gift_refund_log():
+        return t.orders.select(F.col("o_custkey").alias("project_id"),
                                _hours("o_orderdate", F.lit(30)).alias("gift_refund_time"),
                                _cents_money(_cents(price * 2)).alias("gift_refund_amount"))
-    consume_log = o.select(
+    def consume_log():
+        return t.orders.select(
         F.col("o_custkey").alias("project_id"),
         _hours("o_orderdate", okey % 24).alias("consume_time"),
         _price("o_totalprice").alias("pay_consume_amount"),
         F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("decimal(18,2)"))
          .otherwise(_cents_money(_cents(price * 10))).alias("present_consume_amount"))
-    media_cost = o.select(F.col("o_custkey").alias("project_id"),
+    def media_cost():
+        return t.orders.select(F.col("o_custkey").alias("project_id"),
                           _hours("o_orderdate", (okey % 3) * 8).alias("stat_date"),
                           _cents_money(_cents(price * 30)).alias("dsp_cost"))
 
-    invoices = o.select(
+    def invoices():
+        return t.orders.select(
         _pid("o_orderkey").alias("process_instance_id"),
         F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None).cast("bigint"))
          .otherwise(F.col("o_custkey") % 7).alias("customer_id"),
@@ -153,11 +173,14 @@ def build_sources(t: TestTables) -> Sources:
         F.when(F.col("o_orderstatus") == "F", "agree").when(F.col("o_orderstatus") == "O", "Agree")
          .otherwise("refuse").alias("result"),
         F.when(F.col("o_orderpriority") == "2-HIGH", "RUNNING").otherwise("COMPLETED").alias("status"))
-    process_codes = o.select(F.concat(F.lit("P"), (okey - okey % 2).cast("string"))
+    def process_codes():
+        return t.orders.select(F.concat(F.lit("P"), (okey - okey % 2).cast("string"))
                              .alias("process_instance_code"))
-    receipt_heads = o.select(okey.alias("id"), (F.col("o_custkey") % 5).alias("customer_id"),
+    def receipt_heads():
+        return t.orders.select(okey.alias("id"), (F.col("o_custkey") % 5).alias("customer_id"),
                              (okey % 25).alias("customer_entity_id"))
-    receipt_lines = li.select(
+    def receipt_lines():
+        return t.lineitem.select(
         F.col("l_orderkey").alias("arrival_money_order_id"),
         F.when(ln == 6, F.lit(None).cast("decimal(18,2)")).otherwise(_price("l_extendedprice"))
          .alias("receipt_money"),
@@ -165,11 +188,13 @@ def build_sources(t: TestTables) -> Sources:
         F.when((F.col("l_linestatus") == "F") & (ln == 1), 1).otherwise(0).cast("int").alias("is_delete"))
 
     sk = F.col("s_suppkey")
-    contracts = s.select(sk.alias("id"), F.col("s_nationkey").cast("bigint").alias("customer_entity_id"),
+    def contracts():
+        return t.supplier.select(sk.alias("id"), F.col("s_nationkey").cast("bigint").alias("customer_entity_id"),
                          (sk % 3).cast("int").alias("settle_type"))
     k = F.col("k")
     begin = _days(F.lit("1995-01-01").cast("date"), (sk * 37 + k * 400) % 2000)
-    contract_lines = s.withColumn("k", F.explode(F.array(F.lit(0), F.lit(1)))).select(
+    def contract_lines():
+        return t.supplier.withColumn("k", F.explode(F.array(F.lit(0), F.lit(1)))).select(
         (sk * 2 + k).alias("id"),
         sk.alias("contract_id"),
         ((sk + k * 2) % 5 + 1).cast("int").alias("media_id"),
@@ -182,7 +207,8 @@ def build_sources(t: TestTables) -> Sources:
          .otherwise("ok").alias("remark"))
 
     start = F.to_date("o_orderdate")
-    settlement_heads = o.select(
+    def settlement_heads():
+        return t.orders.select(
         _pid("o_orderkey").alias("process_instance_id"),
         (okey % 3).cast("string").alias("business_id"),
         F.col("o_custkey").alias("contract_info"),
@@ -196,7 +222,8 @@ def build_sources(t: TestTables) -> Sources:
         F.when(okey % 11 == 0, F.lit(Decimal("0.00")).cast("decimal(18,2)"))
          .when(okey % 17 == 0, F.lit(None).cast("decimal(18,2)"))
          .otherwise(_price("o_totalprice")).alias("adjust_amount"))
-    settlement_lines = li.select(
+    def settlement_lines():
+        return t.lineitem.select(
         F.when(ln % 5 == 1, "今日头条").when(ln % 5 == 2, "广点通").when(ln % 5 == 3, "亿信推")
          .when(ln % 5 == 4, "微信").otherwise("其他").alias("platform_name"),
         _pid("l_orderkey").alias("process_instance_id"),
