@@ -69,7 +69,30 @@ def day_string(c: str | Column) -> Column:
     return F.date_format(col_of(c), "yyyy-MM-dd")
 
 
-def ratio_income(cost: str | Column, ratio: str | Column) -> Column:
-    """``cost / (1 + ratio)`` per row, kept at 4 decimals so that sums are exact."""
-    q = col_of(cost).cast("double") / (F.lit(1.0) + F.coalesce(col_of(ratio).cast("double"), F.lit(0.0)))
-    return q.cast("decimal(18,4)")
+# Money inside aggregations is an exact integer count of units of 1/10000
+# yuan (bigint): integer sums are fixed-width and codegen-friendly, while
+# decimal sums wider than 18 digits fall back to BigDecimal arithmetic.
+UNITS_PER_YUAN = 10000
+
+
+def cents_to_units(c: str | Column) -> Column:
+    """Integer cents (NULL as 0) to units."""
+    return F.coalesce(col_of(c).cast("bigint"), F.lit(0).cast("bigint")) * F.lit(100)
+
+
+def money_units(c: str | Column) -> Column:
+    """Yuan amount with up to 4 decimals (NULL as 0) to units."""
+    return F.coalesce((col_of(c).cast("decimal(20,4)") * F.lit(UNITS_PER_YUAN)).cast("bigint"),
+                      F.lit(0).cast("bigint"))
+
+
+def units_to_money(c: str | Column) -> Column:
+    """Units back to an exact decimal yuan amount."""
+    return col_of(c).cast("decimal(20,0)") * F.lit(Decimal("0.0001"))
+
+
+def ratio_income(cost_units: str | Column, ratio: str | Column) -> Column:
+    """``cost / (1 + ratio)`` per row, kept at 4 decimals (as units) so that sums are exact."""
+    cost = col_of(cost_units).cast("double") / F.lit(float(UNITS_PER_YUAN))
+    q = cost / (F.lit(1.0) + F.coalesce(col_of(ratio).cast("double"), F.lit(0.0)))
+    return (q.cast("decimal(18,4)") * F.lit(UNITS_PER_YUAN)).cast("bigint")

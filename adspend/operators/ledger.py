@@ -1,18 +1,22 @@
 """Ledger facts rolled up to customer (and entity) per day.
 
 One generic operator covers every ledger query of the reference: they differ
-only in table, filter, unit, grain and name.  The plan is always
-
-    fact --filter--> partial+final aggregate on (fact key, day, by...)
-         --> long rows (key, day, by..., metric, amount)
-         --join--> bridge (account or project -> entity, customer, platform)
-
-Pre-aggregating on the fact's own key before the join means the shuffle for
-the join carries at most one row per key, day and measure, so a hot account
-(a third of all rows) is collapsed map-side instead of landing in one join
-task.  Several measures over one table share a single scan (conditional
-sums), and the pre-aggregates of many tables share one bridge join
-(``ledger_long_many``).
+only in table, filter, unit, grain and name.  Each fact row carries the
+measures it counts for (conditional amounts, one scan for many measures),
+the rows of many tables are stacked with ``unionByName`` and joined once to
+the unified bridge (account or project -> entity, customer, platform), and
+the result is summed per (customer[, entity], day, by..., metric).
+
+The bridge has one row per account.  Its row count is checked first:
+
+* within the bound it is broadcast and the join runs map-side, inside the
+  scan tasks; the facts never move, only the partial sums per customer and
+  day do (a customer with a third of all rows is collapsed in every task);
+* beyond the bound each fact is pre-aggregated on its own key and day
+  (partial aggregation in the scan tasks), so the sort-merge join shuffles at
+  most one row per key, day and task, and AQE splits skewed partitions.
+
+Money is summed as exact integer units (``functions.columns``).
 """
 
 from __future__ import annotations
@@ -24,13 +28,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col_of
+from .sizing import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
 
-AMOUNT = "decimal(38,4)"
+AMOUNT = "bigint"   # money as integer units of 1/10000 yuan (functions.columns)
 
 
 @dataclass(frozen=True)
 class Measure:
-    """One summed measure: ``SUM(amount) WHERE where``, for accounts of ``platform``."""
+    """One summed measure: ``SUM(amount) WHERE where``, for accounts of ``platform``.
+    ``amount`` is in integer units (``cents_to_units`` / ``money_units``)."""
 
     name: str
     amount: Column
@@ -38,6 +44,53 @@ class Measure:
     platform: int | None = None
 
 
+def measure_columns(fact: DataFrame, *, key: str, day: Column, measures: list[Measure],
+                    names: list[str], by: tuple[str, ...] = (), tag: str | None = None) -> DataFrame:
+    """``(_src, _k, stat_date, by..., <name>...)`` straight from the fact rows:
+    one column per measure of ``names`` holding the row's amount where the
+    row counts for that measure, else NULL (measures of other tables are
+    NULL), so tables with different measures stack by ``unionByName``.  Rows
+    counting for no measure are dropped at the scan."""
+    conds = [m.where for m in measures]
+    rows = fact
+    if all(c is not None for c in conds):
+        rows = rows.filter(reduce(lambda a, b: a | b, conds))
+    mine = {m.name: m for m in measures}
+    cols = []
+    for n in names:
+        m = mine.get(n)
+        if m is None:
+            cols.append(F.lit(None).cast(AMOUNT).alias(n))
+        else:
+            amount = F.coalesce(m.amount.cast(AMOUNT), F.lit(0).cast(AMOUNT))
+            cols.append((F.when(m.where, amount) if m.where is not None else amount).alias(n))
+    return rows.select(F.lit(tag or key).alias("_src"), F.col(key).alias("_k"), day.alias("stat_date"),
+                       *by, *cols)
+
+
+def sum_columns(rows: DataFrame, bridge: DataFrame, measures: list[Measure], *,
+                keep: tuple[str, ...], by: tuple[str, ...]) -> DataFrame:
+    """Join ``measure_columns`` rows to the bridge and sum every measure per
+    (keep..., stat_date, by...) in one aggregate (conditional on the account's
+    platform where the measure asks for one); long form out, one row per
+    group and measure that had rows."""
+    need = list(dict.fromkeys([*keep, "platform_id"]))
+    j = rows.join(bridge.select("_src", "_k", *need), ["_src", "_k"])
+    aggs = []
+    for i, m in enumerate(measures):
+        v = F.col(m.name)
+        if m.platform is not None:
+            v = F.when(F.col("platform_id") == F.lit(m.platform), v)
+        aggs += [F.sum(v).alias(f"_s{i}"), F.count(v).alias(f"_n{i}")]
+    g = j.groupBy(*keep, "stat_date", *by).agg(*aggs)
+    entries = [F.struct(F.lit(m.name).alias("metric"),
+                        F.coalesce(F.col(f"_s{i}"), F.lit(0).cast(AMOUNT)).alias("amount"),
+                        (F.col(f"_n{i}") > 0).alias("_ok"))
+               for i, m in enumerate(measures)]
+    return (g.select(*keep, "stat_date", *by, F.inline(F.array(*entries)))
+            .filter("_ok").drop("_ok"))
+
+
 def preaggregate(fact: DataFrame, *, key: str, day: Column, measures: list[Measure],
                  by: tuple[str, ...] = (), tag: str | None = None) -> DataFrame:
     """``(_src, _k, stat_date, by..., metric, amount, _platform)``: one row per
@@ -45,7 +98,7 @@ def preaggregate(fact: DataFrame, *, key: str, day: Column, measures: list[Measu
 
     Rows are filtered by the union of the measure filters first (pushed to
     the scan), then summed per key and day with one conditional sum per
-    measure (partial aggregation map-side).
+    measure; the partial aggregate runs inside the scan tasks.
     """
     conds = [m.where for m in measures]
     pre = fact
@@ -62,34 +115,62 @@ def preaggregate(fact: DataFrame, *, key: str, day: Column, measures: list[Measu
                         F.lit(m.platform).cast("int").alias("_platform"),
                         (F.col(f"_n{i}") > 0).alias("_ok"))
                for i, m in enumerate(measures)]
-    return (pre.select(F.lit(tag or key).alias("_src"), "_k", "stat_date", *by, F.inline(F.array(*entries)))
-            .filter("_ok").drop("_ok"))
+    return pre.select(F.lit(tag or key).alias("_src"), "_k", "stat_date", *by, F.array(*entries).alias("_m"))
 
 
-def attach_bridge(pre: DataFrame, bridge: DataFrame, *, keep: tuple[str, ...] = ("customer_id",),
+def attach_bridge(rows: DataFrame, bridge: DataFrame, *, keep: tuple[str, ...] = ("customer_id",),
                   by: tuple[str, ...] = ()) -> DataFrame:
-    """Join pre-aggregated long rows to a (unified) bridge on ``(_src, _k)``
-    and keep measures whose platform condition holds."""
+    """Join pre-aggregated rows to a (unified) bridge on ``(_src, _k)``, one
+    row per measure that had rows and whose platform condition holds:
+    ``(keep..., stat_date, by..., metric, amount)``."""
     need = list(dict.fromkeys([*keep, "platform_id"]))
-    b = bridge.select("_src", "_k", *need)
-    j = pre.join(b, ["_src", "_k"])
-    ok = F.col("_platform").isNull() | (F.col("platform_id") == F.col("_platform"))
-    return j.filter(ok).select(*keep, "stat_date", *by, "metric", "amount")
+    j = rows.join(bridge.select("_src", "_k", *need), ["_src", "_k"])
+    long = j.select(*need, "stat_date", *by, F.inline("_m"))
+    ok = F.col("_ok") & (F.col("_platform").isNull() | (F.col("platform_id") == F.col("_platform")))
+    return long.filter(ok).select(*keep, "stat_date", *by, "metric", "amount")
+
+
+def sum_by(long: DataFrame, grain: tuple[str, ...]) -> DataFrame:
+    """``SUM(amount)`` per ``grain`` and metric: a group exists only where rows
+    passed the measure's filter, and an all-NULL amount sums to 0."""
+    return long.groupBy(*grain, "metric").agg(
+        F.coalesce(F.sum("amount"), F.lit(0).cast(AMOUNT)).cast(AMOUNT).alias("amount"))
 
 
 def ledger_long(fact: DataFrame, bridge: DataFrame, *, key: str, day: Column,
                 measures: list[Measure], by: tuple[str, ...] = (),
                 keep: tuple[str, ...] = ("customer_id",),
                 bridge_key: str | None = None) -> DataFrame:
-    """Long form ``(keep..., stat_date, by..., metric, amount)`` of one fact table.
-
-    A row exists for a measure only where at least one fact row passed its
-    filter (so an all-NULL amount gives 0, not a missing row: ``IFNULL(SUM(x), 0)``).
+    """Long form ``(keep..., stat_date, by..., metric, amount)`` of one fact
+    table, summed per group (``IFNULL(SUM(x), 0)``)."""
+    bk = bridge_key or key
+    b = bridge.select(F.lit("_").alias("_src"), F.col(bk).alias("_k"), *[c for c in bridge.columns if c != bk])
+    return ledger_long_many([(fact, key, day, measures, "_")], b, keep=keep, by=by)
+
+
+def ledger_long_many(sources, bridge: DataFrame, *, keep: tuple[str, ...] = ("customer_id",),
+                     by: tuple[str, ...] = (), max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Long form of many fact tables ``[(fact, key, day, measures, tag)]``
+    joined once to a unified bridge keyed ``(_src, _k)``.
+
+    The plan depends on the bridge's checked size: within the bound it is
+    broadcast and joined to the fact rows map-side (the facts never shuffle;
+    only the partial sums per customer and day do); beyond it every fact is
+    first pre-aggregated on its own key and day, so the shuffled join moves
+    at most one row per key, day and task.
     """
-    pre = preaggregate(fact, key=key, day=day, measures=measures, by=by, tag="_")
-    b = bridge.select(F.lit("_").alias("_src"), F.col(bridge_key or key).alias("_k"),
-                      *[c for c in bridge.columns if c != (bridge_key or key)])
-    return attach_bridge(pre, b, keep=keep, by=by)
+    small = row_count_at_most(bridge, max_broadcast_rows) <= max_broadcast_rows
+    if small:
+        measures = list({m.name: m for _, _, _, ms, _ in sources for m in ms}.values())
+        names = [m.name for m in measures]
+        parts = [measure_columns(fact, key=key, day=day, measures=ms, names=names, by=by, tag=tag)
+                 for fact, key, day, ms, tag in sources]
+        rows = reduce(lambda a, b: a.unionByName(b), parts)
+        return sum_columns(rows, F.broadcast(bridge), measures, keep=keep, by=by)
+    parts = [preaggregate(fact, key=key, day=day, measures=ms, by=by, tag=tag)
+             for fact, key, day, ms, tag in sources]
+    rows = reduce(lambda a, b: a.unionByName(b), parts)
+    return sum_by(attach_bridge(rows, bridge, keep=keep, by=by), (*keep, "stat_date", *by))
 
 
 def sum_long(long: DataFrame, names: list[str], *, grain: tuple[str, ...]) -> DataFrame:

@@ -7,11 +7,11 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import day_string, money, ratio_income, remap
+from ..functions.columns import day_string, money, ratio_income, remap, units_to_money
 from ..operators.calendar import apportion_daily, expand_period
 from ..operators.groups import first_per_group
 from ..operators.intervals import interval_join
-from ..operators.ledger import AMOUNT
+from ..operators.sizing import broadcast_if_small
 from ..sources.tables import Sources
 from .facts import INCOME_BASE, Params, spend_by_entity
 
@@ -66,27 +66,30 @@ def daily_rates(terms: DataFrame) -> DataFrame:
 
 
 def net_income(src: Sources, p: Params | None = None, *, expanded: bool = True,
-               spend: DataFrame | None = None, **terms_kw) -> DataFrame:
+               spend: DataFrame | None = None, units: bool = False, **terms_kw) -> DataFrame:
     """Income per customer and day and platform: spend divided by ``1 + ratio``
     of every contract line covering the day (a day covered by two lines counts
-    twice, one with none counts at ratio 0; H4), summed.
+    twice, one with none counts at ratio 0; H4), summed.  Long form
+    ``(customer_id, stat_date, metric, amount)``.
 
     ``expanded=True`` joins the daily rates table; ``False`` joins the contract
     periods directly with ``interval_join``.  Both give the same rows.
+    ``spend``: spend by entity in units, if already computed; ``units``: keep
+    ``amount`` in integer units.
     """
-    spend = (spend if spend is not None else spend_by_entity(src, p)).withColumnRenamed(
+    spend = (spend if spend is not None else spend_by_entity(src, p, units=True)).withColumnRenamed(
         "entity_id", "customer_entity_id")
     terms = contract_terms(src, **terms_kw)
     if expanded:
-        rates = daily_rates(terms)
+        rates = broadcast_if_small(daily_rates(terms))
         j = spend.join(rates, ["customer_entity_id", "platform_id", "stat_date"], "left")
     else:
         j = interval_join(spend, terms, ["customer_entity_id", "platform_id"], day="stat_date",
                           begin="contract_begin_date", end="contract_end_date")
     income = ratio_income("cost", "gift_ratio")
     name = remap("platform_id", INCOME_NAME, default=None, keep_others=False)
-    return j.groupBy("customer_id", "stat_date", name.alias("metric")).agg(
-        F.sum(income).cast(AMOUNT).alias("amount"))
+    out = j.groupBy("customer_id", "stat_date", name.alias("metric")).agg(F.sum(income).alias("amount"))
+    return out if units else out.withColumn("amount", units_to_money("amount"))
 
 
 def settlement_detail(src: Sources, *, platform_by_name=PLATFORM_BY_NAME) -> DataFrame:

@@ -14,9 +14,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import cents_to_money, day_of, epoch_seconds_day, money, remap
+from ..functions.columns import (cents_to_units, day_of, epoch_seconds_day, money_units, remap,
+                                 units_to_money)
 from ..operators.bridge import account_bridge, project_bridge, unified_bridge
-from ..operators.ledger import AMOUNT, Measure, attach_bridge, preaggregate, sum_long
+from ..operators.sizing import broadcast_if_small
+from ..operators.ledger import Measure, ledger_long_many, sum_long
 from ..sources.tables import Sources
 
 # ---- fixed values (as the reference states them) -------------------------
@@ -76,7 +78,7 @@ def bridges(src: Sources, tags=("gdt", "tt", "wechat", "project")) -> DataFrame:
 
 def _gdt(src: Sources, p: Params) -> FactSource:
     tt, at = F.col("trade_type"), F.col("account_type")
-    amt = cents_to_money("amount")
+    amt = cents_to_units("amount")
     return FactSource(src.gdt_cash_flow, "account_id", "gdt", day_of("trade_time"), [
         Measure("deposit_all_gdt", amt, (tt == GDT_CHARGE) & at.isin(*FUND_TYPES_ALL), GDT),
         Measure("refund_all_gdt", amt, tt == GDT_TRANSFER_BACK, GDT),
@@ -90,31 +92,31 @@ def _tt_transfers(src: Sources, p: Params) -> FactSource:
     xt = F.col("transaction_type") == TT_TRANSFER
     agents = list(p.agents) or [None]
     return FactSource(src.tt_transfers, "account_id", "tt", day_of("create_time"), [
-        Measure("deposit_all_tt", money("amount"), xt & F.col("remitter").isin(*agents), TT),
-        Measure("refund_all_tt", money("amount"), xt & F.col("payee").isin(*agents), TT),
+        Measure("deposit_all_tt", money_units("amount"), xt & F.col("remitter").isin(*agents), TT),
+        Measure("refund_all_tt", money_units("amount"), xt & F.col("payee").isin(*agents), TT),
     ])
 
 
 def _wechat_statements(src: Sources, p: Params) -> FactSource:
     wt = F.col("trade_type")
     return FactSource(src.wechat_statements, "account_id", "wechat", epoch_seconds_day("wechat_time", p.tz), [
-        Measure("deposit_all_wechat", cents_to_money("amount"), wt == WECHAT_DEPOSIT, WECHAT),
-        Measure("refund_all_wechat", cents_to_money("amount"), wt == WECHAT_REFUND, WECHAT),
+        Measure("deposit_all_wechat", cents_to_units("amount"), wt == WECHAT_DEPOSIT, WECHAT),
+        Measure("refund_all_wechat", cents_to_units("amount"), wt == WECHAT_REFUND, WECHAT),
     ])
 
 
 def _wechat_daily(src: Sources, p: Params) -> FactSource:
     return FactSource(src.wechat_daily, "account_id", "wechat", day_of("date"), [
-        Measure("total_cost_wechat", cents_to_money("cost")),
-        Measure("income_base_wechat", cents_to_money("cost")),
+        Measure("total_cost_wechat", cents_to_units("cost")),
+        Measure("income_base_wechat", cents_to_units("cost")),
     ])
 
 
 def _tt_daily(src: Sources, p: Params) -> FactSource:
     return FactSource(src.tt_daily, "account_id", "tt", day_of("date"), [
-        Measure("cb_tt", money("cash_cost")),
-        Measure("total_cost_tt", money("cash_cost") + money("reward_cost")),
-        Measure("income_base_tt", money("reward_cost") + money("cash_cost")),
+        Measure("cb_tt", money_units("cash_cost")),
+        Measure("total_cost_tt", money_units("cash_cost") + money_units("reward_cost")),
+        Measure("income_base_tt", money_units("reward_cost") + money_units("cash_cost")),
     ])
 
 
@@ -122,12 +124,12 @@ def _project_log(table: str, ts: str, name: str, amount: str, *, ts_required: bo
     def build(src: Sources, p: Params) -> FactSource:
         where = F.col(ts).isNotNull() if ts_required else None
         return FactSource(getattr(src, table), "project_id", "project", day_of(ts),
-                          [Measure(name, money(amount), where)])
+                          [Measure(name, money_units(amount), where)])
     return build
 
 
 def _consume(src: Sources, p: Params) -> FactSource:
-    own_spend = money("pay_consume_amount") + money("present_consume_amount")
+    own_spend = money_units("pay_consume_amount") + money_units("present_consume_amount")
     return FactSource(src.consume_log, "project_id", "project", day_of("consume_time"), [
         Measure("total_cost_yxt", own_spend), Measure("income_base_yxt", own_spend)])
 
@@ -135,7 +137,7 @@ def _consume(src: Sources, p: Params) -> FactSource:
 def _media(src: Sources, p: Params) -> FactSource:
     since = F.col("stat_date") >= F.lit(p.media_cost_since).cast("timestamp_ntz")
     return FactSource(src.media_cost, "project_id", "project", day_of("stat_date"),
-                      [Measure("cb_yxt", money("dsp_cost"), since)])
+                      [Measure("cb_yxt", money_units("dsp_cost"), since)])
 
 
 # source table -> (builder, measures it yields)
@@ -171,26 +173,26 @@ def facts_long(src: Sources, names: list[str] | None = None, *, p: Params | None
     """Long rows ``(keep..., stat_date, by..., metric, amount)`` of the named
     measures (all when ``names`` is None).
 
-    One scan and one pre-aggregate per source table; the pre-aggregates of all
-    tables are stacked and joined to the unified bridge once.
+    One scan per source table; the tables are stacked, joined to the unified
+    bridge once and summed per group (see ``operators.ledger``).
     """
-    parts, tags = [], []
+    sources, tags = [], []
     for s in fact_sources(src, p, names).values():
         ms = [m for m in s.measures if names is None or m.name in names]
-        parts.append(preaggregate(s.fact, key=s.key, day=s.day, measures=ms, by=by, tag=s.tag))
+        sources.append((s.fact, s.key, s.day, ms, s.tag))
         if s.tag not in tags:
             tags.append(s.tag)
-    if not parts:
+    if not sources:
         raise KeyError(f"unknown measures {names}")
-    pre = reduce(lambda a, b: a.unionByName(b), parts)
-    return attach_bridge(pre, bridges(src, tags), keep=keep, by=by)
+    return ledger_long_many(sources, bridges(src, tags), keep=keep, by=by)
 
 
 def fact_daily(src: Sources, names: list[str], *, p: Params | None = None,
                keep: tuple[str, ...] = ("customer_id",), by: tuple[str, ...] = ()) -> DataFrame:
     """Wide ``(keep..., stat_date, by..., <names>...)``."""
     long = facts_long(src, names, p=p, keep=keep, by=by)
-    return sum_long(long, names, grain=(*keep, "stat_date", *by))
+    wide = sum_long(long, names, grain=(*keep, "stat_date", *by))
+    return wide.select(*keep, "stat_date", *by, *[units_to_money(n).alias(n) for n in names])
 
 
 # ---- one function per query of the reference ------------------------------
@@ -218,8 +220,8 @@ def wechat_deposit(src, p=None):
 def gdt_spend_by_fund_type(src, p=None):
     """GDT spend per customer, fund type and day (all four fund types)."""
     long = facts_long(src, ["total_cost_gdt"], p=p, by=("account_type",))
-    return sum_long(long, ["total_cost_gdt"], grain=("customer_id", "stat_date", "account_type")
-                    ).withColumnRenamed("total_cost_gdt", "cost")
+    wide = sum_long(long, ["total_cost_gdt"], grain=("customer_id", "stat_date", "account_type"))
+    return wide.select("customer_id", "stat_date", "account_type", units_to_money("total_cost_gdt").alias("cost"))
 
 
 def gdt_spend(src, p=None):
@@ -268,21 +270,23 @@ def own_cost_basis(src, p=None):
     return fact_daily(src, ["cb_yxt"], p=p)
 
 
-def spend_by_entity(src, p=None, *, long: DataFrame | None = None):
+def spend_by_entity(src, p=None, *, long: DataFrame | None = None, units: bool = False):
     """Spend per customer, legal entity, day and platform: the base of net income.
     ``platform_id`` says which contracts apply (1 own, 2 GDT, 3 TT, 4 WeChat).
-    ``long``: entity-grain long rows that already hold the income-base measures."""
+    ``long``: entity-grain long rows that already hold the income-base measures;
+    ``units``: keep ``cost`` in integer units."""
     if long is None:
         long = facts_long(src, list(INCOME_BASE), p=p, keep=("customer_id", "entity_id"))
     long = long.filter(F.col("metric").isin(*INCOME_BASE))
     platform = remap("metric", INCOME_BASE, default=None, keep_others=False)
-    return (long.withColumn("platform_id", platform)
-            .groupBy("customer_id", "entity_id", "platform_id", "stat_date")
-            .agg(F.sum("amount").alias("cost")))
+    out = (long.withColumn("platform_id", platform)
+           .groupBy("customer_id", "entity_id", "platform_id", "stat_date")
+           .agg(F.sum("amount").alias("cost")))
+    return out if units else out.withColumn("cost", units_to_money("cost"))
 
 
-def invoices_daily(src: Sources, *, result: str = INVOICE_RESULT, status: str = INVOICE_STATUS) -> DataFrame:
-    """Invoiced amount per customer and day of the finished process.
+def invoice_units(src: Sources, *, result: str = INVOICE_RESULT, status: str = INVOICE_STATUS) -> DataFrame:
+    """``(customer_id, stat_date, invoice_amount)`` in integer units.
 
     Each invoice counts once per matching process code (the reference left-joins
     the code table without using it, H12): the codes are counted per value
@@ -293,22 +297,34 @@ def invoices_daily(src: Sources, *, result: str = INVOICE_RESULT, status: str =
     inv = src.invoices.filter((F.col("result") == result) & (F.col("status") == status)
                               & F.col("customer_id").isNotNull())
     j = inv.join(codes, inv["process_instance_id"] == codes["_code"], "left")
-    amount = money("invoice_balance") * F.coalesce(F.col("_times"), F.lit(1))
+    amount = money_units("invoice_balance") * F.coalesce(F.col("_times"), F.lit(1))
     return j.groupBy("customer_id", day_of("instance_finish_time").alias("stat_date")).agg(
-        F.sum(amount).cast(AMOUNT).alias("invoice_amount"))
+        F.sum(amount).alias("invoice_amount"))
 
 
-def receipts_daily(src: Sources) -> DataFrame:
-    """Received money per customer and day; lines marked deleted do not count,
-    and the order's entity must belong to the order's customer."""
+def invoices_daily(src: Sources, **kw) -> DataFrame:
+    """Invoiced amount per customer and day of the finished process (agreed
+    and completed invoices only)."""
+    return invoice_units(src, **kw).withColumn("invoice_amount", units_to_money("invoice_amount"))
+
+
+def receipt_units(src: Sources) -> DataFrame:
+    """``(customer_id, stat_date, arrive_amount)`` in integer units.  Lines are
+    summed per order and day before the join with their order."""
     lines = (src.receipt_lines.filter(F.col("is_delete") == 0)
              .groupBy(F.col("arrival_money_order_id").alias("_order"),
                       day_of("receipt_date").alias("stat_date"))
-             .agg(F.sum(money("receipt_money")).alias("_amt")))
+             .agg(F.sum(money_units("receipt_money")).alias("_amt")))
     heads = src.receipt_heads.select(F.col("id").alias("_order"), "customer_id", "customer_entity_id")
-    ents = src.entities.select(F.col("id").alias("customer_entity_id"), "customer_id")
+    ents = broadcast_if_small(src.entities.select(F.col("id").alias("customer_entity_id"), "customer_id"))
     j = lines.join(heads, "_order").join(ents, ["customer_entity_id", "customer_id"])
-    return j.groupBy("customer_id", "stat_date").agg(F.sum("_amt").cast(AMOUNT).alias("arrive_amount"))
+    return j.groupBy("customer_id", "stat_date").agg(F.sum("_amt").alias("arrive_amount"))
+
+
+def receipts_daily(src: Sources) -> DataFrame:
+    """Received money per customer and day; lines marked deleted do not count,
+    and the order's entity must belong to the order's customer."""
+    return receipt_units(src).withColumn("arrive_amount", units_to_money("arrive_amount"))
 
 
 def customer_list(src: Sources) -> DataFrame:

@@ -19,7 +19,8 @@ from ..operators.calendar import date_spine
 from ..operators.ledger import sum_long
 from ..sources.tables import Sources
 from .contracts import net_income
-from .facts import INCOME_BASE, Params, facts_long, invoices_daily, receipts_daily, spend_by_entity
+from ..functions.columns import units_to_money
+from .facts import INCOME_BASE, Params, facts_long, invoice_units, receipt_units, spend_by_entity
 
 JOINED = ["deposit_yxt_cash", "deposit_yxt_gift", "deposit_all_gdt", "deposit_all_tt",
           "deposit_all_wechat", "refund_all_gdt", "refund_all_tt", "refund_all_wechat",
@@ -50,7 +51,8 @@ def _long(df: DataFrame, value: str) -> DataFrame:
 
 
 def snapshot_long(src: Sources, p: Params | None = None) -> DataFrame:
-    """All joined measures and incomes as ``(customer_id, stat_date, metric, amount)``.
+    """All joined measures and incomes as ``(customer_id, stat_date, metric,
+    amount)``, amounts in integer units.
 
     The ledger tables are read once: the customer-level measures and the
     entity-level spend behind net income come out of the same pass.
@@ -59,9 +61,9 @@ def snapshot_long(src: Sources, p: Params | None = None) -> DataFrame:
     ledger = facts_long(src, ledger_names + list(INCOME_BASE), p=p, keep=("customer_id", "entity_id"))
     parts = [ledger.filter(~F.col("metric").isin(*INCOME_BASE))
              .select("customer_id", "stat_date", "metric", "amount"),
-             _long(invoices_daily(src), "invoice_amount"),
-             _long(receipts_daily(src), "arrive_amount"),
-             net_income(src, p, spend=spend_by_entity(src, p, long=ledger))]
+             _long(invoice_units(src), "invoice_amount"),
+             _long(receipt_units(src), "arrive_amount"),
+             net_income(src, p, spend=spend_by_entity(src, p, long=ledger, units=True), units=True)]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -71,7 +73,7 @@ def customer_day_snapshot(src: Sources, *, start, as_of=None, p: Params | None =
     customers = src.customers.select(F.col("id").alias("customer_id")).distinct()
     spine = date_spine(customers, start, as_of)
     snap = spine.join(wide, ["customer_id", "stat_date"], "left")
-    zero = F.lit(0).cast("decimal(38,4)")
+    zero = F.lit(0).cast("bigint")
     cols = {c: F.coalesce(F.col(c), zero) for c in JOINED + INCOMES}
     cols["cb_wechat"] = zero
     for name, parts in DERIVED.items():
@@ -80,7 +82,7 @@ def customer_day_snapshot(src: Sources, *, start, as_of=None, p: Params | None =
     for name, (a, b) in BALANCES.items():
         cols[name] = cols[a] - cols[b]
     return snap.select("customer_id", "stat_date",
-                       *[cols[c].alias(c) for c in COLUMNS if c not in ("customer_id", "stat_date")])
+                       *[units_to_money(cols[c]).alias(c) for c in COLUMNS if c not in ("customer_id", "stat_date")])
 
 
 __all__ = ["customer_day_snapshot", "snapshot_long", "COLUMNS", "INCOME_BASE"]
