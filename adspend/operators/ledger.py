@@ -28,7 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col_of
-from .sizing import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
+from . import sizing
+from .sizing import row_count_at_most
 
 AMOUNT = "bigint"   # money as integer units of 1/10000 yuan (functions.columns)
 
@@ -149,7 +150,7 @@ def ledger_long(fact: DataFrame, bridge: DataFrame, *, key: str, day: Column,
 
 
 def ledger_long_many(sources, bridge: DataFrame, *, keep: tuple[str, ...] = ("customer_id",),
-                     by: tuple[str, ...] = (), max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                     by: tuple[str, ...] = (), max_broadcast_rows: int | None = None) -> DataFrame:
     """Long form of many fact tables ``[(fact, key, day, measures, tag)]``
     joined once to a unified bridge keyed ``(_src, _k)``.
 
@@ -159,7 +160,8 @@ def ledger_long_many(sources, bridge: DataFrame, *, keep: tuple[str, ...] = ("cu
     first pre-aggregated on its own key and day, so the shuffled join moves
     at most one row per key, day and task.
     """
-    small = row_count_at_most(bridge, max_broadcast_rows) <= max_broadcast_rows
+    bound = sizing.DEFAULT_MAX_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
+    small = row_count_at_most(bridge, bound) <= bound
     if small:
         measures = list({m.name: m for _, _, _, ms, _ in sources for m in ms}.values())
         names = [m.name for m in measures]

@@ -53,6 +53,39 @@ SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
 }
 
 
+_M = "decimal(18,2)"
+# Column types of every source table (DDL), in the column order above.
+SOURCE_SCHEMAS: dict[str, str] = {
+    "customers": "id bigint",
+    "entities": "id bigint, customer_id bigint",
+    "projects": "project_id bigint, entity_id bigint, platform_id int",
+    "gdt_accounts": "account_id bigint, project_id bigint",
+    "tt_accounts": "account_id bigint, project_id bigint",
+    "wechat_accounts": "account_id bigint, project_id bigint",
+    "gdt_cash_flow": "account_id bigint, trade_type string, account_type string, trade_time timestamp_ntz, amount bigint",
+    "tt_transfers": f"account_id bigint, transaction_type string, remitter bigint, payee bigint, create_time timestamp_ntz, amount {_M}",
+    "wechat_statements": "account_id bigint, wechat_time bigint, trade_type string, amount bigint",
+    "wechat_daily": "account_id bigint, date timestamp_ntz, cost bigint",
+    "tt_daily": f"account_id bigint, date timestamp_ntz, cash_cost {_M}, reward_cost {_M}",
+    "deposit_log": f"project_id bigint, deposit_time timestamp_ntz, deposit_amount {_M}",
+    "present_log": f"project_id bigint, present_time timestamp_ntz, present_amount {_M}",
+    "refund_log": f"project_id bigint, refund_time timestamp_ntz, refund_amount {_M}",
+    "gift_refund_log": f"project_id bigint, gift_refund_time timestamp_ntz, gift_refund_amount {_M}",
+    "consume_log": f"project_id bigint, consume_time timestamp_ntz, pay_consume_amount {_M}, present_consume_amount {_M}",
+    "media_cost": f"project_id bigint, stat_date timestamp_ntz, dsp_cost {_M}",
+    "invoices": f"process_instance_id string, customer_id bigint, invoice_balance {_M}, instance_finish_time timestamp_ntz, result string, status string",
+    "process_codes": "process_instance_code string",
+    "receipt_heads": "id bigint, customer_id bigint, customer_entity_id bigint",
+    "receipt_lines": f"arrival_money_order_id bigint, receipt_money {_M}, receipt_date date, is_delete int",
+    "contracts": "id bigint, customer_entity_id bigint, settle_type int",
+    "contract_lines": "id bigint, contract_id bigint, media_id int, contract_rebate int, contract_begin_date date, contract_end_date date, remark string",
+    "settlement_heads": f"process_instance_id string, business_id string, contract_info bigint, customer_id bigint, kpi_start_date date, kpi_end_date date, result string, status string, billed_type string, adjust_amount {_M}",
+    "settlement_lines": "platform_name string, process_instance_id string, business_id string, account_id_platform string, "
+                        + ", ".join(f"{c} {_M}" for c in ("cash_consumed", "cash_deposit", "gift_consumed", "gift_deposit",
+                                                          "credit_consumed", "credit_deposit", "coupon_consumed", "coupon_deposit")),
+}
+
+
 class Sources:
     """The input DataFrames of the ledger jobs, one attribute per table of
     ``SOURCE_COLUMNS``.
@@ -106,6 +139,14 @@ def jdbc_sources(spark: SparkSession, url: str, tables: dict[str, str], *, prope
     return Sources(**{name: reader(name) for name in SOURCE_COLUMNS})
 
 
-def empty_like(spark: SparkSession, schema: StructType) -> DataFrame:
+def empty_like(spark: SparkSession, schema: StructType | str) -> DataFrame:
     """A typed empty frame, for a source that returned nothing (SRC-8)."""
     return spark.createDataFrame([], schema)
+
+
+def sources_from_rows(spark: SparkSession, **rows) -> Sources:
+    """``Sources`` from Python rows per table (typed by ``SOURCE_SCHEMAS``);
+    tables not given are typed and empty.  For small fixtures and examples."""
+    def make(name):
+        return lambda: spark.createDataFrame(rows.get(name, []), SOURCE_SCHEMAS[name])
+    return Sources(**{name: make(name) for name in SOURCE_COLUMNS})

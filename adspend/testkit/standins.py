@@ -31,6 +31,7 @@ TEST_AGENT_ID = 1
 
 
 class TestTables:
+    __test__ = False
     """Lazy ``spark.read.parquet`` of the driver's tables, one read per table
     and session (a read plans nothing but the file scan)."""
 
