@@ -19,6 +19,16 @@ def one_day() -> Column:
     return F.expr("INTERVAL 1 DAY")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small frame over all shuffle partitions before it is exploded
+    into days.  The aggregate or dimension feeding an explode is tiny, so AQE
+    would coalesce it into a task or two, while the explode multiplies it by
+    the number of days.  A round-robin repartition with an explicit count is
+    neither coalesced nor merged with a hash exchange below it (and Spark
+    sorts before it, so a retried task gets the same rows)."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _as_date(v) -> Column:
     if v is None:
         return F.current_date()
@@ -35,7 +45,7 @@ def date_spine(keys: DataFrame, start, as_of=None, *, name: str = "stat_date") -
     ``as_of`` defaults to today (SCL-12).  ``keys`` should be distinct.
     """
     days = F.sequence(_as_date(start), _as_date(as_of), one_day())
-    return keys.select("*", F.explode(days).alias(name))
+    return spread(keys).select("*", F.explode(days).alias(name))
 
 
 def fill_grid(spine: DataFrame, facts: list[DataFrame], on: list[str], *, fill=0) -> DataFrame:
@@ -92,7 +102,7 @@ def apportion_daily(df: DataFrame, keys: list[str], begin: str, end: str, amount
                .agg(F.min(lo).alias("_lo"), F.max(hi).alias("_hi"), first.alias("_amt"))
                .filter(F.col("_lo").isNotNull()))
     n_days = F.datediff(F.col("_hi"), F.col("_lo")) + F.lit(1)
-    return per_key.select(
+    return spread(per_key).select(
         *keys,
         F.explode(F.sequence(F.col("_lo"), F.col("_hi"), one_day())).alias(name),
         (F.col("_amt").cast("double") / n_days.cast("double")).alias(out))
