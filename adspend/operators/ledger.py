@@ -155,10 +155,12 @@ def ledger_long_many(sources, bridge: DataFrame, *, keep: tuple[str, ...] = ("cu
     joined once to a unified bridge keyed ``(_src, _k)``.
 
     The plan depends on the bridge's checked size: within the bound it is
-    broadcast and joined to the fact rows map-side (the facts never shuffle;
-    only the partial sums per customer and day do); beyond it every fact is
-    first pre-aggregated on its own key and day, so the shuffled join moves
-    at most one row per key, day and task.
+    broadcast and joined to the stacked rows of all tables map-side (one
+    conditional sum per measure, measures of other tables are NULL), and only
+    the partial sums per customer and day shuffle.  Beyond the bound every
+    fact is first pre-aggregated on its own key and day, the pre-aggregates
+    are stacked and joined once, so the shuffled join moves at most one row
+    per key, day and task.
     """
     bound = sizing.DEFAULT_MAX_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
     small = row_count_at_most(bridge, bound) <= bound
@@ -167,7 +169,7 @@ def ledger_long_many(sources, bridge: DataFrame, *, keep: tuple[str, ...] = ("cu
         names = [m.name for m in measures]
         parts = [measure_columns(fact, key=key, day=day, measures=ms, names=names, by=by, tag=tag)
                  for fact, key, day, ms, tag in sources]
-        rows = reduce(lambda a, b: a.unionByName(b), parts)
+        rows = reduce(lambda a, c: a.unionByName(c), parts)
         return sum_columns(rows, F.broadcast(bridge), measures, keep=keep, by=by)
     parts = [preaggregate(fact, key=key, day=day, measures=ms, by=by, tag=tag)
              for fact, key, day, ms, tag in sources]

@@ -75,7 +75,14 @@ def _days(base: Column, n: Column) -> Column:
 
 
 def build_sources(t: TestTables) -> Sources:
-    """Stand-in ``Sources``; each table is built on first use."""
+    """Stand-in ``Sources``; each table is built on first use, once per
+    session and data folder."""
+    if "__sources__" not in t._cache:
+        t._cache["__sources__"] = _build_sources(t)
+    return t._cache["__sources__"]
+
+
+def _build_sources(t: TestTables) -> Sources:
     ln = F.col("l_linenumber")
 
     def customers():
