@@ -46,25 +46,20 @@ class Measure:
 
 
 def measure_columns(fact: DataFrame, *, key: str, day: Column, measures: list[Measure],
-                    names: list[str], by: tuple[str, ...] = (), tag: str | None = None) -> DataFrame:
-    """``(_src, _k, stat_date, by..., <name>...)`` straight from the fact rows:
-    one column per measure of ``names`` holding the row's amount where the
-    row counts for that measure, else NULL (measures of other tables are
-    NULL), so tables with different measures stack by ``unionByName``.  Rows
-    counting for no measure are dropped at the scan."""
+                    by: tuple[str, ...] = (), tag: str | None = None) -> DataFrame:
+    """``(_src, _k, stat_date, by..., <measure>...)`` straight from the fact
+    rows: one column per measure holding the row's amount where the row
+    counts for that measure, else NULL.  Tables with different measures stack
+    with ``unionByName(allowMissingColumns=True)`` (other tables' measures are
+    NULL).  Rows counting for no measure are dropped at the scan."""
     conds = [m.where for m in measures]
     rows = fact
     if all(c is not None for c in conds):
         rows = rows.filter(reduce(lambda a, b: a | b, conds))
-    mine = {m.name: m for m in measures}
     cols = []
-    for n in names:
-        m = mine.get(n)
-        if m is None:
-            cols.append(F.lit(None).cast(AMOUNT).alias(n))
-        else:
-            amount = F.coalesce(m.amount.cast(AMOUNT), F.lit(0).cast(AMOUNT))
-            cols.append((F.when(m.where, amount) if m.where is not None else amount).alias(n))
+    for m in measures:
+        amount = F.coalesce(m.amount.cast(AMOUNT), F.lit(0).cast(AMOUNT))
+        cols.append((F.when(m.where, amount) if m.where is not None else amount).alias(m.name))
     return rows.select(F.lit(tag or key).alias("_src"), F.col(key).alias("_k"), day.alias("stat_date"),
                        *by, *cols)
 
@@ -166,10 +161,9 @@ def ledger_long_many(sources, bridge: DataFrame, *, keep: tuple[str, ...] = ("cu
     small = row_count_at_most(bridge, bound) <= bound
     if small:
         measures = list({m.name: m for _, _, _, ms, _ in sources for m in ms}.values())
-        names = [m.name for m in measures]
-        parts = [measure_columns(fact, key=key, day=day, measures=ms, names=names, by=by, tag=tag)
+        parts = [measure_columns(fact, key=key, day=day, measures=ms, by=by, tag=tag)
                  for fact, key, day, ms, tag in sources]
-        rows = reduce(lambda a, c: a.unionByName(c), parts)
+        rows = reduce(lambda a, c: a.unionByName(c, allowMissingColumns=True), parts)
         return sum_columns(rows, F.broadcast(bridge), measures, keep=keep, by=by)
     parts = [preaggregate(fact, key=key, day=day, measures=ms, by=by, tag=tag)
              for fact, key, day, ms, tag in sources]
