@@ -79,7 +79,7 @@ def expand_period(df: DataFrame, begin: str | Column, end: str | Column, *,
                   name: str = "stat_date", drop: bool = True) -> DataFrame:
     """One row per day of each row's period ``[begin, end]``."""
     lo, hi = period_bounds(begin, end)
-    out = df.withColumn(name, F.explode(F.sequence(lo, hi, one_day())))
+    out = spread(df).withColumn(name, F.explode(F.sequence(lo, hi, one_day())))
     if drop:
         out = out.drop(*[c for c in (begin, end) if isinstance(c, str) and c != name])
     return out
