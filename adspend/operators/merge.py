@@ -77,3 +77,18 @@ def write_replacing(df: DataFrame, path: str, *, partition_by: list[str] | None
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
+
+
+def write_snapshot(df: DataFrame, path: str, *, mode: str = "append",
+                   partition_by: list[str] | None = ("stat_date",), fmt: str = "parquet") -> None:
+    """Write a snapshot: ``mode="append"`` adds the rows (a second run doubles
+    them, as the reference does, H7); ``mode="replace"`` replaces the
+    partitions (days) the snapshot holds and leaves the others."""
+    parts = list(partition_by or [])
+    if mode == "replace":
+        write_replacing(df, path, partition_by=parts, fmt=fmt)
+        return
+    w = df.write.mode("append").format(fmt)
+    if parts:
+        w = w.partitionBy(*parts)
+    w.save(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adspend.functions.columns import epoch_seconds_day, optional_column, remap
 from adspend.operators.calendar import apportion_daily, expand_period
-from adspend.operators.merge import replace_slice, upsert, write_replacing
+from adspend.operators.merge import replace_slice, upsert, write_snapshot
 from adspend.plans import contracts as C
 from adspend.plans import facts as Fa
 from adspend.plans import reports as R
@@ -90,8 +90,8 @@ def test_h7_append_doubles_replace_by_day_does_not(spark, tmp_dir):
     snap = customer_day_snapshot(src, start="2020-01-01", as_of="2020-01-02")
     app, rep = f"{tmp_dir}/append", f"{tmp_dir}/replace"
     for _ in range(2):
-        snap.write.mode("append").parquet(app)
-        write_replacing(snap, rep, partition_by=["stat_date"])
+        write_snapshot(snap, app, mode="append")
+        write_snapshot(snap, rep, mode="replace")
     assert spark.read.parquet(app).count() == 4
     assert spark.read.parquet(rep).count() == 2
 
