@@ -13,7 +13,7 @@ from ..operators.groups import first_per_group
 from ..operators.intervals import interval_join
 from ..operators.sizing import broadcast_if_small
 from ..sources.tables import Sources
-from .facts import INCOME_BASE, Params, spend_by_entity
+from .facts import Params, spend_by_entity
 
 # ---- fixed values (as the reference states them) -------------------------
 CONTRACT_MEDIA = (1, 2, 3, 4)

@@ -9,14 +9,13 @@ single scan and a single aggregate.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import (cents_to_units, day_of, epoch_seconds_day, money_units, remap,
                                  units_to_money)
-from ..operators.bridge import account_bridge, project_bridge, unified_bridge
+from ..operators.bridge import project_bridge, unified_bridge
 from ..operators.ledger import Measure, ledger_long_many, sum_long
 from ..sources.tables import Sources
 
