@@ -8,6 +8,7 @@ single scan and a single aggregate.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -43,11 +44,13 @@ INCOME_BASE = {"income_base_gdt": GDT, "income_base_tt": TT,
 class Params:
     """Run parameters.  ``agents``: the agent's own TT account ids (deposits are
     transfers from them, refunds transfers to them); ``tz``: zone of the WeChat
-    epoch timestamps; ``media_cost_since``: lower bound of the media cost."""
+    epoch timestamps; ``media_cost_since``: lower bound of the media cost;
+    ``window``: first and last day to read (None: all)."""
 
     agents: tuple = ()
     tz: str = "UTC"
     media_cost_since: str = MEDIA_COST_SINCE
+    window: tuple | None = None   # (first day, last day): read only facts of these days
 
 
 @dataclass
@@ -57,6 +60,36 @@ class FactSource:
     tag: str            # key space: which bridge maps the key (gdt, tt, wechat, project)
     day: Column
     measures: list[Measure] = field(default_factory=list)
+    ts: str | None = None       # raw time column, for pushing a day window to the scan
+    epoch: bool = False         # ts holds epoch seconds
+
+
+def day_window(ts: str, day: Column, window, *, epoch: bool = False) -> Column:
+    """Rows whose day falls in ``window = (first, last)`` (dates, inclusive).
+
+    A range on the raw time column comes first, so Parquet row-group
+    statistics and date partitions prune the scan; epoch seconds get one day
+    of margin for the time zone.  The exact day test follows.
+    """
+    first, last = (_to_date(d) for d in window)
+    after = last + dt.timedelta(days=1)
+    if epoch:
+        lo = (first - dt.date(1970, 1, 1)).days * 86400 - 86400
+        hi = (after - dt.date(1970, 1, 1)).days * 86400 + 86400
+        raw = (F.col(ts) >= F.lit(lo)) & (F.col(ts) < F.lit(hi))
+    else:
+        raw = (F.col(ts) >= F.lit(first)) & (F.col(ts) < F.lit(after))
+    return raw & day.between(F.lit(first), F.lit(last))
+
+
+def _to_date(d) -> dt.date:
+    if d is None:
+        return dt.date.today()
+    if isinstance(d, dt.datetime):
+        return d.date()
+    if isinstance(d, dt.date):
+        return d
+    return dt.date.fromisoformat(str(d)[:10])
 
 
 def bridges(src: Sources, tags=("gdt", "tt", "wechat", "project")) -> DataFrame:
@@ -77,7 +110,7 @@ def bridges(src: Sources, tags=("gdt", "tt", "wechat", "project")) -> DataFrame:
 def _gdt(src: Sources, p: Params) -> FactSource:
     tt, at = F.col("trade_type"), F.col("account_type")
     amt = cents_to_units("amount")
-    return FactSource(src.gdt_cash_flow, "account_id", "gdt", day_of("trade_time"), [
+    return FactSource(src.gdt_cash_flow, "account_id", "gdt", day_of("trade_time"), ts="trade_time", measures=[
         Measure("deposit_all_gdt", amt, (tt == GDT_CHARGE) & at.isin(*FUND_TYPES_ALL), GDT),
         Measure("refund_all_gdt", amt, tt == GDT_TRANSFER_BACK, GDT),
         Measure("total_cost_gdt", amt, (tt == GDT_PAY) & at.isin(*FUND_TYPES_ALL)),
@@ -89,7 +122,7 @@ def _gdt(src: Sources, p: Params) -> FactSource:
 def _tt_transfers(src: Sources, p: Params) -> FactSource:
     xt = F.col("transaction_type") == TT_TRANSFER
     agents = list(p.agents) or [None]
-    return FactSource(src.tt_transfers, "account_id", "tt", day_of("create_time"), [
+    return FactSource(src.tt_transfers, "account_id", "tt", day_of("create_time"), ts="create_time", measures=[
         Measure("deposit_all_tt", money_units("amount"), xt & F.col("remitter").isin(*agents), TT),
         Measure("refund_all_tt", money_units("amount"), xt & F.col("payee").isin(*agents), TT),
     ])
@@ -97,21 +130,22 @@ def _tt_transfers(src: Sources, p: Params) -> FactSource:
 
 def _wechat_statements(src: Sources, p: Params) -> FactSource:
     wt = F.col("trade_type")
-    return FactSource(src.wechat_statements, "account_id", "wechat", epoch_seconds_day("wechat_time", p.tz), [
+    return FactSource(src.wechat_statements, "account_id", "wechat", epoch_seconds_day("wechat_time", p.tz),
+                      ts="wechat_time", epoch=True, measures=[
         Measure("deposit_all_wechat", cents_to_units("amount"), wt == WECHAT_DEPOSIT, WECHAT),
         Measure("refund_all_wechat", cents_to_units("amount"), wt == WECHAT_REFUND, WECHAT),
     ])
 
 
 def _wechat_daily(src: Sources, p: Params) -> FactSource:
-    return FactSource(src.wechat_daily, "account_id", "wechat", day_of("date"), [
+    return FactSource(src.wechat_daily, "account_id", "wechat", day_of("date"), ts="date", measures=[
         Measure("total_cost_wechat", cents_to_units("cost")),
         Measure("income_base_wechat", cents_to_units("cost")),
     ])
 
 
 def _tt_daily(src: Sources, p: Params) -> FactSource:
-    return FactSource(src.tt_daily, "account_id", "tt", day_of("date"), [
+    return FactSource(src.tt_daily, "account_id", "tt", day_of("date"), ts="date", measures=[
         Measure("cb_tt", money_units("cash_cost")),
         Measure("total_cost_tt", money_units("cash_cost") + money_units("reward_cost")),
         Measure("income_base_tt", money_units("reward_cost") + money_units("cash_cost")),
@@ -122,20 +156,20 @@ def _project_log(table: str, ts: str, name: str, amount: str, *, ts_required: bo
     def build(src: Sources, p: Params) -> FactSource:
         where = F.col(ts).isNotNull() if ts_required else None
         return FactSource(getattr(src, table), "project_id", "project", day_of(ts),
-                          [Measure(name, money_units(amount), where)])
+                          [Measure(name, money_units(amount), where)], ts=ts)
     return build
 
 
 def _consume(src: Sources, p: Params) -> FactSource:
     own_spend = money_units("pay_consume_amount") + money_units("present_consume_amount")
     return FactSource(src.consume_log, "project_id", "project", day_of("consume_time"), [
-        Measure("total_cost_yxt", own_spend), Measure("income_base_yxt", own_spend)])
+        Measure("total_cost_yxt", own_spend), Measure("income_base_yxt", own_spend)], ts="consume_time")
 
 
 def _media(src: Sources, p: Params) -> FactSource:
     since = F.col("stat_date") >= F.lit(p.media_cost_since).cast("timestamp_ntz")
     return FactSource(src.media_cost, "project_id", "project", day_of("stat_date"),
-                      [Measure("cb_yxt", money_units("dsp_cost"), since)])
+                      [Measure("cb_yxt", money_units("dsp_cost"), since)], ts="stat_date")
 
 
 # source table -> (builder, measures it yields)
@@ -175,9 +209,11 @@ def facts_long(src: Sources, names: list[str] | None = None, *, p: Params | None
     bridge once and summed per group (see ``operators.ledger``).
     """
     sources, tags = [], []
+    window = (p or Params()).window
     for s in fact_sources(src, p, names).values():
         ms = [m for m in s.measures if names is None or m.name in names]
-        sources.append((s.fact, s.key, s.day, ms, s.tag))
+        fact = s.fact if window is None else s.fact.filter(day_window(s.ts, s.day, window, epoch=s.epoch))
+        sources.append((fact, s.key, s.day, ms, s.tag))
         if s.tag not in tags:
             tags.append(s.tag)
     if not sources:
@@ -283,7 +319,8 @@ def spend_by_entity(src, p=None, *, long: DataFrame | None = None, units: bool =
     return out if units else out.withColumn("cost", units_to_money("cost"))
 
 
-def invoice_units(src: Sources, *, result: str = INVOICE_RESULT, status: str = INVOICE_STATUS) -> DataFrame:
+def invoice_units(src: Sources, *, result: str = INVOICE_RESULT, status: str = INVOICE_STATUS,
+                  window=None) -> DataFrame:
     """``(customer_id, stat_date, invoice_amount)`` in integer units.
 
     Each invoice counts once per matching process code (the reference left-joins
@@ -294,6 +331,8 @@ def invoice_units(src: Sources, *, result: str = INVOICE_RESULT, status: str = I
         F.count(F.lit(1)).alias("_times"))
     inv = src.invoices.filter((F.col("result") == result) & (F.col("status") == status)
                               & F.col("customer_id").isNotNull())
+    if window is not None:
+        inv = inv.filter(day_window("instance_finish_time", day_of("instance_finish_time"), window))
     j = inv.join(codes, inv["process_instance_id"] == codes["_code"], "left")
     amount = money_units("invoice_balance") * F.coalesce(F.col("_times"), F.lit(1))
     return j.groupBy("customer_id", day_of("instance_finish_time").alias("stat_date")).agg(
@@ -306,11 +345,13 @@ def invoices_daily(src: Sources, **kw) -> DataFrame:
     return invoice_units(src, **kw).withColumn("invoice_amount", units_to_money("invoice_amount"))
 
 
-def receipt_units(src: Sources) -> DataFrame:
+def receipt_units(src: Sources, *, window=None) -> DataFrame:
     """``(customer_id, stat_date, arrive_amount)`` in integer units.  Lines are
     summed per order and day before the join with their order."""
-    lines = (src.receipt_lines.filter(F.col("is_delete") == 0)
-             .groupBy(F.col("arrival_money_order_id").alias("_order"),
+    lines = src.receipt_lines.filter(F.col("is_delete") == 0)
+    if window is not None:
+        lines = lines.filter(day_window("receipt_date", day_of("receipt_date"), window))
+    lines = (lines.groupBy(F.col("arrival_money_order_id").alias("_order"),
                       day_of("receipt_date").alias("stat_date"))
              .agg(F.sum(money_units("receipt_money")).alias("_amt")))
     heads = src.receipt_heads.select(F.col("id").alias("_order"), "customer_id", "customer_entity_id")

@@ -10,6 +10,7 @@ The only fan-out is the spine itself (customers x days, made by
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -59,16 +60,22 @@ def snapshot_long(src: Sources, p: Params | None = None) -> DataFrame:
     """
     ledger_names = [m for m in JOINED if m not in ("invoice_amount", "arrive_amount")]
     ledger = facts_long(src, ledger_names + list(INCOME_BASE), p=p, keep=("customer_id", "entity_id"))
+    window = (p or Params()).window
     parts = [ledger.filter(~F.col("metric").isin(*INCOME_BASE))
              .select("customer_id", "stat_date", "metric", "amount"),
-             _long(invoice_units(src), "invoice_amount"),
-             _long(receipt_units(src), "arrive_amount"),
+             _long(invoice_units(src, window=window), "invoice_amount"),
+             _long(receipt_units(src, window=window), "arrive_amount"),
              net_income(src, p, spend=spend_by_entity(src, p, long=ledger, units=True), units=True)]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def customer_day_snapshot(src: Sources, *, start, as_of=None, p: Params | None = None) -> DataFrame:
-    """One row per customer and day of ``[start, as_of]`` (Q-29), 35 columns."""
+    """One row per customer and day of ``[start, as_of]`` (Q-29), 35 columns.
+
+    Only facts of those days are read: the day window is pushed to every
+    fact scan, so a run over the last few days reads the last few days.
+    """
+    p = replace(p or Params(), window=(start, as_of))
     wide = sum_long(snapshot_long(src, p), JOINED + INCOMES, grain=("customer_id", "stat_date"))
     customers = src.customers.select(F.col("id").alias("customer_id")).distinct()
     spine = date_spine(customers, start, as_of)

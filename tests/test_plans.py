@@ -51,3 +51,26 @@ def test_filters_and_columns_reach_the_parquet_scan(spark, tmp_dir):
     assert "EqualTo(trade_type,CHARGE)" in scan
     assert "ReadSchema: struct<account_id:bigint,trade_type:string,account_type:string" in scan
     assert _rows(df) == [(1, dt.date(2020, 1, 1), D("1.0000"))]
+
+
+def test_snapshot_window_equals_full_run_and_reaches_the_scan(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from adspend.plans.snapshot import customer_day_snapshot
+    src = build_sources(TestTables(spark, SF))
+    full = customer_day_snapshot(src, start="1995-01-01", as_of="2001-12-31", p=PARAMS)
+    part = customer_day_snapshot(src, start="1997-03-01", as_of="1997-03-10", p=PARAMS)
+    want = full.filter(F.col("stat_date").between(F.lit(dt.date(1997, 3, 1)), F.lit(dt.date(1997, 3, 10))))
+    assert part.count() == 50 and _rows(part) == _rows(want)
+
+    flow = [(1000, "PAY", "FUND_TYPE_CASH", dt.datetime(2020, 1, d), 100) for d in (1, 2, 3)]
+    spark.createDataFrame(flow, SOURCE_SCHEMAS["gdt_cash_flow"]).write.parquet(f"{tmp_dir}/gdt")
+    base = sources_from_rows(spark, customers=[(1,)], entities=[(10, 1)], projects=[(100, 10, 2)],
+                             gdt_accounts=[(1000, 100)])
+    tables = {n: getattr(base, n) for n in SOURCE_SCHEMAS}
+    tables["gdt_cash_flow"] = spark.read.parquet(f"{tmp_dir}/gdt")
+    snap = customer_day_snapshot(Sources(**tables), start="2020-01-02", as_of="2020-01-02")
+    plan = snap._jdf.queryExecution().executedPlan().toString()
+    scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln][0]
+    assert "GreaterThanOrEqual(trade_time" in scan and "LessThan(trade_time" in scan
+    assert snap.first()["total_cost_gdt"] == D("1.0000")
