@@ -81,7 +81,7 @@ LEDGER_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "refund_gdt": _fact(Fa.gdt_refund),
     "refund_own_cash": _fact(Fa.own_cash_refund),
     "refund_own_gift": _fact(Fa.own_gift_refund),
-    "cost_basis_own_preaggregated": _fact(Fa.own_cost_basis),
+    "cost_basis_own": _fact(Fa.own_cost_basis),
     "spend_by_entity": _fact(Fa.spend_by_entity),
     "invoices_daily": lambda spark, sf: present(Fa.invoices_daily(_src(spark, sf))),
     "receipts_daily": lambda spark, sf: present(Fa.receipts_daily(_src(spark, sf))),
@@ -112,7 +112,7 @@ LEDGER_ORACLE: dict[str, str] = {
     "refund_gdt": O.fact_query(["refund_all_gdt"]),
     "refund_own_cash": O.fact_query(["refund_yxt_cash"]),
     "refund_own_gift": O.fact_query(["refund_yxt_gift"]),
-    "cost_basis_own_preaggregated": O.cost_basis_own(),
+    "cost_basis_own": O.cost_basis_own(),
     "spend_by_entity": O.spend_by_entity(),
     "invoices_daily": O.invoices_daily(),
     "receipts_daily": O.receipts_daily(),
