@@ -65,21 +65,21 @@ class FactSource:
 
 
 def day_window(ts: str, day: Column, window, *, epoch: bool = False) -> Column:
-    """Rows whose day falls in ``window = (first, last)`` (dates, inclusive).
+    """Rows whose day falls in ``window = (first, last)`` (dates, inclusive),
+    as a range on the raw time column, so Parquet row-group statistics and
+    date partitions prune the scan.
 
-    A range on the raw time column comes first, so Parquet row-group
-    statistics and date partitions prune the scan; epoch seconds get one day
-    of margin for the time zone.  The exact day test follows.
+    For a date or timestamp column ``first <= ts < last + 1 day`` is exactly
+    the day test.  Epoch seconds are read in a time zone, so their range gets
+    one day of margin and the exact day test follows.
     """
     first, last = (_to_date(d) for d in window)
     after = last + dt.timedelta(days=1)
-    if epoch:
-        lo = (first - dt.date(1970, 1, 1)).days * 86400 - 86400
-        hi = (after - dt.date(1970, 1, 1)).days * 86400 + 86400
-        raw = (F.col(ts) >= F.lit(lo)) & (F.col(ts) < F.lit(hi))
-    else:
-        raw = (F.col(ts) >= F.lit(first)) & (F.col(ts) < F.lit(after))
-    return raw & day.between(F.lit(first), F.lit(last))
+    if not epoch:
+        return (F.col(ts) >= F.lit(first)) & (F.col(ts) < F.lit(after))
+    lo = (first - dt.date(1970, 1, 1)).days * 86400 - 86400
+    hi = (after - dt.date(1970, 1, 1)).days * 86400 + 86400
+    return (F.col(ts) >= F.lit(lo)) & (F.col(ts) < F.lit(hi)) & day.between(F.lit(first), F.lit(last))
 
 
 def _to_date(d) -> dt.date:
