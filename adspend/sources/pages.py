@@ -49,10 +49,22 @@ def landed(row_schema: StructType) -> StructType:
 
 
 def parse_report_pages(lines: DataFrame, row_schema: StructType, *, col: str = "value",
-                       fields: list[str] | None = None, drop: tuple[str, ...] = ("date",)) -> DataFrame:
+                       fields: list[str] | None = None, drop: tuple[str, ...] = ("date",),
+                       account_id=None, stat_date=None, dates=None) -> DataFrame:
     """Rows of all accepted pages: ``account_id, stat_date`` and the requested
-    ``fields`` of the row schema (all but ``drop`` by default; H19)."""
+    ``fields`` of the row schema (all but ``drop`` by default; H19).
+
+    ``account_id`` / ``stat_date`` give the request's keys when the landed
+    record does not carry them (SRC-7); ``dates = (first, last)`` keeps the
+    pages of those days only (SRC-6).
+    """
     r = lines.select(F.from_json(F.col(col), landed(row_schema)).alias("r")).select("r.*")
+    if account_id is not None:
+        r = r.withColumn("account_id", F.coalesce("account_id", F.lit(account_id).cast("long")))
+    if stat_date is not None:
+        r = r.withColumn("stat_date", F.coalesce("stat_date", F.to_date(F.lit(str(stat_date)))))
+    if dates is not None:
+        r = r.filter(F.col("stat_date").between(F.to_date(F.lit(str(dates[0]))), F.to_date(F.lit(str(dates[1])))))
     ok = (F.col("response.code") == PAGE_OK) & (F.size("response.data.list") > 0)
     rows = r.filter(ok).select("account_id", "stat_date", F.explode("response.data.list").alias("row"))
     names = [f.name for f in row_schema.fields

@@ -245,3 +245,19 @@ def test_apportion_sum_invariant(spark):
     df = spark.createDataFrame([("c", D1, dt.date(2020, 1, 7), 7.0)], "k string, b date, e date, a double")
     out = apportion_daily(df, ["k"], "b", "e", "a")
     assert out.count() == 7 and abs(out.agg(F.sum("a")).first()[0] - 7.0) < 1e-9
+
+
+def test_src6_src7_request_keys_and_date_range(spark):
+    from pyspark.sql.types import LongType, StructField, StructType
+    row = StructType([StructField("cost", LongType())])
+    lines = spark.createDataFrame([('{"page": 1, "response": {"code": 0, "data": {"list": [{"cost": 3}]}}}',),
+                                   ('{"stat_date": "2020-02-01", "response": {"code": 0, "data": {"list": [{"cost": 4}]}}}',)],
+                                  "value string")
+    out = parse_report_pages(lines, row, account_id=8, stat_date="2020-01-05", dates=("2020-01-01", "2020-01-31"))
+    assert rows(out) == [(8, dt.date(2020, 1, 5), 3)]
+
+
+def test_snk5_rows_as_json(spark):
+    from adspend.sources.pages import to_json_rows
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    assert to_json_rows(df).first()[0] == '{"k":1,"v":"a"}'
