@@ -24,30 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators.merge import replace_slice, write_replacing
+from ..operators.table_writes import replace_slices_in_table
 from ..session import shared_dir
 from ..sources.pages import parse_report_pages
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def replace_slices_in_table(batch: DataFrame, target: str, *, keys=("account_id", "stat_date"),
-                            partition_by=("stat_date",)) -> None:
-    """Replace in the table at ``target`` the key slices present in ``batch``."""
-    spark = batch.sparkSession
-    if not _exists(spark, target):
-        batch.write.partitionBy(*partition_by).parquet(target)
-        return
-    old = spark.read.parquet(target)
-    touched = old.join(batch.select(*partition_by).distinct(), list(partition_by), "left_semi")
-    merged = replace_slice(touched, batch.select(*old.columns), list(keys)).checkpoint(eager=True)
-    write_replacing(merged, target, partition_by=list(partition_by))
-
-
 def land_report_pages(spark: SparkSession, source: str, target: str, row_schema: StructType, *,
                       keys=("account_id", "stat_date"), checkpoint: str | None = None,
                       available_now: bool = True, name: str = "report_pages") -> StreamingQuery:

@@ -34,3 +34,19 @@ def test_stream_replaces_account_day_slices(spark, tmp_dir):
     got = sorted((r[0], str(r[1]), r[2], r[3]) for r in
                  spark.read.parquet(target).select("account_id", "stat_date", "hour", "cost").collect())
     assert got == [(1, "2020-01-01", 5, 99), (1, "2020-01-02", 3, 7), (2, "2020-01-01", 0, 5)]
+
+
+def test_upsert_into_table_touches_only_its_days(spark, tmp_dir):
+    import datetime as dt
+
+    from adspend.operators.table_writes import upsert_into_table
+    target = f"{tmp_dir}/channel"
+    schema = "stat_day date, channel_id int, adx_cost double, seq int"
+    d1, d2, d3 = dt.date(2020, 1, 1), dt.date(2020, 1, 2), dt.date(2020, 1, 3)
+    first = spark.createDataFrame([(d1, 7, 1.0, 1), (d2, 7, 2.0, 1)], schema)
+    upsert_into_table(first, target, keys=["stat_day", "channel_id"], partition_by=["stat_day"], order_by=["seq"])
+    upd = spark.createDataFrame([(d2, 7, 5.0, 1), (d2, 7, 6.0, 2), (d3, 7, 3.0, 1)], schema)
+    for _ in range(2):  # idempotent
+        upsert_into_table(upd, target, keys=["stat_day", "channel_id"], partition_by=["stat_day"], order_by=["seq"])
+    got = sorted((str(r["stat_day"]), r["channel_id"], r["adx_cost"]) for r in spark.read.parquet(target).collect())
+    assert got == [("2020-01-01", 7, 1.0), ("2020-01-02", 7, 6.0), ("2020-01-03", 7, 3.0)]
