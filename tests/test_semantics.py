@@ -261,3 +261,12 @@ def test_snk5_rows_as_json(spark):
     from adspend.sources.pages import to_json_rows
     df = spark.createDataFrame([(1, "a")], "k int, v string")
     assert to_json_rows(df).first()[0] == '{"k":1,"v":"a"}'
+
+
+def test_src8_empty_sources_give_zero_grid(spark):
+    from adspend.sources.tables import SOURCE_SCHEMAS, empty_like
+    src = sources_from_rows(spark, customers=[(1,), (2,)])
+    snap = customer_day_snapshot(src, start="2020-01-01", as_of="2020-01-02")
+    assert snap.count() == 4
+    assert snap.agg(F.sum("deposit_all"), F.sum("incoming_all")).first() == (0, 0)
+    assert empty_like(spark, SOURCE_SCHEMAS["invoices"]).count() == 0
