@@ -307,15 +307,15 @@ def own_cost_basis(src, p=None):
 def spend_by_entity(src, p=None, *, long: DataFrame | None = None, units: bool = False):
     """Spend per customer, legal entity, day and platform: the base of net income.
     ``platform_id`` says which contracts apply (1 own, 2 GDT, 3 TT, 4 WeChat).
-    ``long``: entity-grain long rows that already hold the income-base measures;
+    ``long``: entity-grain long rows (one per customer, entity, day and metric,
+    as ``facts_long`` gives them) that already hold the income-base measures;
     ``units``: keep ``cost`` in integer units."""
     if long is None:
         long = facts_long(src, list(INCOME_BASE), p=p, keep=("customer_id", "entity_id"))
-    long = long.filter(F.col("metric").isin(*INCOME_BASE))
+    # one row per (customer, entity, day, metric) and one platform per metric: a projection
     platform = remap("metric", INCOME_BASE, default=None, keep_others=False)
-    out = (long.withColumn("platform_id", platform)
-           .groupBy("customer_id", "entity_id", "platform_id", "stat_date")
-           .agg(F.sum("amount").alias("cost")))
+    out = long.filter(F.col("metric").isin(*INCOME_BASE)).select(
+        "customer_id", "entity_id", platform.alias("platform_id"), "stat_date", F.col("amount").alias("cost"))
     return out if units else out.withColumn("cost", units_to_money("cost"))
 
 
