@@ -7,9 +7,16 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import langid
+from . import sentencepiece_codec as codec
 from .decontaminate import mark_contamination
 from .exact_dedup import exact_dedup
+from .licenses import scan_licenses
+
+#: A SentencePiece model file, by its name among the public tokenizers.
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 #: Where this package lies, for Python workers started without it on their path
@@ -24,6 +31,32 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def piece_model(name: str = PIECE_MODEL) -> bytes:
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_bytes()
+
+
+def op1_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = piece_model()
+    rows = codec.decode(codec.encode(docs, model, keep_text=False), model)
+    return rows.select("doc_id", F.expr("CAST(octet_length(ids) DIV 4 AS BIGINT)").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = langid.held_out(F.col("doc_id"))
+    model = langid.train(docs.where(~out))
+    return langid.predict(docs.select("doc_id", "text", out.alias("held_out")), model)
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("spans")
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return mark_contamination(docs, _table(spark, sf_dir, "benchmark"))
@@ -34,6 +67,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece_codec": op1_sentencepiece_codec,
+    "op2_language_id": op2_language_id,
+    "op6_license_scan": op6_license_scan,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
 }
