@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid
+from . import chat, langid, warc
 from . import sentencepiece_codec as codec
 from .decontaminate import mark_contamination
 from .exact_dedup import exact_dedup
@@ -53,10 +54,22 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text", out.alias("held_out")), model)
 
 
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, index = warc.write_warc(_table(spark, sf_dir, "pages"))
+    return warc.payloads(folder, index)
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("spans")
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"  # the contract's own conversation, full of control strings
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
+    return chat.read_back(chat.format_turns(rows.unionByName(extra)))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return mark_contamination(docs, _table(spark, sf_dir, "benchmark"))
@@ -69,7 +82,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece_codec": op1_sentencepiece_codec,
     "op2_language_id": op2_language_id,
+    "op5_warc_round_trip": op5_warc_round_trip,
     "op6_license_scan": op6_license_scan,
+    "op7_chat_format": op7_chat_format,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
 }
@@ -77,7 +92,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+# the control strings of chat.CONTROL without their first character, for RE2
+_CONTROL_REST = "|".join(re.sub(r"([|\[\]])", r"\\\1", c[1:]) for c in sorted(chat.CONTROL, key=len, reverse=True))
+_ESCAPED = rf"regexp_replace(t, '([<\[])(\\*)({_CONTROL_REST})', '\1\2\\\3', 'g')"
+
 ORACLE: dict[str, str] = {
+    "op5_warc_round_trip": """
+SELECT page_id, strlen(h) AS payload_bytes, d AS payload_digest,
+       CASE WHEN strlen(h) >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(h) >= 100 AND page_id <> first THEN first END AS refers_to
+FROM (SELECT page_id, h, sha256(h) AS d, min(page_id) OVER (PARTITION BY h) AS first
+      FROM (SELECT page_id, coalesce(html, '') AS h FROM pages))""",
+    "op7_chat_format": rf"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn NULLS LAST, r, t)) AS turns_sha256,
+       count(*) FILTER (r = 'assistant') AS n_examples,
+       coalesce(sum(length(t)) FILTER (r = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(t, '' ORDER BY turn NULLS LAST, r, t) FILTER (r = 'assistant'), '')) AS loss_sha256,
+       sum(length('<|im_start|>' || r || chr(10) || {_ESCAPED} || '<|im_end|>' || chr(10)))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id""",
     "op8_benchmark_decontamination": rf"""
 WITH item AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
 win AS (SELECT DISTINCT item_id, least(10, len(w)) AS k,
