@@ -14,6 +14,7 @@ from . import chat, langid, warc
 from . import sentencepiece_codec as codec
 from .decontaminate import mark_contamination
 from .exact_dedup import exact_dedup
+from .html_extract import extract
 from .licenses import scan_licenses
 
 #: A SentencePiece model file, by its name among the public tokenizers.
@@ -75,6 +76,10 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return mark_contamination(docs, _table(spark, sf_dir, "benchmark"))
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_license_scan": op6_license_scan,
     "op7_chat_format": op7_chat_format,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_html_extract": op9_html_extract,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
