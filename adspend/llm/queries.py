@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, warc
+from . import chat, langid, quality, warc
 from . import sentencepiece_codec as codec
 from .decontaminate import mark_contamination
 from .exact_dedup import exact_dedup
@@ -55,6 +55,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text", out.alias("held_out")), model)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, index = warc.write_warc(_table(spark, sf_dir, "pages"))
     return warc.payloads(folder, index)
@@ -87,6 +91,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece_codec": op1_sentencepiece_codec,
     "op2_language_id": op2_language_id,
+    "op3_quality_classifier": op3_quality_classifier,
     "op5_warc_round_trip": op5_warc_round_trip,
     "op6_license_scan": op6_license_scan,
     "op7_chat_format": op7_chat_format,
