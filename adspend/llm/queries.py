@@ -16,6 +16,7 @@ from .decontaminate import mark_contamination
 from .exact_dedup import exact_dedup
 from .html_extract import extract
 from .licenses import scan_licenses
+from .near_dedup import near_classes
 
 #: A SentencePiece model file, by its name among the public tokenizers.
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -59,6 +60,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(_table(spark, sf_dir, "documents"))
+
+
 def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, index = warc.write_warc(_table(spark, sf_dir, "pages"))
     return warc.payloads(folder, index)
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece_codec": op1_sentencepiece_codec,
     "op2_language_id": op2_language_id,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_near_dedup": op4_near_dedup,
     "op5_warc_round_trip": op5_warc_round_trip,
     "op6_license_scan": op6_license_scan,
     "op7_chat_format": op7_chat_format,
@@ -108,6 +114,21 @@ _CONTROL_REST = "|".join(re.sub(r"([|\[\]])", r"\\\1", c[1:]) for c in sorted(ch
 _ESCAPED = rf"regexp_replace(t, '([<\[])(\\*)({_CONTROL_REST})', '\1\2\\\3', 'g')"
 
 ORACLE: dict[str, str] = {
+    "op4_near_dedup": rf"""
+WITH RECURSIVE word AS (
+    SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingle AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+                                   ELSE [list_slice(w, i, i + 4) for i in range(1, len(w) - 3)] END) AS g FROM word),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+link AS (
+    SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+                      FROM shingle x JOIN shingle y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL)
+    JOIN size s ON s.doc_id = a JOIN size t ON t.doc_id = b WHERE 100 * k >= 85 * (s.n + t.n - k)),
+side AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT doc_id AS v, doc_id AS u FROM word UNION SELECT v, b FROM reach JOIN side ON u = a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, m AS component_id, doc_id = m AS kept
+FROM word LEFT JOIN size USING (doc_id) JOIN (SELECT v, min(u) AS m FROM reach GROUP BY v) ON v = doc_id""",
     "op5_warc_round_trip": """
 SELECT page_id, strlen(h) AS payload_bytes, d AS payload_digest,
        CASE WHEN strlen(h) >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
