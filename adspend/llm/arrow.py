@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+SLICE_ROWS = 1024
+
 Maker = Callable[[], Callable[[list[pa.Array]], Sequence[pa.Array]]]
 
 
@@ -30,9 +32,11 @@ def add_columns(df: DataFrame, inputs: Sequence[str], outputs: Sequence[tuple[st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
-            made = work([batch.column(n + i) for i in range(len(inputs))])
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(n)), *made], names=out.names)
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):  # bounds what the function holds at once
+                batch = whole.slice(at, SLICE_ROWS)
+                made = work([batch.column(n + i) for i in range(len(inputs))])
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(n)), *made], names=out.names)
 
     rows = rows.mapInArrow(run, out)
     return rows.select(*(F.col(f"_k{i}").alias(c) for i, c in enumerate(kept)),

@@ -27,7 +27,7 @@ PIECE_MODEL = "piece_bpe_32k.model"
 _HOME = str(Path(__file__).resolve().parents[2])
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     env = spark.sparkContext.environment
     if _HOME not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [_HOME, env.get("PYTHONPATH")]))
@@ -41,7 +41,7 @@ def piece_model(name: str = PIECE_MODEL) -> bytes:
 
 
 def op1_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = piece_model()
     rows = codec.decode(codec.encode(docs, model, keep_text=False), model)
     return rows.select("doc_id", F.expr("CAST(octet_length(ids) DIV 4 AS BIGINT)").alias("n_tokens"),
@@ -50,47 +50,47 @@ def op1_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     out = langid.held_out(F.col("doc_id"))
     model = langid.train(docs.where(~out))
     return langid.predict(docs.select("doc_id", "text", out.alias("held_out")), model)
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_classes(_table(spark, sf_dir, "documents"))
+    return near_classes(table(spark, sf_dir, "documents"))
 
 
 def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, index = warc.write_warc(_table(spark, sf_dir, "pages"))
+    folder, index = warc.write_warc(table(spark, sf_dir, "pages"))
     return warc.payloads(folder, index)
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("spans")
+    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("spans")
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"  # the contract's own conversation, full of control strings
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
     return chat.read_back(chat.format_turns(rows.unionByName(extra)))
 
 
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return mark_contamination(docs, _table(spark, sf_dir, "benchmark"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mark_contamination(docs, table(spark, sf_dir, "benchmark"))
 
 
 def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract(_table(spark, sf_dir, "pages"))
+    return extract(table(spark, sf_dir, "pages"))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(_table(spark, sf_dir, "documents"))
+    return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -26,6 +26,7 @@ import re
 import struct
 import sys
 from array import array
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -37,9 +38,9 @@ from pyspark.sql import types as T
 from .arrow import add_columns
 
 MARK = "▁"            # stands for a space inside pieces
-CACHE_STRETCHES = 500_000   # in each of two generations of the cache of a worker
+CACHE_STRETCHES = 150_000   # in each of two generations of the cache of a worker
 CACHE_CHARS = 48            # longer stretches are not kept
-CACHE_PAIRS = 1_000_000     # known pairs of tokens of a worker
+CACHE_PAIRS = 400_000     # known pairs of tokens of a worker
 _UNKNOWN = -1               # a character outside the vocabulary, in the prefix table
 
 
@@ -96,11 +97,6 @@ class Codec:
         self.foreign = re.compile(f"([{re.escape(outside)}])") if outside else None
         self.plain = _plain_normaliser(model)
         self.length = {i: len(p) for p, i in self.ids.items()} | {_UNKNOWN: 1}
-        self.automaton = ahocorasick.Automaton()
-        for p, i in self.ids.items():
-            self.automaton.add_word(p, (i, len(p)))
-        if self.ids:
-            self.automaton.make_automaton()
         self.alone: dict[int, bool] = {}
         self.split: dict[int, tuple[int, int] | None] = {}
         self.odd: set[int] = set()  # tokens not merged in the order of their scores
@@ -120,6 +116,16 @@ class Codec:
 
     # encoding
 
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        """Finds every token that ends at a position, with its id and length."""
+        found = ahocorasick.Automaton()
+        for p, i in self.ids.items():
+            found.add_word(p, (i, len(p)))
+        if self.ids:
+            found.make_automaton()
+        return found
+
     def merged(self, text: str, until: int = 1) -> list[str]:
         """The plain merges of a short text, best score first, then leftmost, down to ``until`` parts."""
         parts = list(text)
