@@ -37,11 +37,6 @@ def remap(c: str | Column, mapping: Mapping, default=None, *, keep_others: bool
     return fallback if expr is None else expr.otherwise(fallback)
 
 
-def cents_to_money(c: str | Column) -> Column:
-    """Integer cents to exact decimal yuan (``IFNULL(x, 0) / 100``)."""
-    return F.coalesce(col_of(c), F.lit(0)).cast("decimal(20,0)") * F.lit(CENT)
-
-
 def money(c: str | Column) -> Column:
     """Amount already in yuan, NULL counted as 0."""
     return F.coalesce(col_of(c).cast(MONEY), F.lit(Decimal("0.00")))
@@ -92,7 +87,8 @@ def units_to_money(c: str | Column) -> Column:
 
 
 def ratio_income(cost_units: str | Column, ratio: str | Column) -> Column:
-    """``cost / (1 + ratio)`` per row, kept at 4 decimals (as units) so that sums are exact."""
+    """``cost / (1 + ratio)`` per row, rounded to 4 decimals (as units) so that sums
+    do not depend on their order.  A ratio of -1 gives NULL: the row has no income."""
     cost = col_of(cost_units).cast("double") / F.lit(float(UNITS_PER_YUAN))
-    q = cost / (F.lit(1.0) + F.coalesce(col_of(ratio).cast("double"), F.lit(0.0)))
+    q = F.try_divide(cost, F.lit(1.0) + F.coalesce(col_of(ratio).cast("double"), F.lit(0.0)))
     return (q.cast("decimal(18,4)") * F.lit(UNITS_PER_YUAN)).cast("bigint")

@@ -29,14 +29,6 @@ def project_bridge(projects: DataFrame, entities: DataFrame, customers: DataFram
     return p.join(e, "entity_id").join(c, "customer_id").select(*BRIDGE_COLUMNS)
 
 
-def account_bridge(accounts: DataFrame, projects: DataFrame, entities: DataFrame,
-                   customers: DataFrame, *, account_key: str = "account_id") -> DataFrame:
-    """``(account_id, project_id, entity_id, customer_id, platform_id)``."""
-    a = accounts.select(F.col(account_key).alias("account_id"), "project_id")
-    return a.join(project_bridge(projects, entities, customers), "project_id").select(
-        "account_id", *BRIDGE_COLUMNS)
-
-
 def unified_bridge(bridges: dict[str, DataFrame], *, key: str = "_k", tag: str = "_src") -> DataFrame:
     """One bridge for many key spaces: ``{tag: bridge}`` with the bridge's own
     key in its first column, stacked as ``(tag, key, project_id, entity_id,

@@ -8,7 +8,7 @@ every group map-side, and the result is joined back where rows are kept.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -39,12 +39,17 @@ def group_mean_back(df: DataFrame, keys: list[str], value: str, *, name: str | N
 
 def earliest_row_flag(df: DataFrame, keys: list[str], order: list[str], *, flag: str = "is_first") -> DataFrame:
     """Flag the first row of every group by ``order`` (``idxmin``); all other
-    rows get ``False``.  Ties are broken by the remaining columns."""
+    rows get ``False``.  Ties are broken by the remaining columns; of rows equal
+    in every column one is flagged."""
     rest = [c for c in df.columns if c not in keys and c not in order]
     row = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])
     stats = df.groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys]).agg(F.min(row).alias("_first"))
     out = _join_back(df, stats, keys)
-    return out.withColumn(flag, F.coalesce(row == F.col("_first"), F.lit(False))).drop("_first")
+    out = out.withColumn(flag, F.coalesce(row == F.col("_first"), F.lit(False))).drop("_first")
+    # only copies of a group's first row meet in a window, never a whole group
+    copies = Window.partitionBy(*keys).orderBy(*order)
+    first = out.where(F.col(flag)).withColumn(flag, F.row_number().over(copies) == 1)
+    return out.where(~F.col(flag)).unionByName(first)
 
 
 def keep_on_first(df: DataFrame, flag: str, value: str, *, other=0) -> DataFrame:

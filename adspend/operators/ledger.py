@@ -7,7 +7,8 @@ the rows of many tables are stacked with ``unionByName`` and joined once to
 the unified bridge (account or project -> entity, customer, platform), and
 the result is summed per (customer[, entity], day, by..., metric).
 
-The bridge has one row per account.  Its row count is checked first:
+The bridge has one row per account.  Its number of rows is known beforehand
+(``Sources.sizes``):
 
 * within the bound it is broadcast and the join runs map-side, inside the
   scan tasks; the facts never move, only the partial sums per customer and
@@ -27,9 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col_of
-from . import sizing
-from .sizing import row_count_at_most
+from .sizing import MAX_BROADCAST_BYTES, fits
 
 AMOUNT = "bigint"   # money as integer units of 1/10000 yuan (functions.columns)
 
@@ -133,23 +132,15 @@ def sum_by(long: DataFrame, grain: tuple[str, ...]) -> DataFrame:
         F.coalesce(F.sum("amount"), F.lit(0).cast(AMOUNT)).cast(AMOUNT).alias("amount"))
 
 
-def ledger_long(fact: DataFrame, bridge: DataFrame, *, key: str, day: Column,
-                measures: list[Measure], by: tuple[str, ...] = (),
-                keep: tuple[str, ...] = ("customer_id",),
-                bridge_key: str | None = None) -> DataFrame:
-    """Long form ``(keep..., stat_date, by..., metric, amount)`` of one fact
-    table, summed per group (``IFNULL(SUM(x), 0)``)."""
-    bk = bridge_key or key
-    b = bridge.select(F.lit("_").alias("_src"), F.col(bk).alias("_k"), *[c for c in bridge.columns if c != bk])
-    return ledger_long_many([(fact, key, day, measures, "_")], b, keep=keep, by=by)
-
-
 def ledger_long_many(sources, bridge: DataFrame, *, keep: tuple[str, ...] = ("customer_id",),
-                     by: tuple[str, ...] = (), max_broadcast_rows: int | None = None) -> DataFrame:
+                     by: tuple[str, ...] = (), bridge_rows: int | None = None,
+                     max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Long form of many fact tables ``[(fact, key, day, measures, tag)]``
     joined once to a unified bridge keyed ``(_src, _k)``.
 
-    The plan depends on the bridge's checked size: within the bound it is
+    The plan depends on ``bridge_rows``, an upper bound of the bridge's rows
+    (None: unknown, taken as large).  Building it starts no job.  Within
+    ``max_broadcast_bytes`` the bridge is
     broadcast and joined to the stacked rows of all tables map-side (one
     conditional sum per measure, measures of other tables are NULL), and only
     the partial sums per customer and day shuffle.  Beyond the bound every
@@ -157,9 +148,7 @@ def ledger_long_many(sources, bridge: DataFrame, *, keep: tuple[str, ...] = ("cu
     are stacked and joined once, so the shuffled join moves at most one row
     per key, day and task.
     """
-    bound = sizing.DEFAULT_MAX_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
-    small = row_count_at_most(bridge, bound) <= bound
-    if small:
+    if fits(bridge_rows, max_broadcast_bytes):
         measures = list({m.name: m for _, _, _, ms, _ in sources for m in ms}.values())
         parts = [measure_columns(fact, key=key, day=day, measures=ms, by=by, tag=tag)
                  for fact, key, day, ms, tag in sources]
@@ -180,19 +169,3 @@ def sum_long(long: DataFrame, names: list[str], *, grain: tuple[str, ...]) -> Da
     m = F.col("metric")
     aggs = [F.sum(F.when(m == F.lit(n), F.col("amount"))).alias(n) for n in names]
     return long.groupBy(*grain).agg(*aggs)
-
-
-def ledger_daily(fact: DataFrame, bridge: DataFrame, *, key: str, day: Column,
-                 measures: list[Measure], by: tuple[str, ...] = (),
-                 keep: tuple[str, ...] = ("customer_id",),
-                 bridge_key: str | None = None) -> DataFrame:
-    """Wide form ``(keep..., stat_date, by..., <measure>...)``: one row per group
-    in which any measure had rows."""
-    long = ledger_long(fact, bridge, key=key, day=day, measures=measures, by=by,
-                       keep=keep, bridge_key=bridge_key)
-    return sum_long(long, [m.name for m in measures], grain=(*keep, "stat_date", *by))
-
-
-def reaggregate(df: DataFrame, grain: list[str], cols: dict[str, str | Column]) -> DataFrame:
-    """Second-level roll-up of an already aggregated frame (AGG-7)."""
-    return df.groupBy(*grain).agg(*[F.sum(col_of(c)).alias(n) for n, c in cols.items()])

@@ -1,9 +1,11 @@
-"""Broadcast behind a size check.
-
-A join side is broadcast only when it is proven small: its rows are counted
-(stopping at the bound) before the plan is built.  Beyond the bound the side
-is joined by a shuffle (sort-merge, with AQE splitting skewed partitions), so
-a dimension that grows with the data never floods executor memory.
+"""Broadcast behind a size known before the plan is built.
+
+A join side is broadcast only when its size, a row count times a bound on a
+row's bytes, is within a limit in bytes. The counts come from the source
+tables (``Sources.sizes``: one small job per ``Sources``, kept there), never
+from executing the side itself. Beyond the limit the side is joined by a
+shuffle (AQE splits skewed partitions), so a dimension that grows with the
+data never floods executor memory.
 """
 
 from __future__ import annotations
@@ -11,15 +13,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# ~1M rows of a few long/int columns is ~50 MB as broadcast blocks
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+#: Largest side that is broadcast, as held by an executor.
+MAX_BROADCAST_BYTES = 256 << 20
+#: Bytes a row of a few fixed-width columns takes in a broadcast hash relation.
+ROW_BYTES = 160
 
 
-def row_count_at_most(df: DataFrame, bound: int) -> int:
-    """``min(count(df), bound + 1)``; every task stops reading after ``bound + 1`` rows."""
-    return df.limit(bound + 1).count()
+def fits(rows: int | None, max_bytes: int = MAX_BROADCAST_BYTES, row_bytes: int = ROW_BYTES) -> bool:
+    """Whether so many rows may be broadcast; an unknown number may not."""
+    return rows is not None and rows * row_bytes <= max_bytes
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) <= max_rows else df
+def broadcast_if_small(df: DataFrame, rows: int | None, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``rows`` rows and these fit, else ``df``."""
+    return F.broadcast(df) if fits(rows, max_bytes) else df

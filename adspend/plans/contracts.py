@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import day_string, money, ratio_income, remap, units_to_money
-from ..operators.calendar import apportion_daily, expand_period
+from ..operators.calendar import apportion_daily, expand_period, period_bounds
 from ..operators.groups import first_per_group
 from ..operators.intervals import interval_join
 from ..operators.sizing import broadcast_if_small
 from ..sources.tables import Sources
-from .facts import Params, spend_by_entity
+from .facts import Params, spend_by_entity, to_date
 
 # ---- fixed values (as the reference states them) -------------------------
 CONTRACT_MEDIA = (1, 2, 3, 4)
@@ -54,13 +54,25 @@ def contract_terms(src: Sources, *, media=CONTRACT_MEDIA, media_map=CONTRACT_MED
         "contract_begin_date", "contract_end_date")
 
 
-def daily_rates(terms: DataFrame) -> DataFrame:
-    """Each contract line's ratio on every day of its period (TS-2, TS-3).
+def clip_periods(terms: DataFrame, window: tuple | None) -> DataFrame:
+    """Contract periods cut to the days of ``window`` (None: as they are); lines
+    without a day in it go, so a run over a few days expands a few days."""
+    if window is None:
+        return terms
+    first, last = (F.lit(to_date(d)) for d in window)
+    lo, hi = period_bounds("contract_begin_date", "contract_end_date")
+    return terms.where((lo <= last) & (hi >= first)).withColumns({
+        "contract_begin_date": F.greatest(lo, first), "contract_end_date": F.least(hi, last)})
+
+
+def daily_rates(terms: DataFrame, window: tuple | None = None) -> DataFrame:
+    """Each contract line's ratio on every day of its period (TS-2, TS-3), or
+    of the part of it in ``window``.
 
     Reversed periods span both dates, a missing end gives the begin day only
     (H14).  A line that appears twice keeps the larger ratio per day.
     """
-    days = expand_period(terms, "contract_begin_date", "contract_end_date")
+    days = expand_period(clip_periods(terms, window), "contract_begin_date", "contract_end_date")
     return days.groupBy("customer_entity_id", "platform_id", "contract_content_id", "stat_date").agg(
         F.max("gift_ratio").alias("gift_ratio"))
 
@@ -73,22 +85,29 @@ def net_income(src: Sources, p: Params | None = None, *, expanded: bool = True,
     ``(customer_id, stat_date, metric, amount)``.
 
     ``expanded=True`` joins the daily rates table; ``False`` joins the contract
-    periods directly with ``interval_join``.  Both give the same rows.
+    periods directly with ``interval_join``.  Both give the same rows.  The
+    periods are cut to the run's window first, and the rates are broadcast only
+    if their days, known from the source's sizes, fit.
     ``spend``: spend by entity in units, if already computed; ``units``: keep
     ``amount`` in integer units.
     """
     spend = (spend if spend is not None else spend_by_entity(src, p, units=True)).withColumnRenamed(
         "entity_id", "customer_entity_id")
-    terms = contract_terms(src, **terms_kw)
+    terms, window = contract_terms(src, **terms_kw), (p or Params()).window
     if expanded:
-        rates = broadcast_if_small(daily_rates(terms))
+        sizes, days = src.sizes(), None
+        if window is not None:
+            days = (to_date(window[1]) - to_date(window[0])).days + 1
+        rows = sizes["contract_days"] if days is None else min(sizes["contract_days"], days * sizes["contract_lines"])
+        rates = broadcast_if_small(daily_rates(terms, window), rows, (p or Params()).max_broadcast_bytes)
         j = spend.join(rates, ["customer_entity_id", "platform_id", "stat_date"], "left")
     else:
-        j = interval_join(spend, terms, ["customer_entity_id", "platform_id"], day="stat_date",
+        j = interval_join(spend, clip_periods(terms, window), ["customer_entity_id", "platform_id"], day="stat_date",
                           begin="contract_begin_date", end="contract_end_date")
     income = ratio_income("cost", "gift_ratio")
     name = remap("platform_id", INCOME_NAME, default=None, keep_others=False)
-    out = j.groupBy("customer_id", "stat_date", name.alias("metric")).agg(F.sum(income).alias("amount"))
+    out = j.groupBy("customer_id", "stat_date", name.alias("metric")).agg(
+        F.coalesce(F.sum(income), F.lit(0).cast("bigint")).alias("amount"))
     return out if units else out.withColumn("amount", units_to_money("amount"))
 
 

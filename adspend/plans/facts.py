@@ -18,6 +18,7 @@ from ..functions.columns import (cents_to_units, day_of, epoch_seconds_day, mone
                                  units_to_money)
 from ..operators.bridge import project_bridge, unified_bridge
 from ..operators.ledger import Measure, ledger_long_many, sum_long
+from ..operators.sizing import MAX_BROADCAST_BYTES
 from ..sources.tables import Sources
 
 # ---- fixed values (as the reference states them) -------------------------
@@ -45,12 +46,14 @@ class Params:
     """Run parameters.  ``agents``: the agent's own TT account ids (deposits are
     transfers from them, refunds transfers to them); ``tz``: zone of the WeChat
     epoch timestamps; ``media_cost_since``: lower bound of the media cost;
-    ``window``: first and last day to read (None: all)."""
+    ``window``: first and last day to read (None: all); ``max_broadcast_bytes``:
+    largest join side that is broadcast."""
 
     agents: tuple = ()
     tz: str = "UTC"
     media_cost_since: str = MEDIA_COST_SINCE
     window: tuple | None = None   # (first day, last day): read only facts of these days
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES
 
 
 @dataclass
@@ -73,7 +76,7 @@ def day_window(ts: str, day: Column, window, *, epoch: bool = False) -> Column:
     the day test.  Epoch seconds are read in a time zone, so their range gets
     one day of margin and the exact day test follows.
     """
-    first, last = (_to_date(d) for d in window)
+    first, last = (to_date(d) for d in window)
     after = last + dt.timedelta(days=1)
     if not epoch:
         return (F.col(ts) >= F.lit(first)) & (F.col(ts) < F.lit(after))
@@ -82,9 +85,8 @@ def day_window(ts: str, day: Column, window, *, epoch: bool = False) -> Column:
     return (F.col(ts) >= F.lit(lo)) & (F.col(ts) < F.lit(hi)) & day.between(F.lit(first), F.lit(last))
 
 
-def _to_date(d) -> dt.date:
-    if d is None:
-        return dt.date.today()
+def to_date(d) -> dt.date:
+    """A plain day; a run's last day is settled before (``snapshot.last_day``), so None is not one."""
     if isinstance(d, dt.datetime):
         return d.date()
     if isinstance(d, dt.date):
@@ -107,6 +109,12 @@ def bridges(src: Sources, tags=("gdt", "tt", "wechat", "project")) -> DataFrame:
     return unified_bridge(parts)
 
 
+def bridge_rows(src: Sources, tags) -> int:
+    """At most so many rows has the unified bridge of ``tags``."""
+    sizes = src.sizes()
+    return sum(sizes["projects" if t == "project" else f"{t}_accounts"] for t in tags)
+
+
 def _gdt(src: Sources, p: Params) -> FactSource:
     tt, at = F.col("trade_type"), F.col("account_type")
     amt = cents_to_units("amount")
@@ -218,7 +226,8 @@ def facts_long(src: Sources, names: list[str] | None = None, *, p: Params | None
             tags.append(s.tag)
     if not sources:
         raise KeyError(f"unknown measures {names}")
-    return ledger_long_many(sources, bridges(src, tags), keep=keep, by=by)
+    return ledger_long_many(sources, bridges(src, tags), keep=keep, by=by, bridge_rows=bridge_rows(src, tags),
+                            max_broadcast_bytes=(p or Params()).max_broadcast_bytes)
 
 
 def fact_daily(src: Sources, names: list[str], *, p: Params | None = None,

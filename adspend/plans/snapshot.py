@@ -13,7 +13,7 @@ from __future__ import annotations
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.calendar import date_spine
@@ -21,7 +21,7 @@ from ..operators.ledger import sum_long
 from ..sources.tables import Sources
 from .contracts import net_income
 from ..functions.columns import units_to_money
-from .facts import INCOME_BASE, Params, facts_long, invoice_units, receipt_units, spend_by_entity
+from .facts import INCOME_BASE, Params, facts_long, invoice_units, receipt_units, spend_by_entity, to_date
 
 JOINED = ["deposit_yxt_cash", "deposit_yxt_gift", "deposit_all_gdt", "deposit_all_tt",
           "deposit_all_wechat", "refund_all_gdt", "refund_all_tt", "refund_all_wechat",
@@ -69,12 +69,20 @@ def snapshot_long(src: Sources, p: Params | None = None) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def last_day(spark, as_of=None):
+    """The run's last day, settled once: ``as_of``, or today in the session's zone."""
+    if isinstance(as_of, Column):
+        raise TypeError("as_of must be a plain day")
+    return to_date(as_of) if as_of is not None else spark.sql("SELECT current_date() AS d").first()["d"]
+
+
 def customer_day_snapshot(src: Sources, *, start, as_of=None, p: Params | None = None) -> DataFrame:
     """One row per customer and day of ``[start, as_of]`` (Q-29), 35 columns.
 
     Only facts of those days are read: the day window is pushed to every
     fact scan, so a run over the last few days reads the last few days.
     """
+    as_of, start = last_day(src.customers.sparkSession, as_of), last_day(src.customers.sparkSession, start)
     p = replace(p or Params(), window=(start, as_of))
     wide = sum_long(snapshot_long(src, p), JOINED + INCOMES, grain=("customer_id", "stat_date"))
     customers = src.customers.select(F.col("id").alias("customer_id")).distinct()

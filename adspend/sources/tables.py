@@ -10,8 +10,10 @@ the tables and columns it uses, with filters pushed to the scan.
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SOURCE_COLUMNS: dict[str, tuple[str, ...]] = {
@@ -86,6 +88,10 @@ SOURCE_SCHEMAS: dict[str, str] = {
 }
 
 
+#: Tables whose rows bound the joins' small sides.
+KEY_TABLES = ("projects", "gdt_accounts", "tt_accounts", "wechat_accounts", "contract_lines")
+
+
 class Sources:
     """The input DataFrames of the ledger jobs, one attribute per table of
     ``SOURCE_COLUMNS``.
@@ -101,6 +107,7 @@ class Sources:
         if unknown or missing:
             raise TypeError(f"unknown tables {sorted(unknown)}, missing tables {sorted(missing)}")
         self._tables = dict(tables)
+        self._sizes: dict[str, int] | None = None
 
     def __getattr__(self, name: str) -> DataFrame:
         tables = self.__dict__.get("_tables", {})
@@ -111,6 +118,19 @@ class Sources:
             v = tables[name] = v()
         return v
 
+    def sizes(self) -> dict[str, int]:
+        """Rows of the key tables, and days of all contract periods, counted in
+        one job on first use and kept: plans decide on broadcasts with them."""
+        if self._sizes is None:
+            days = F.abs(F.datediff("contract_end_date", "contract_begin_date")) + 1
+            counts = [getattr(self, n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("what"), "n")
+                      for n in KEY_TABLES]
+            counts.append(self.contract_lines.agg(F.sum(F.coalesce(days, F.lit(1))).cast("bigint").alias("n")).select(
+                F.lit("contract_days").alias("what"), "n"))
+            rows = reduce(lambda a, b: a.unionByName(b), counts).collect()
+            self._sizes = {r["what"]: r["n"] or 0 for r in rows}
+        return self._sizes
+
     def validate(self) -> None:
         for name, cols in SOURCE_COLUMNS.items():
             df = getattr(self, name)
@@ -119,23 +139,59 @@ class Sources:
                 raise ValueError(f"{name} lacks columns {missing}")
 
 
-def read_sources(spark: SparkSession, base: str, *, fmt: str = "parquet") -> Sources:
-    """Lazy reads of ``base/<table>`` for every table of ``Sources``."""
+def renamed(df: DataFrame, name: str, columns: dict[str, str] | None) -> DataFrame:
+    """``df`` with the columns of the library's table ``name``; ``columns`` maps
+    a library column to the name it has in ``df`` (others keep their name)."""
+    columns = columns or {}
+    unknown = set(columns) - set(SOURCE_COLUMNS[name])
+    if unknown:
+        raise ValueError(f"{name} has no columns {sorted(unknown)}")
+    missing = [columns.get(c, c) for c in SOURCE_COLUMNS[name] if columns.get(c, c) not in df.columns]
+    if missing:
+        raise ValueError(f"{name} lacks columns {missing}")
+    return df.select(*(F.col(f"`{columns.get(c, c)}`").alias(c) for c in SOURCE_COLUMNS[name]))
+
+
+def read_sources(spark: SparkSession, base: str, *, fmt: str = "parquet", tables: dict[str, str] | None = None,
+                 columns: dict[str, dict[str, str]] | None = None) -> Sources:
+    """Lazy reads of ``base/<table>`` for every table of ``Sources``.
+
+    ``tables`` maps a table to its folder's name, ``columns`` a table's columns
+    to their names there: ``{"tt_accounts": {"account_id": "advertiser_id"}}``.
+    """
+    tables, columns = tables or {}, columns or {}
+
     def reader(name):
-        return lambda: spark.read.format(fmt).load(os.path.join(base, name))
+        return lambda: renamed(spark.read.format(fmt).load(os.path.join(base, tables.get(name, name))),
+                               name, columns.get(name))
     return Sources(**{name: reader(name) for name in SOURCE_COLUMNS})
 
 
+#: Tables that a cluster must not read through one connection.
+LEDGER_TABLES = ("gdt_cash_flow", "tt_transfers", "wechat_statements", "wechat_daily", "tt_daily", "deposit_log",
+                 "present_log", "refund_log", "gift_refund_log", "consume_log", "media_cost", "receipt_lines",
+                 "settlement_lines")
+
+
+def jdbc_options(url: str, table: str, properties: dict, partitioning: dict | None) -> dict[str, str]:
+    """Reader options of one table; all values as text."""
+    return {k: str(v) for k, v in {"url": url, "dbtable": table, **properties, **(partitioning or {})}.items()}
+
+
 def jdbc_sources(spark: SparkSession, url: str, tables: dict[str, str], *, properties: dict,
-                 partitioning: dict[str, dict] | None = None) -> Sources:
-    """Partitioned JDBC reads (``partitionColumn``/``lowerBound``/``upperBound``/
-    ``numPartitions`` per table in ``partitioning``), so a large ledger is read
-    by many tasks instead of one connection."""
-    partitioning = partitioning or {}
+                 partitioning: dict[str, dict], columns: dict[str, dict[str, str]] | None = None) -> Sources:
+    """Partitioned JDBC reads: ``partitioning`` gives ``partitionColumn``,
+    ``lowerBound``, ``upperBound`` and ``numPartitions`` by table, and must have
+    every ledger table, so that many tasks read it.  (The reads themselves are
+    not covered by tests: there is no database to read.)"""
+    columns = columns or {}
+    whole = [t for t in LEDGER_TABLES if t not in partitioning]
+    if whole:
+        raise ValueError(f"ledger tables without partitioning: {whole}")
 
     def reader(name):
-        opts = dict(properties, **partitioning.get(name, {}))
-        return lambda: spark.read.jdbc(url, tables.get(name, name), properties=opts)
+        options = jdbc_options(url, tables.get(name, name), properties, partitioning.get(name))
+        return lambda: renamed(spark.read.format("jdbc").options(**options).load(), name, columns.get(name))
     return Sources(**{name: reader(name) for name in SOURCE_COLUMNS})
 
 

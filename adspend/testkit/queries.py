@@ -64,6 +64,14 @@ def _net_income(expanded: bool):
     return lambda spark, sf: present(C.net_income(_src(spark, sf), PARAMS, expanded=expanded))
 
 
+#: Plans made from ``Sources`` alone (a test builds them and counts the jobs that starts).
+QUERIES_BUILT_FROM_SOURCES = [
+    lambda src: customer_day_snapshot(src, start=TEST_START, as_of=TEST_AS_OF, p=PARAMS),
+    lambda src: C.net_income(src, PARAMS),
+    lambda src: Fa.gdt_deposit(src, PARAMS),
+    lambda src: C.settlement_adjustments(src),
+]
+
 LEDGER_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "deposit_own_cash": _fact(Fa.own_cash_deposit),
     "deposit_own_gift": _fact(Fa.own_gift_deposit),

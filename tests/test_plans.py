@@ -1,6 +1,7 @@
 """Plan properties that matter at scale."""
 
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal as D
 
 from adspend.operators import sizing
@@ -16,12 +17,11 @@ def _rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-def test_big_bridge_plan_equals_broadcast_plan(spark, monkeypatch):
+def test_big_bridge_plan_equals_broadcast_plan(spark):
     src = build_sources(TestTables(spark, SF))
     small = Fa.facts_long(src, None, p=PARAMS, keep=("customer_id", "entity_id"))
     small_plan = small._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(sizing, "DEFAULT_MAX_BROADCAST_ROWS", 0)
-    big = Fa.facts_long(build_sources(TestTables(spark, SF)), None, p=PARAMS, keep=("customer_id", "entity_id"))
+    big = Fa.facts_long(src, None, p=replace(PARAMS, max_broadcast_bytes=0), keep=("customer_id", "entity_id"))
     big_plan = big._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in small_plan
     assert "partial_sum" in big_plan
@@ -30,9 +30,27 @@ def test_big_bridge_plan_equals_broadcast_plan(spark, monkeypatch):
 
 def test_broadcast_only_within_bound(spark):
     df = spark.range(10)
-    assert sizing.row_count_at_most(df, 5) == 6
-    assert "broadcast" in str(sizing.broadcast_if_small(df, 100)._jdf.queryExecution().logical()).lower()
-    assert "broadcast" not in str(sizing.broadcast_if_small(df, 5)._jdf.queryExecution().logical()).lower()
+    for rows, limit, hinted in ((10, 10_000, True), (10, 1_000, False), (None, 10_000, False)):
+        plan = str(sizing.broadcast_if_small(df, rows, limit)._jdf.queryExecution().logical()).lower()
+        assert ("broadcast" in plan) is hinted
+
+
+def test_building_plans_starts_one_small_job_per_sources(spark):
+    from adspend.testkit.queries import QUERIES_BUILT_FROM_SOURCES as built
+    tracker = spark.sparkContext.statusTracker()
+    src = build_sources(TestTables(spark, SF))
+    for name in SOURCE_SCHEMAS:
+        getattr(src, name)
+    src.sizes()
+    spark.sparkContext.setJobGroup("plans-only", "building plans")
+    for make in built:
+        plan = make(src)._jdf.queryExecution().executedPlan().toString()
+        assert "CollectLimit" not in plan and not ("SinglePartition" in plan and "LocalLimit" in plan)
+    assert list(tracker.getJobIdsForGroup("plans-only")) == []
+    src._sizes = None
+    src.sizes()
+    assert len(tracker.getJobIdsForGroup("plans-only")) <= 8  # the stages of one collect, run as AQE's query stages
+    spark.sparkContext.setJobGroup("", "")
 
 
 def test_filters_and_columns_reach_the_parquet_scan(spark, tmp_dir):

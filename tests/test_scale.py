@@ -5,7 +5,6 @@ from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
-from adspend.operators import sizing
 from adspend.plans import facts as Fa
 from adspend.plans import reports as R
 from adspend.sources.tables import sources_from_rows
@@ -38,10 +37,10 @@ def _expected():
     return {k: D(v) / 100 for k, v in out.items()}
 
 
-def test_hot_account_same_in_both_plans(spark, monkeypatch):
+def test_hot_account_same_in_both_plans(spark):
     got_small = {(r[0], r[1]): r[2] for r in Fa.gdt_spend(_hot_sources(spark)).collect()}
-    monkeypatch.setattr(sizing, "DEFAULT_MAX_BROADCAST_ROWS", 0)
-    got_big = {(r[0], r[1]): r[2] for r in Fa.gdt_spend(_hot_sources(spark)).collect()}
+    shuffled = Fa.Params(max_broadcast_bytes=0)
+    got_big = {(r[0], r[1]): r[2] for r in Fa.gdt_spend(_hot_sources(spark), shuffled).collect()}
     assert got_small == got_big == _expected()
 
 
