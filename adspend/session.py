@@ -36,15 +36,15 @@ def build_session(master: str = "local[*]", *, shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
-    shared_dir(spark)
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (local tests) a fresh folder
-    is made and registered, never on a configured cluster.
+    Read from the session. Where it is unset a fresh folder is made, but only
+    for a local master (tests): on a cluster a folder of one machine is no
+    shared folder, so the setting is asked for.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +52,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="adspend-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -6,7 +6,9 @@ Landing format (one JSON object per line)::
      "response": {"code": 0, "message": "", "data": {"list": [...], "page_info": {"total_page": 2}}}}
 
 A page counts only when ``code == 0`` and its list is not empty (SRC-2); the
-request's account and day are attached to every row (SRC-7).  The channel
+request's account and day are attached to every row (SRC-7).  Lines that give
+no rows are listed with a reason by ``report_page_rejects``: nothing goes
+unseen.  The channel
 report (``{"ec": 200, "data": [...]}``) has its own reader (SRC-4).
 """
 
@@ -48,25 +50,75 @@ def landed(row_schema: StructType) -> StructType:
                        StructField("page", IntegerType()), StructField("response", envelope(row_schema))])
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _pages(lines: DataFrame, row_schema: StructType, col: str, account_id=None, stat_date=None) -> DataFrame:
+    """Landed records with the line they came from, and why a line gives no rows (NULL: it does)."""
+    schema = landed(row_schema).add(CORRUPT, StringType())
+    r = lines.select(F.col(col).alias("line"), F.from_json(F.col(col), schema, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r")).select("line", "r.*")
+    if account_id is not None:
+        r = r.withColumn("account_id", F.coalesce("account_id", F.lit(account_id).cast("long")))
+    if stat_date is not None:
+        r = r.withColumn("stat_date", F.coalesce("stat_date", F.to_date(F.lit(str(stat_date)))))
+    # of a line cut short, the keys that its beginning still says
+    for key, pattern, kind in (("account_id", r'"account_id"\s*:\s*(\d+)', "long"),
+                               ("stat_date", r'"stat_date"\s*:\s*"(\d{4}-\d{2}-\d{2})"', "date")):
+        said = F.regexp_extract("line", pattern, 1)
+        r = r.withColumn(key, F.coalesce(key, F.when(F.col(CORRUPT).isNotNull() & (said != ""), said.try_cast(kind))))
+    code = F.col("response.code")
+    reason = (F.when(F.col(CORRUPT).isNotNull() | F.col("response").isNull() | code.isNull(), "unreadable")
+              .when(code != PAGE_OK, "refused")
+              .when(F.coalesce(F.size("response.data.list"), F.lit(0)) <= 0, "empty"))
+    return r.withColumn("reason", reason)
+
+
+def incomplete_slices(pages: DataFrame) -> DataFrame:
+    """``account_id, stat_date`` of slices that lack a page out of 1..``total_page``,
+    or have an unreadable one (if its line still says whose it is)."""
+    good = F.col("reason").isNull()
+    total = F.max(F.when(good, F.coalesce("response.data.page_info.total_page", F.lit(1))))
+    have = F.count_distinct(F.when(good & (F.col("page") >= 1), F.col("page")))
+    bad = F.count_if(F.col("reason") == "unreadable")
+    return pages.groupBy("account_id", "stat_date").agg(total.alias("total"), have.alias("have"), bad.alias("bad")).where(
+        (F.col("bad") > 0) | (F.col("have") < F.coalesce("total", F.lit(0)))).select("account_id", "stat_date")
+
+
+def report_page_rejects(lines: DataFrame, row_schema: StructType, *, col: str = "value", complete: bool = False,
+                        account_id=None, stat_date=None) -> DataFrame:
+    """``line, account_id, stat_date, reason`` of every landed line that gives no
+    rows: unreadable, refused, empty, or (with ``complete``) of an incomplete slice."""
+    pages = _pages(lines, row_schema, col, account_id, stat_date)
+    if complete:
+        gone = incomplete_slices(pages).select(F.col("account_id").alias("_a"), F.col("stat_date").alias("_d"),
+                                               F.lit("incomplete").alias("_why"))
+        pages = pages.join(gone, F.col("account_id").eqNullSafe(F.col("_a")) & F.col("stat_date").eqNullSafe(F.col("_d")),
+                           "left").withColumn("reason", F.coalesce("reason", "_why"))
+    return pages.where("reason IS NOT NULL").select("line", "account_id", "stat_date", "reason")
+
+
 def parse_report_pages(lines: DataFrame, row_schema: StructType, *, col: str = "value",
                        fields: list[str] | None = None, drop: tuple[str, ...] = ("date",),
-                       account_id=None, stat_date=None, dates=None) -> DataFrame:
+                       account_id=None, stat_date=None, dates=None, complete: bool = False) -> DataFrame:
     """Rows of all accepted pages: ``account_id, stat_date`` and the requested
     ``fields`` of the row schema (all but ``drop`` by default; H19).
 
     ``account_id`` / ``stat_date`` give the request's keys when the landed
     record does not carry them (SRC-7); ``dates = (first, last)`` keeps the
     pages of those days only (SRC-6).
+
+    ``complete`` keeps an account's day only if pages 1 to ``total_page`` are all
+    there and readable, so that a slice is never replaced by a part of it.  It is
+    off by default: the reference stores what the accepted pages held, and only an
+    unreadable page makes it leave the slice alone.
     """
-    r = lines.select(F.from_json(F.col(col), landed(row_schema)).alias("r")).select("r.*")
-    if account_id is not None:
-        r = r.withColumn("account_id", F.coalesce("account_id", F.lit(account_id).cast("long")))
-    if stat_date is not None:
-        r = r.withColumn("stat_date", F.coalesce("stat_date", F.to_date(F.lit(str(stat_date)))))
+    r = _pages(lines, row_schema, col, account_id, stat_date)
+    if complete:
+        r = r.join(incomplete_slices(r), ["account_id", "stat_date"], "left_anti")
     if dates is not None:
         r = r.filter(F.col("stat_date").between(F.to_date(F.lit(str(dates[0]))), F.to_date(F.lit(str(dates[1])))))
-    ok = (F.col("response.code") == PAGE_OK) & (F.size("response.data.list") > 0)
-    rows = r.filter(ok).select("account_id", "stat_date", F.explode("response.data.list").alias("row"))
+    rows = r.filter("reason IS NULL").select("account_id", "stat_date", F.explode("response.data.list").alias("row"))
     names = [f.name for f in row_schema.fields
              if f.name not in drop and f.name not in ("account_id", "stat_date")
              and (fields is None or f.name in fields)]

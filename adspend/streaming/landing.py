@@ -8,12 +8,13 @@ account-day slices it carries replace those slices in a table partitioned by
 
 * only the target partitions of the batch's days are read (a semi join on the
   partition column, pruned at runtime);
-* the merged partitions are checkpointed into the cluster's shared
-  checkpoint folder, which cuts the lineage to the files about to be replaced;
-* they are written back with a dynamic partition overwrite.
+* the batch is cut once into the cluster's shared checkpoint folder;
+* the merged partitions are written whole beside the table first and then put
+  over the old ones (``operators.table_writes``), so a failure at any point
+  loses no row, and a batch replayed leaves the same table.
 
-Replacing by key is idempotent, so a batch replayed after a failure (the
-stream's checkpoint gives at-least-once delivery) leaves the same table.
+By default a slice is replaced only when all its pages are in the batch and
+readable; ``rejects`` keeps the lines that gave no rows, with the reason.
 """
 
 from __future__ import annotations
@@ -26,24 +27,29 @@ from pyspark.sql.types import StructType
 
 from ..operators.table_writes import replace_slices_in_table
 from ..session import shared_dir
-from ..sources.pages import parse_report_pages
+from ..sources.pages import parse_report_pages, report_page_rejects
 
 
 def land_report_pages(spark: SparkSession, source: str, target: str, row_schema: StructType, *,
                       keys=("account_id", "stat_date"), checkpoint: str | None = None,
-                      available_now: bool = True, name: str = "report_pages") -> StreamingQuery:
+                      available_now: bool = True, name: str = "report_pages", complete: bool = True,
+                      rejects: str | None = None) -> StreamingQuery:
     """Start the landing stream from ``source`` (JSON lines) into ``target``.
 
     ``available_now`` processes what has landed and stops (a scheduled run);
     otherwise the stream keeps running.  The stream's checkpoint defaults to
-    the shared checkpoint folder.
+    the shared checkpoint folder.  ``rejects`` is a folder to which lines without
+    rows are appended, by batch (a replayed batch replaces its own).
     """
     checkpoint = checkpoint or os.path.join(shared_dir(spark), f"stream-{name}")
-    rows = parse_report_pages(spark.readStream.format("text").load(source), row_schema)
+    lines = spark.readStream.format("text").load(source)
 
-    def apply(batch: DataFrame, _epoch: int) -> None:
-        replace_slices_in_table(batch, target, keys=keys)
+    def apply(batch: DataFrame, epoch: int) -> None:
+        if rejects:
+            report_page_rejects(batch, row_schema, complete=complete).write.mode("overwrite").parquet(
+                f"{rejects}/batch={epoch}")
+        replace_slices_in_table(parse_report_pages(batch, row_schema, complete=complete), target, keys=keys)
 
-    w = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).queryName(name)
+    w = lines.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
