@@ -89,13 +89,18 @@ def _build_sources(t: TestTables) -> Sources:
         return t.region.select(F.col("r_regionkey").cast("bigint").alias("id"))
     def entities():
         return t.nation.select(F.col("n_nationkey").cast("bigint").alias("id"),
-                               F.col("n_regionkey").cast("bigint").alias("customer_id"))
+                               F.when(F.col("n_nationkey") % 11 == 7, 90)
+                               .otherwise(F.col("n_regionkey")).cast("bigint").alias("customer_id"))
     def projects():
         return t.customer.select(F.col("c_custkey").alias("project_id"),
-                                 F.col("c_nationkey").cast("bigint").alias("entity_id"),
+                                 F.when(F.col("c_custkey") % 29 == 0, 900)
+                                 .otherwise(F.col("c_nationkey")).cast("bigint").alias("entity_id"),
                                  (F.col("c_custkey") % 4 + 1).cast("int").alias("platform_id"))
-    def accounts():
-        return t.orders.select(F.col("o_orderkey").alias("account_id"), F.col("o_custkey").alias("project_id"))
+    def accounts(shift: int, unknown_every: int):
+        """A platform's accounts: projects shifted by its own step, some orders without an account."""
+        key = F.col("o_orderkey")
+        return lambda: t.orders.where(key % unknown_every != 0).select(
+            key.alias("account_id"), (F.col("o_custkey") + shift * (key % 3)).alias("project_id"))
 
     def gdt_cash_flow():
         return t.lineitem.select(
@@ -206,7 +211,7 @@ def _build_sources(t: TestTables) -> Sources:
         (sk * 2 + k).alias("id"),
         sk.alias("contract_id"),
         ((sk + k * 2) % 5 + 1).cast("int").alias("media_id"),
-        (((sk + k) % 20) * 100).cast("int").alias("contract_rebate"),
+        F.when(sk % 41 == 5, -10000).otherwise(((sk + k) % 20) * 100).cast("int").alias("contract_rebate"),
         begin.alias("contract_begin_date"),
         F.when(sk % 23 == 0, F.lit(None).cast("date"))
          .when(sk % 17 == 0, _days(begin, F.lit(-5)))
@@ -216,7 +221,9 @@ def _build_sources(t: TestTables) -> Sources:
 
     start = F.to_date("o_orderdate")
     def settlement_heads():
-        return t.orders.select(
+        # some heads came twice, equal in every column
+        copies = F.when(okey % 97 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        return t.orders.select("*", F.explode(copies).alias("_copy")).select(
         _pid("o_orderkey").alias("process_instance_id"),
         (okey % 3).cast("string").alias("business_id"),
         F.col("o_custkey").alias("contract_info"),
@@ -248,7 +255,7 @@ def _build_sources(t: TestTables) -> Sources:
         ln.cast("decimal(18,2)").alias("coupon_deposit"))
 
     return Sources(customers=customers, entities=entities, projects=projects,
-                   gdt_accounts=accounts, tt_accounts=accounts, wechat_accounts=accounts,
+                   gdt_accounts=accounts(0, 19), tt_accounts=accounts(1, 23), wechat_accounts=accounts(2, 37),
                    gdt_cash_flow=gdt_cash_flow, tt_transfers=tt_transfers,
                    wechat_statements=wechat_statements, wechat_daily=wechat_daily, tt_daily=tt_daily,
                    deposit_log=deposit_log, present_log=present_log, refund_log=refund_log,
@@ -283,10 +290,11 @@ _START = "CAST(o_orderdate AS DATE)"
 
 STANDIN_SQL: dict[str, str] = {
     "customers": "SELECT CAST(r_regionkey AS BIGINT) AS id FROM region",
-    "entities": "SELECT CAST(n_nationkey AS BIGINT) AS id, CAST(n_regionkey AS BIGINT) AS customer_id FROM nation",
-    "projects": "SELECT c_custkey AS project_id, CAST(c_nationkey AS BIGINT) AS entity_id, "
+    "entities": "SELECT CAST(n_nationkey AS BIGINT) AS id, "
+                "CAST(CASE WHEN n_nationkey % 11 = 7 THEN 90 ELSE n_regionkey END AS BIGINT) AS customer_id FROM nation",
+    "projects": "SELECT c_custkey AS project_id, "
+                "CAST(CASE WHEN c_custkey % 29 = 0 THEN 900 ELSE c_nationkey END AS BIGINT) AS entity_id, "
                 "CAST(c_custkey % 4 + 1 AS INTEGER) AS platform_id FROM customer",
-    "accounts": "SELECT o_orderkey AS account_id, o_custkey AS project_id FROM orders",
     "gdt_cash_flow": f"""SELECT l_orderkey AS account_id,
         CASE l_returnflag WHEN 'A' THEN 'CHARGE' WHEN 'N' THEN 'PAY' ELSE 'TRANSFER_BACK' END AS trade_type,
         CASE l_linenumber % 5 WHEN 0 THEN 'FUND_TYPE_CASH' WHEN 1 THEN 'FUND_TYPE_GIFT'
@@ -345,7 +353,7 @@ STANDIN_SQL: dict[str, str] = {
                  "CAST(s_suppkey % 3 AS INTEGER) AS settle_type FROM supplier",
     "contract_lines": f"""SELECT s_suppkey * 2 + k AS id, s_suppkey AS contract_id,
         CAST((s_suppkey + k * 2) % 5 + 1 AS INTEGER) AS media_id,
-        CAST(((s_suppkey + k) % 20) * 100 AS INTEGER) AS contract_rebate,
+        CAST(CASE WHEN s_suppkey % 41 = 5 THEN -10000 ELSE ((s_suppkey + k) % 20) * 100 END AS INTEGER) AS contract_rebate,
         {_BEGIN} AS contract_begin_date,
         CASE WHEN s_suppkey % 23 = 0 THEN NULL WHEN s_suppkey % 17 = 0 THEN {_BEGIN} - 5
              ELSE {_BEGIN} + CAST(s_suppkey % 400 AS INTEGER) END AS contract_end_date,
@@ -359,7 +367,8 @@ STANDIN_SQL: dict[str, str] = {
         CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'RUNNING' ELSE 'COMPLETED' END AS status,
         o_orderpriority AS billed_type,
         CASE WHEN o_orderkey % 11 = 0 THEN CAST(0 AS DECIMAL(18,2)) WHEN o_orderkey % 17 = 0 THEN NULL
-             ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS adjust_amount FROM orders""",
+             ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS adjust_amount
+        FROM (SELECT *, unnest(CASE WHEN o_orderkey % 97 = 1 THEN [0, 1] ELSE [0] END) AS copy FROM orders) AS sent""",
     "settlement_lines": f"""SELECT
         CASE l_linenumber % 5 WHEN 1 THEN '今日头条' WHEN 2 THEN '广点通' WHEN 3 THEN '亿信推'
              WHEN 4 THEN '微信' ELSE '其他' END AS platform_name,
@@ -375,9 +384,10 @@ STANDIN_SQL: dict[str, str] = {
         CAST(l_linenumber AS DECIMAL(18,2)) AS coupon_deposit FROM lineitem""",
     "report_events": "SELECT user_id AS account_id, ts, event_type, CAST(ROUND(value * 100) AS BIGINT) AS cost FROM events",
 }
-# the three platform account tables share one stand-in
-for _n in ("gdt_accounts", "tt_accounts", "wechat_accounts"):
-    STANDIN_SQL[_n] = STANDIN_SQL["accounts"]
+# the account tables are key spaces of their own: another project, and other unknown accounts, by platform
+for _n, _shift, _every in (("gdt_accounts", 0, 19), ("tt_accounts", 1, 23), ("wechat_accounts", 2, 37)):
+    STANDIN_SQL[_n] = (f"SELECT o_orderkey AS account_id, o_custkey + {_shift} * (o_orderkey % 3) AS project_id "
+                       f"FROM orders WHERE o_orderkey % {_every} <> 0")
 
 
 def with_standins(sql: str, names: list[str]) -> str:

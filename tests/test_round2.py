@@ -85,3 +85,28 @@ def test_jdbc_ledgers_need_partitioning(spark):
         jdbc_sources(spark, "jdbc:x", {}, properties={}, partitioning={t: {} for t in LEDGER_TABLES if t != "media_cost"})
     assert jdbc_options("jdbc:x", "t", {"user": "u"}, {"numPartitions": 8, "lowerBound": 1}) == {
         "url": "jdbc:x", "dbtable": "t", "user": "u", "numPartitions": "8", "lowerBound": "1"}
+
+
+def _standins(spark):
+    from adspend.testkit.standins import TestTables, build_sources
+    return build_sources(TestTables(spark, "/root/testdata/sf0.001"))
+
+
+def test_standins_show_swapped_key_spaces_and_outer_joins(spark):
+    """Facts joined to another platform's accounts, or with unknown keys kept, give other results."""
+    from adspend.plans import facts as Fa
+    from adspend.sources.tables import SOURCE_COLUMNS, Sources
+    from adspend.testkit.queries import PARAMS
+    src = _standins(spark)
+    tables = {n: getattr(src, n) for n in SOURCE_COLUMNS}
+    for a, b, job in (("tt_accounts", "gdt_accounts", Fa.tt_spend), ("gdt_accounts", "wechat_accounts", Fa.gdt_spend),
+                      ("wechat_accounts", "tt_accounts", Fa.wechat_spend)):
+        swapped = Sources(**(tables | {a: tables[b], b: tables[a]}))
+        assert _rows(job(src, PARAMS)) != _rows(job(swapped, PARAMS))
+    # keys without a match exist at every step: fact -> account -> project -> entity -> customer
+    for left, key, right, other in ((src.gdt_cash_flow, "account_id", src.gdt_accounts, "account_id"),
+                                    (src.projects, "entity_id", src.entities, "id"),
+                                    (src.entities, "customer_id", src.customers, "id")):
+        assert left.join(right, left[key] == right[other], "left_anti").count() > 0
+    ids = {r[0] for r in Fa.gdt_spend(src, PARAMS).select("customer_id").distinct().collect()}
+    assert ids <= {r[0] for r in src.customers.collect()}
