@@ -8,9 +8,11 @@ holds its key.
 from __future__ import annotations
 
 import datetime as _dt
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ..functions.columns import col_of
 
@@ -85,6 +87,25 @@ def expand_period(df: DataFrame, begin: str | Column, end: str | Column, *,
     return out
 
 
+# a first day, a last day and an amount as one number in their order: 7 + 7 + 21 digits
+_ZERO_DAY, _ZERO_AMOUNT, _AMOUNT_SPAN = 1_000_000, 5 * 10**20, 10**21
+
+
+def _whole(value: int) -> Column:
+    return F.lit(Decimal(value)).cast(f"decimal({len(str(value))},0)")
+
+
+def _packed(lo: Column, hi: Column, amount: Column) -> Column:
+    day = [(F.unix_date(d) + _ZERO_DAY).cast("decimal(7,0)") for d in (lo, hi)]
+    units = (amount * F.lit(Decimal(10000))).cast("decimal(21,0)") + _whole(_ZERO_AMOUNT)
+    return ((day[0] * _whole(10**7) + day[1]).cast("decimal(15,0)") * _whole(_AMOUNT_SPAN)).cast("decimal(38,0)") + units
+
+
+def _unpacked(packed: Column, kind: DecimalType) -> Column:
+    units = (packed % _whole(_AMOUNT_SPAN)).cast("decimal(22,0)") - _whole(_ZERO_AMOUNT)
+    return (units * F.lit(Decimal("0.0001"))).cast(kind)
+
+
 def apportion_daily(df: DataFrame, keys: list[str], begin: str, end: str, amount: str, *,
                     name: str = "stat_date", out: str | None = None) -> DataFrame:
     """Spread an amount evenly over the days of a key's period (TS-5, WIN-1..3).
@@ -93,16 +114,23 @@ def apportion_daily(df: DataFrame, keys: list[str], begin: str, end: str, amount
     rows; the amount spread is the one of the row that starts first (H17;
     ties go to the shorter period, then the smaller amount), divided by the
     number of days.  One aggregate (partial aggregation collapses a hot key
-    map-side), then one explode.
+    map-side; where days and a decimal amount pack into one wide number it is a
+    hash aggregate), then one explode in the same stage: the shuffle by key has
+    spread the keys already.
     """
     out = out or amount
     lo, hi = period_bounds(begin, end)
-    first = F.min_by(F.col(amount), F.struct(lo, hi, F.col(amount)))
+    kind = df.schema[amount].dataType
+    packs = isinstance(kind, DecimalType) and kind.scale <= 4 and kind.precision - kind.scale <= 16
+    if packs:
+        first = _unpacked(F.min(_packed(lo, hi, F.col(amount))), kind)
+    else:
+        first = F.min_by(F.col(amount), F.struct(lo, hi, F.col(amount)))
     per_key = (df.groupBy(*keys)
                .agg(F.min(lo).alias("_lo"), F.max(hi).alias("_hi"), first.alias("_amt"))
                .filter(F.col("_lo").isNotNull()))
     n_days = F.datediff(F.col("_hi"), F.col("_lo")) + F.lit(1)
-    return spread(per_key).select(
+    return per_key.select(
         *keys,
         F.explode(F.sequence(F.col("_lo"), F.col("_hi"), one_day())).alias(name),
         (F.col("_amt").cast("double") / n_days.cast("double")).alias(out))

@@ -59,16 +59,30 @@ def daily_report(events: DataFrame, *, account: str = "account_id", ts: str = "t
     return _rates(g)
 
 
-def active_accounts(report: DataFrame, *, dates=None, known: DataFrame | None = None) -> DataFrame:
-    """Accounts with cost > 0 (on ``dates`` if given), united with ``known``
-    accounts (SET-2); one column ``account_id``, distinct."""
+def _with_earlier(accounts: DataFrame, earlier: DataFrame | None) -> DataFrame:
+    out = accounts.select("account_id")
+    return (out if earlier is None else out.unionByName(earlier.select("account_id"))).distinct()
+
+
+def known_accounts(listed: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """The accounts listed by a pull and those known before (SET-2): whose hourly
+    reports are asked for.  Says nothing about cost."""
+    return _with_earlier(listed, earlier)
+
+
+def active_accounts(report: DataFrame, *, dates=None, earlier: DataFrame | None = None) -> DataFrame:
+    """Accounts with cost > 0 (on ``dates`` if given) and those that were active
+    before: the only ones whose day report is asked for; ``account_id``, distinct.
+    A set apart from ``known_accounts``: an account without cost is not in it."""
     r = report.filter(F.col("cost") > 0)
     if dates is not None:
         r = r.filter(F.col("stat_date").isin(*[F.to_date(F.lit(d)) for d in dates]))
-    out = r.select("account_id")
-    if known is not None:
-        out = out.unionByName(known.select("account_id"))
-    return out.distinct()
+    return _with_earlier(r, earlier)
+
+
+def ordered_report(report: DataFrame) -> DataFrame:
+    """A report in the order it is shown in: account, day, hour (SRT-2)."""
+    return report.orderBy(*[c for c in ("account_id", "stat_date", "hour") if c in report.columns])
 
 
 def only_active(report: DataFrame, active: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from ..operators.calendar import date_spine
 from ..operators.ledger import sum_long
 from ..sources.tables import Sources
 from .contracts import net_income
-from ..functions.columns import units_to_money
+from ..functions.columns import optional_column, units_to_money
 from .facts import INCOME_BASE, Params, facts_long, invoice_units, receipt_units, spend_by_entity, to_date
 
 JOINED = ["deposit_yxt_cash", "deposit_yxt_gift", "deposit_all_gdt", "deposit_all_tt",
@@ -90,7 +90,7 @@ def customer_day_snapshot(src: Sources, *, start, as_of=None, p: Params | None =
     snap = spine.join(wide, ["customer_id", "stat_date"], "left")
     zero = F.lit(0).cast("bigint")
     cols = {c: F.coalesce(F.col(c), zero) for c in JOINED + INCOMES}
-    cols["cb_wechat"] = zero
+    cols["cb_wechat"] = optional_column(wide, "cb_wechat").cast("bigint")
     for name, parts in DERIVED.items():
         cols[name] = reduce(lambda a, b: a + b, [cols[c] for c in parts])
     cols["incoming_all"] = reduce(lambda a, b: a + b, [cols[c] for c in INCOMES])

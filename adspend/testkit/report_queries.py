@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from ..operators.calendar import date_spine, forward_fill
-from ..operators.groups import earliest_row_flag, group_mean_back
+from ..functions.columns import optional_column
+from ..operators.groups import earliest_row_flag, group_mean_back, keep_on_first
 from ..operators.merge import duplicate_keys, last_per_key, replace_slice, upsert
 from ..plans import contracts as C
 from ..plans import facts as Fa
 from ..plans import reports as R
-from ..sources.pages import parse_account_pages, parse_channel_report, parse_report_pages
+from ..sources.pages import (parse_account_pages, parse_channel_report, parse_report_pages, report_page_rejects,
+                             to_json_rows)
+from ..sources.tables import SOURCE_SCHEMAS, empty_like
 from .oracle import _SPINE, fact_select
 from .queries import PARAMS, present
 from .standins import (STANDIN_SQL, TEST_AGENT_ID, TEST_AS_OF, TEST_START, TestTables, build_sources,
@@ -31,12 +34,15 @@ PAGE_ROW = StructType([StructField("hour", IntegerType()), StructField("view_cou
 REFUSED_ACCOUNT_EVERY = 9      # stand-in: the API refuses pages of every 9th account
 FIRST_PULL_UNTIL, SECOND_PULL_FROM = "2024-01-16", "2024-01-10"
 DAY_REPULL_FROM = "2024-01-20"
+FIRST_PULL = f"ts < TIMESTAMP_NTZ '{FIRST_PULL_UNTIL} 00:00:00'"
+SECOND_PULL = f"ts >= TIMESTAMP_NTZ '{SECOND_PULL_FROM} 00:00:00'"
+ROLLUP_DAY = "2024-01-12"
 
 
 # ---- stand-ins -------------------------------------------------------------
 
-def report_page_lines(t: TestTables) -> DataFrame:
-    ev = t.events
+def report_page_lines(t: TestTables, where: str = "TRUE") -> DataFrame:
+    ev = t.events.where(where)
     item = F.struct(F.hour("ts").alias("hour"),
                     (F.col("event_type") == "view").cast("long").alias("view_count"),
                     (F.col("event_type") == "click").cast("long").alias("valid_click_count"),
@@ -59,11 +65,11 @@ def report_page_lines(t: TestTables) -> DataFrame:
     return full.unionByName(empty)
 
 
-def account_page_lines(t: TestTables) -> DataFrame:
+def account_page_lines(t: TestTables, where: str = "TRUE") -> DataFrame:
     item = F.struct(F.col("user_id").alias("account_id"),
                     F.concat(F.lit("corp "), F.col("user_id").cast("string")).alias("corporation_name"),
                     F.lit("ACTIVE").alias("system_status"))
-    g = t.events.groupBy(F.floor(F.col("event_id") / 100).alias("blk")).agg(F.collect_list(item).alias("list"))
+    g = t.events.where(where).groupBy(F.floor(F.col("event_id") / 100).alias("blk")).agg(F.collect_list(item).alias("list"))
     code = F.when(F.col("blk") % 7 == 3, 11000).otherwise(0)
     return g.select(F.to_json(F.struct(code.alias("code"), F.lit("").alias("message"),
                                        F.struct("list").alias("data"))).alias("value"))
@@ -107,8 +113,75 @@ def _active(spark, sf):
 
 def _known_union(spark, sf):
     t = TestTables(spark, sf)
-    known = parse_account_pages(account_page_lines(t))
-    return present(R.active_accounts(R.hourly_report(report_events(t)), known=known))
+    earlier = R.known_accounts(parse_account_pages(account_page_lines(t, FIRST_PULL)))
+    return present(R.known_accounts(parse_account_pages(account_page_lines(t, SECOND_PULL)), earlier))
+
+
+def _active_earlier(spark, sf):
+    ev = _ev(spark, sf)
+    earlier = R.active_accounts(R.hourly_report(ev.where(FIRST_PULL)))
+    return present(R.active_accounts(R.hourly_report(ev.where(f"{SECOND_PULL} AND event_type = 'purchase'")),
+                                     dates=[ROLLUP_DAY], earlier=earlier))
+
+
+def _landing(spark, sf, active_only: bool):
+    """Two pulls of report pages: rows of the second replace the account-days they carry."""
+    t = TestTables(spark, sf)
+    old = parse_report_pages(report_page_lines(t, FIRST_PULL), PAGE_ROW)
+    new = parse_report_pages(report_page_lines(t, f"{SECOND_PULL} AND event_type <> 'error'"), PAGE_ROW)
+    if active_only:
+        new = R.only_active(new, R.active_accounts(R.hourly_report(report_events(t).where("event_type = 'purchase'"))))
+    return present(replace_slice(old, new, ["account_id", "stat_date"]))
+
+
+def _rollup_day(spark, sf):
+    """The agent's days from the first pull, one of them made anew from all events."""
+    ev = _ev(spark, sf)
+    old = R.agent_rollup(R.daily_report(ev.where(FIRST_PULL)), agent_id=TEST_AGENT_ID)
+    new = R.agent_rollup(R.daily_report(ev), agent_id=TEST_AGENT_ID, dates=[ROLLUP_DAY])
+    return present(replace_slice(old, new, ["stat_date"]))
+
+
+def _rejects(spark, sf):
+    r = report_page_rejects(report_page_lines(TestTables(spark, sf)), PAGE_ROW)
+    return present(r.groupBy("account_id", "stat_date", "reason").agg(F.count(F.lit(1)).alias("lines")))
+
+
+def _pages_dates(spark, sf):
+    return present(parse_report_pages(report_page_lines(TestTables(spark, sf)), PAGE_ROW, fields=["hour", "cost"],
+                                      dates=(DAY_REPULL_FROM, "2024-01-22")))
+
+
+def _min_bids(spark, sf):
+    return present(parse_channel_report(channel_lines(TestTables(spark, sf)), channel_id=CHANNEL_ID,
+                                        type_id=CHANNEL_TYPE, seq="seq", min_bids=50))
+
+
+def _ordered(spark, sf):
+    return present(R.ordered_report(R.hourly_report(_ev(spark, sf))))
+
+
+def _json_rows(spark, sf):
+    return to_json_rows(_src(spark, sf).projects)
+
+
+def _optional(spark, sf):
+    p = _src(spark, sf).projects
+    return p.select("project_id", optional_column(p, "entity_id", -1).alias("entity_id"),
+                    optional_column(p, "discount", 0).alias("discount"))
+
+
+def _typed_empty(spark, sf):
+    """A source that gave nothing stacks with one that gave rows."""
+    return empty_like(spark, SOURCE_SCHEMAS["entities"]).unionByName(_src(spark, sf).entities)
+
+
+def _keep_first(spark, sf):
+    h = _src(spark, sf).settlement_heads.select(
+        "customer_id", "business_id", "kpi_start_date", (F.col("adjust_amount") * 100).cast("bigint").alias("cents"))
+    flagged = earliest_row_flag(h, ["customer_id", "business_id"], ["kpi_start_date"])
+    return present(keep_on_first(flagged, "is_first", "cents").groupBy("customer_id", "business_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("cents").alias("cents")))
 
 
 def _daily_active(spark, sf):
@@ -204,6 +277,18 @@ REPORT_QUERIES = {
     "daily_report": _daily,
     "active_accounts": _active,
     "known_accounts_union": _known_union,
+    "active_accounts_earlier": _active_earlier,
+    "hourly_landing": lambda spark, sf: _landing(spark, sf, active_only=False),
+    "daily_landing_active": lambda spark, sf: _landing(spark, sf, active_only=True),
+    "agent_rollup_day": _rollup_day,
+    "report_page_rejects": _rejects,
+    "pages_date_range": _pages_dates,
+    "channel_min_bids": _min_bids,
+    "hourly_report_ordered": _ordered,
+    "json_rows": _json_rows,
+    "optional_column": _optional,
+    "typed_empty_source": _typed_empty,
+    "keep_on_first": _keep_first,
     "daily_report_active": _daily_active,
     "agent_rollup": _rollup,
     "agent_rollup_long": _rollup_long,
@@ -375,13 +460,55 @@ FFILL = f"""SELECT s.customer_id, strftime(s.stat_date, '%Y-%m-%d') AS stat_date
   FROM ({_SPINE}) s LEFT JOIN ({fact_select('deposit_all_gdt')}) f
     ON f.customer_id = s.customer_id AND f.stat_date = s.stat_date"""
 
+def _AT(day: str) -> str:
+    return f"TIMESTAMP '{day} 00:00:00'"
+
+
+def _landed(accounts: str) -> str:
+    """Pages of the first pull, where the second pull has no row of the account's day, and all of the second."""
+    first = f"{PAGES} AND ts < {_AT(FIRST_PULL_UNTIL)}"
+    second = f"{PAGES} AND ts >= {_AT(SECOND_PULL_FROM)} AND event_type <> 'error' AND {accounts}"
+    return (f"SELECT * FROM ({first}) a WHERE NOT EXISTS (SELECT 1 FROM ({second}) b WHERE b.account_id = a.account_id "
+            f"AND b.stat_date = a.stat_date) UNION ALL SELECT * FROM ({second}) c")
+
+
 _SETTLE = ["settlement_lines", "settlement_heads", "contracts", "contract_lines"]
 REPORT_ORACLE = {
     "hourly_report": _w(_show(HOURLY), _EV),
     "daily_report": _w(_show(DAILY), _EV),
     "active_accounts": _w(ACTIVE, _EV),
-    "known_accounts_union": _w(f"{ACTIVE} UNION SELECT user_id AS account_id FROM events "
-                               f"WHERE (event_id // 100) % 7 <> 3", _EV),
+    "known_accounts_union": f"SELECT user_id AS account_id FROM events WHERE (event_id // 100) % 7 <> 3 AND "
+                            f"(ts < {_AT(FIRST_PULL_UNTIL)} OR ts >= {_AT(SECOND_PULL_FROM)}) GROUP BY 1",
+    "active_accounts_earlier": _w(f"""SELECT account_id FROM ({_with_rates(_report_sql(f"ts < {_AT(FIRST_PULL_UNTIL)}"))})
+        WHERE cost > 0 UNION SELECT account_id FROM report_events WHERE event_type = 'purchase' AND
+        ts >= {_AT(SECOND_PULL_FROM)} AND CAST(ts AS DATE) = DATE '{ROLLUP_DAY}' GROUP BY account_id, hour(ts)
+        HAVING SUM(cost) > 0""", _EV),
+    "hourly_landing": _show(_landed("TRUE")),
+    "daily_landing_active": _show(_landed(
+        "user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase' GROUP BY user_id, CAST(ts AS DATE), hour(ts) "
+        "HAVING SUM(ROUND(value * 100)) > 0)")),
+    "agent_rollup_day": _w(_show(
+        "SELECT * FROM (" + ROLLUP.replace(DAILY, _with_rates(_report_sql(f"ts < {_AT(FIRST_PULL_UNTIL)}", hourly=False)))
+        + f") WHERE stat_date <> DATE '{ROLLUP_DAY}' UNION ALL SELECT * FROM ({ROLLUP}) WHERE stat_date = DATE '{ROLLUP_DAY}'"),
+        _EV),
+    "report_page_rejects": _show(f"""SELECT account_id, stat_date, reason, SUM(n)::BIGINT AS lines
+        FROM (SELECT DISTINCT user_id AS account_id, CAST(ts AS DATE) AS stat_date, event_id // 100 AS page,
+                     CASE WHEN {_NOT_REFUSED} THEN 'empty' ELSE 'refused' END AS reason,
+                     CASE WHEN {_NOT_REFUSED} THEN 1 ELSE 2 END AS n FROM events) p GROUP BY 1, 2, 3"""),
+    "pages_date_range": _show(f"SELECT account_id, stat_date, hour, cost FROM ({PAGES}) p "
+                              f"WHERE stat_date BETWEEN DATE '{DAY_REPULL_FROM}' AND DATE '2024-01-22'"),
+    "channel_min_bids": _show(f"SELECT * EXCLUDE (event_id) FROM ({_channel_sql()}) c WHERE adx_bid >= 50", "stat_day"),
+    "hourly_report_ordered": _w(_show(HOURLY) + " ORDER BY account_id, stat_date, hour", _EV),
+    "json_rows": _w("SELECT '{\"project_id\":' || project_id || ',\"entity_id\":' || entity_id || "
+                    "',\"platform_id\":' || platform_id || '}' AS value FROM projects", ["projects"]),
+    "optional_column": _w("SELECT project_id, ifnull(entity_id, -1) AS entity_id, 0 AS discount FROM projects",
+                          ["projects"]),
+    "typed_empty_source": _w("SELECT id, customer_id FROM entities", ["entities"]),
+    "keep_on_first": _w("""SELECT customer_id, business_id, COUNT(*) AS n,
+          SUM(CASE WHEN k = 1 THEN cents ELSE 0 END)::BIGINT AS cents
+        FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id, business_id
+                                           ORDER BY kpi_start_date NULLS FIRST, cents NULLS FIRST) AS k
+              FROM (SELECT *, CAST(adjust_amount * 100 AS BIGINT) AS cents FROM settlement_heads) c) h GROUP BY 1, 2""", ["settlement_heads"]),
     "daily_report_active": _w(_show(f"SELECT * FROM ({DAILY}) d WHERE account_id IN ({ACTIVE})"), _EV),
     "agent_rollup": _w(_show(ROLLUP), _EV),
     "agent_rollup_long": _w(_show(ROLLUP_LONG), _EV),
