@@ -42,8 +42,7 @@ def piece_model(name: str = PIECE_MODEL) -> bytes:
 
 def op1_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = piece_model()
-    rows = codec.decode(codec.encode(docs, model, keep_text=False), model)
+    rows = codec.round_trip(docs, piece_model())
     return rows.select("doc_id", F.expr("CAST(octet_length(ids) DIV 4 AS BIGINT)").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

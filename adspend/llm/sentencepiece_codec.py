@@ -338,6 +338,21 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str =
     return add_columns(docs, [text_col], [(ids_col, T.BinaryType())], make, () if keep_text else (text_col,))
 
 
+def round_trip(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str = "ids",
+               decoded_col: str = "decoded", bos: bool = True, eos: bool = True) -> DataFrame:
+    """``docs`` without the text, with the packed ids of each whole text and the
+    text decoded from them; both in one pass, so a task keeps one Python worker."""
+    def make():
+        c = codec(model)
+
+        def work(cols):
+            ids = [c.encode(t, bos, eos) for t in cols[0].to_pylist()]
+            return [pa.array(ids, pa.binary()), pa.array([c.decode(x) for x in ids], pa.string())]
+        return work
+
+    return add_columns(docs, [text_col], [(ids_col, T.BinaryType()), (decoded_col, T.StringType())], make, (text_col,))
+
+
 def decode(encoded: DataFrame, model: bytes, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``encoded`` with the text of each row's packed ids."""
     def make():

@@ -71,5 +71,9 @@ def test_frames(spark, docs):
     for r in out:
         ids = SP.encode(r.text or "", add_bos=True, add_eos=True)
         assert hashlib.sha256(r.ids).digest() == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).digest()
+    both = codec.round_trip(d, MODEL)
+    assert both.columns == ["doc_id", "lang", "source", "n_chars", "ids", "decoded"]
+    assert sorted((r.doc_id or 0, bytes(r.ids), r.decoded) for r in both.collect()) == sorted(
+        (r.doc_id or 0, bytes(r.ids), r.decoded) for r in out)
     assert codec.encode(docs([]), MODEL).collect() == []
     assert [r.decoded for r in codec.decode(spark.createDataFrame([(None,)], "ids binary"), MODEL).collect()] == [""]
