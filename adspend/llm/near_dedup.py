@@ -18,13 +18,12 @@ words' bytes (all words, if fewer). Documents are linked where
    again, so a dense group costs its size, not its square.
 4. Larger groups are dealt into chunks, each compared together with the pivot.
    That joins the bulk of a large group of near copies. What then stays apart
-   in a large node is searched further: nodes whose rows are all in one
-   component are done; a node with a dominant component compares the others
-   with it, block by block, and goes on with the others alone; any other node
-   branches again, by two minwise values that its path chooses, until nodes
-   are small. What is still large at ``DEPTH`` is compared block by block.
-   Nothing is capped: every pair in a common first node is compared in blocks,
-   or meets with the probability of its branching.
+   is searched further: a group whose rows are all in one component is done; one
+   of at most ``WHOLE`` rows is compared exhaustively, block by block; a larger
+   one with a dominant component compares the others with it, by blocks, and
+   goes on with the others alone; any other branches again, by two minwise
+   values that its path chooses, until its nodes are small enough. What is still
+   larger at ``DEPTH`` is compared by blocks all the same. Nothing is capped.
 5. Components are found from the links by label propagation with pointer
    jumping, in tables.
 
@@ -52,9 +51,11 @@ SHINGLE = 5
 PERCENT = 85
 TREES = 8
 VALUES = 128             # minwise values kept of a set, 16 bits each
+ROUGH = 32               # of them looked at first
 SMALL = 256              # rows of a group that are compared in one go
 SHINGLES = 4_000_000     # and shingles of a group, all its sets together
-BLOCK = 1024             # rows of a block of a large node
+BLOCK = 1024             # rows of a block of a large group
+WHOLE = 16 * BLOCK       # rows of a group that is compared without branching
 DEPTH = 8                # of branching
 _ROWS = 128              # documents whose minwise values are made at once
 
@@ -140,12 +141,16 @@ def _alike(sketch: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndarra
     """
     s = percent / 100
     least = s * VALUES - 4 * (VALUES * s * (1 - s)) ** 0.5
+    rough = s * ROUGH - 5 * (ROUGH * s * (1 - s)) ** 0.5  # a quarter of the values turns most pairs away
+    begin = np.ascontiguousarray(sketch[:, :ROUGH])
     left, right, agreed = [], [], []
     for i in range(len(n) - 1):
         j = np.arange(i + 1, len(n))
         fits = (label[j] != label[i]) & (np.minimum(n[j], n[i]) * 100 >= percent * np.maximum(n[j], n[i]))
         fits &= (side[j] == 0) | (side[j] != side[i])
         j = j[fits]
+        if len(j):
+            j = j[(begin[j] == begin[i]).sum(axis=1) >= rough]
         if len(j):
             same = (sketch[j] == sketch[i]).sum(axis=1)
             ok = same >= least
@@ -260,11 +265,15 @@ def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, 256)
 
 
-def _links(groups: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """a, b: links between the rows of each group of ``groups``."""
+def _near(groups: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``groups`` that may have a partner in their group, as a written table."""
     rows = groups.select(*_GROUP_NAMES).repartition("group").sortWithinPartitions("group", "side", "id")
     near = rows.mapInArrow(_candidates(percent), T.StructType(_GROUP)).dropDuplicates(["group", "side", "id", "digest"])
-    near = cut(near, "near-candidates")
+    return cut(near, "near-candidates")
+
+
+def _links(near: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """a, b: links between the rows of each group of ``near``."""
     rows = near.join(texts, "id").select(*_GROUP_NAMES, "text")
     rows = rows.repartition("group").sortWithinPartitions("group", "side", "id")
     return cut(rows.mapInArrow(_verify(percent), "a bigint, b bigint"), "near-links")
@@ -303,33 +312,39 @@ def _chunk(ids: Column, chunks: Column) -> Column:
 
 
 def _first_nodes(reps: DataFrame) -> DataFrame:
-    """node, id: the first node of each tree, where more than one row is in it; and its pivot."""
+    """node, id, n, pivot: the first node of each tree, where more than one row is in it."""
     rows = reps.select("id", "n", F.posexplode("trees").alias("tree", "token"))
     rows = rows.select(_node("tree", "token").alias("node"), "id", "n")
     sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("pivot")).where("rows > 1")
     return rows.join(sizes.select("node", "pivot"), "node").select("node", "id", "n", "pivot")
 
 
-def _blocks(rows: DataFrame, left: Column, right: Column, n_left: Column, n_right: Column, block: int) -> DataFrame:
+def _blocks(rows: DataFrame, left: Column, right: Column, count: Column, block: int) -> DataFrame:
     """Every left row with every right row of a node, in groups of a block of each.
 
-    A row on both sides meets each other block once.
+    ``count`` is the node's number of blocks. A row on both sides meets each
+    other block, and its own, once.
     """
-    nl, nr = F.ceil(n_left / block).cast("int"), F.ceil(n_right / block).cast("int")
-    own_l, own_r = _chunk(F.col("id"), nl), _chunk(F.col("id"), nr)
-    there = F.transform(F.sequence(F.lit(0), nr - 1), lambda k: F.struct(
-        F.lit(1).alias("side"), own_l.cast("int").alias("l"), k.alias("r")))
-    here = F.transform(F.sequence(F.lit(0), nl - 1), lambda k: F.struct(
-        F.lit(2).alias("side"), k.alias("l"), own_r.cast("int").alias("r")))
-    nothing = F.slice(here, 1, 0)
-    out = rows.withColumn("p", F.explode(F.concat(F.when(left, there).otherwise(nothing),
-                                                  F.when(right, here).otherwise(nothing))))
+    own = _chunk(F.col("id"), count).cast("int")
+    every = F.sequence(F.lit(0), count - 1)
+    both = left & right
+
+    def place(side, low, high):
+        return F.struct(F.lit(side).alias("side"), low.alias("l"), high.alias("r"))
+
+    # both: block pairs (l, r) with l <= r, its own pair as one side; else left blocks by right blocks
+    one = F.transform(every, lambda k: F.struct(
+        F.when(k == own, 0).when(own < k, 1).otherwise(2).alias("side"), F.least(own, k).alias("l"),
+        F.greatest(own, k).alias("r")))
+    of = F.when(both, one).when(left, F.transform(every, lambda k: place(1, own, k))).when(
+        right, F.transform(every, lambda k: place(2, k, own)))
+    out = rows.withColumn("p", F.explode(of))
     return out.select(_node(F.col("node"), F.lit(-1), F.col("p.l"), F.col("p.r")).alias("group"),
                       F.col("p.side").alias("side"), "id", "n", "digest", "sketch", "label")
 
 
-def _search_large(rows: DataFrame, small: int, block: int, depth: int) -> list[DataFrame]:
-    """Groups to compare for the rows (node, id, n, digest, sketch, label) of large nodes."""
+def _search_large(rows: DataFrame, whole: int, block: int, depth: int) -> list[DataFrame]:
+    """Groups to compare for the rows (node, id, n, digest, sketch, label) of large groups."""
     groups: list[DataFrame] = []
     for level in range(depth + 1):
         by_label = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
@@ -337,28 +352,28 @@ def _search_large(rows: DataFrame, small: int, block: int, depth: int) -> list[D
                                              F.count(F.lit(1)).alias("labels"), F.max("c").alias("most"))
         first = by_label.join(stats, "node").where("c = most").groupBy("node").agg(F.min("label").alias("main"))
         stats = stats.join(first, "node").where("labels > 1")  # else the node is one component already
-        fits = (F.col("rows") <= small) & ((F.col("all_n") <= SHINGLES) | (F.col("rows") <= 8))
-        kind = F.when(fits, "small").when(F.col("most") * 2 >= F.col("rows"), "ruled").otherwise(
-            "branch" if level < depth else "blocks")
-        rows = cut(rows.join(stats.select("node", "rows", "most", "main", kind.alias("kind")), "node"), "near-nodes")
-        names = ["side", "id", "n", "digest", "sketch", "label"]
-        groups.append(rows.where("kind = 'small'").select(F.col("node").alias("group"), F.lit(0).alias("side"), *names[1:]))
-        ruled, main = rows.where("kind = 'ruled'"), F.col("label") == F.col("main")
-        groups.append(_blocks(ruled, ~main, main, F.col("rows") - F.col("most"), F.col("most"), block))
-        every = F.lit(True)
-        groups.append(_blocks(rows.where("kind = 'blocks'"), every, every, F.col("rows"), F.col("rows"), block))
-        rest = ruled.where(~main).withColumn("node", _node(F.col("node"), F.lit(-2)))
-        place = F.pmod(_node(F.col("node"), F.col("j")), F.lit(VALUES)).cast("int")
-        more = rows.where("kind = 'branch'").withColumn("j", F.explode(F.array(F.lit(1), F.lit(2))))
-        more = more.withColumn("node", _node(F.col("node"), F.col("j"), _value(place))).drop("j")
-        rows = rest.unionByName(more).select("node", "id", "n", "digest", "sketch", "label")
-        if level == depth or rows.isEmpty():
+        kind = F.when((F.col("rows") <= whole) | F.lit(level == depth), "blocks").when(
+            F.col("most") * 2 >= F.col("rows"), "ruled").otherwise("branch")
+        count = F.greatest(F.ceil(F.col("rows") / block), F.ceil(F.col("all_n") / SHINGLES), F.lit(1)).cast("int")
+        rows = cut(rows.join(stats.select("node", "main", kind.alias("kind"), count.alias("count")), "node"), "near-nodes")
+        main, every, count = F.col("label") == F.col("main"), F.lit(True), F.col("count")
+        groups.append(_blocks(rows.where("kind = 'blocks'"), every, every, count, block))
+        ruled = rows.where("kind = 'ruled'")
+        groups.append(_blocks(ruled, ~main, main, count, block))
+        more = rows.where("kind <> 'blocks'").where(~main | (F.col("kind") == "branch"))
+        if level == depth or more.isEmpty():
             break
+        place = F.pmod(_node(F.col("node"), F.col("j")), F.lit(VALUES)).cast("int")
+        child = F.when(F.col("j") == 0, _node(F.col("node"), F.lit(-2))).otherwise(
+            _node(F.col("node"), F.col("j"), _value(place)))
+        ways = F.when(F.col("kind") == "ruled", F.array(F.lit(0))).otherwise(F.array(F.lit(1), F.lit(2)))
+        rows = more.withColumn("j", F.explode(ways)).withColumn("node", child).select(
+            "node", "id", "n", "digest", "sketch", "label")
     return groups
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
-                 small: int = SMALL, block: int = BLOCK, depth: int = DEPTH) -> DataFrame:
+                 small: int = SMALL, whole: int = WHOLE, block: int = BLOCK, depth: int = DEPTH) -> DataFrame:
     """One row per document: the identifier, n_shingles, component_id and kept."""
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     rows = cut(sketches(docs, id_col, text_col), "near-sketches")
@@ -366,30 +381,34 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     reps = cut(named.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("trees").alias("trees"),
                                            F.first("sketch").alias("sketch")), "near-classes")
     held = reps.select("id", "digest", "sketch")
-    nodes = cut(_first_nodes(reps), "near-nodes")
     # groups: all rows that share a node with a pivot, in chunks that each hold the pivot too
-    pairs = nodes.select("pivot", "id", "n").distinct()
+    pairs = cut(_first_nodes(reps).select("pivot", "id", "n").distinct(), "near-pairs")
     sizes = pairs.groupBy("pivot").agg(F.greatest(F.ceil(F.count(F.lit(1)) / small), F.ceil(F.sum("n") / SHINGLES)
                                                   ).cast("int").alias("chunks"))
     sizes = cut(sizes, "near-pivots")
-    pairs = pairs.join(sizes, "pivot")
     pivot = F.col("id") == F.col("pivot")
     of = F.when(pivot, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(
         F.array(_chunk(F.col("id"), F.col("chunks")).cast("int")))
-    groups = pairs.withColumn("chunk", F.explode(of)).select(_node("pivot", "chunk").alias("group"), "id", "n")
+    groups = pairs.join(sizes, "pivot").withColumn("chunk", F.explode(of)).select(
+        _node("pivot", "chunk").alias("group"), "id", "n")
     groups = groups.join(held, "id").select("group", F.lit(0).alias("side"), "id", "n", "digest", "sketch",
                                             F.col("id").alias("label"))
-    links = _links(groups, texts, percent)
+    near = _near(groups, percent)
     large = sizes.where("chunks > 1").select("pivot")
+    some = pairs.join(large, "pivot", "left_semi")
+    # whole texts are moved once, and only of rows that may be compared
+    wanted = near.select("id").unionByName(some.select("id")).distinct()
+    texts = cut(texts.join(wanted, "id", "left_semi"), "near-texts")
+    links = _links(near, texts, percent)
     if not large.isEmpty():
-        labels = components(links)
-        some = nodes.join(large, "pivot", "left_semi").select("node", "id", "n").join(held, "id").join(
-            labels.withColumnRenamed("v", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-        found = _search_large(some, small, block, depth)
+        known = components(links).withColumnRenamed("v", "id")
+        some = some.select(_node("pivot", F.lit(-3)).alias("node"), "id", "n").join(held, "id").join(
+            known, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        found = _search_large(some, whole, block, depth)
         more = found[0]
         for g in found[1:]:
             more = more.unionByName(g)
-        links = links.unionByName(_links(more, texts, percent))
+        links = links.unionByName(_links(_near(more, percent), texts, percent))
     labels = components(links)
     classes = reps.select("digest", F.col("id").alias("v")).join(labels, "v", "left").select(
         "digest", F.coalesce("label", "v").alias("component_id"))

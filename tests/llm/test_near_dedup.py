@@ -68,7 +68,8 @@ def test_large_groups_by_chunks_branches_and_blocks(docs, sorted_rows, spread):
     rows = list(enumerate(" ".join(edited(rnd, base, rnd.random() * spread * 2)) for _ in range(160)))
     rows += [(1000 + k, f"alone {k} " + " ".join(base[:40]) + f" x{k}" * 20) for k in range(30)]
     expected = plain(rows)
-    for options in ({"small": 8, "block": 5, "depth": 2}, {"small": 12, "block": 7, "depth": 0}):
+    for options in ({"small": 8, "whole": 10, "block": 5, "depth": 2}, {"small": 12, "whole": 12, "block": 7, "depth": 0},
+                    {"small": 16, "whole": 400, "block": 30}):
         assert sorted_rows(near_classes(docs(rows), **options), *COLUMNS) == expected
 
 
