@@ -396,8 +396,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     near = _near(groups, percent)
     large = sizes.where("chunks > 1").select("pivot")
     some = pairs.join(large, "pivot", "left_semi")
-    # whole texts are moved once, and only of rows that may be compared
-    wanted = near.select("id").unionByName(some.select("id")).distinct()
+    # whole texts are moved once, and only those of rows that may be compared are kept; the identifiers
+    # grow with the documents, so this is a shuffled join at every size
+    wanted = near.select("id").unionByName(some.select("id")).distinct().hint("merge")
     texts = cut(texts.join(wanted, "id", "left_semi"), "near-texts")
     links = _links(near, texts, percent)
     if not large.isEmpty():
