@@ -85,7 +85,7 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract(table(spark, sf_dir, "pages"))
+    return extract(table(spark, sf_dir, "pages"), mixed=False)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
