@@ -21,9 +21,12 @@ words' bytes (all words, if fewer). Documents are linked where
    is searched further: a group whose rows are all in one component is done; one
    of at most ``WHOLE`` rows is compared exhaustively, block by block; a larger
    one with a dominant component compares the others with it, by blocks, and
-   goes on with the others alone; any other branches again, by two minwise
-   values that its path chooses, until its nodes are small enough. What is still
-   larger at ``DEPTH`` is compared by blocks all the same. Nothing is capped.
+   goes on with the others alone; any other branches again, by ``WAYS`` minwise
+   values of the level's own, so that a level misses a linked pair no more often
+   than the trees do, until its nodes are small enough. A node whose branches
+   would take as many comparisons as it takes itself (a passage that fills most
+   of its documents), or that is still larger at ``DEPTH``, is compared by blocks
+   all the same. Nothing is capped.
 5. Components are found from the links by label propagation with pointer
    jumping, in tables.
 
@@ -57,6 +60,7 @@ SHINGLES = 4_000_000     # and shingles of a group, all its sets together
 BLOCK = 1024             # rows of a block of a large group
 WHOLE = 16 * BLOCK       # rows of a group that is compared without branching
 DEPTH = 8                # of branching
+WAYS = TREES             # branches of a row at each level; DEPTH levels have values of their own
 _ROWS = 128              # documents whose minwise values are made at once
 
 _rng = np.random.default_rng(20240229)  # fixed: tasks must agree on the hash functions
@@ -352,8 +356,22 @@ def _search_large(rows: DataFrame, whole: int, block: int, depth: int) -> list[D
                                              F.count(F.lit(1)).alias("labels"), F.max("c").alias("most"))
         first = by_label.join(stats, "node").where("c = most").groupBy("node").agg(F.min("label").alias("main"))
         stats = stats.join(first, "node").where("labels > 1")  # else the node is one component already
+        place = F.pmod(F.lit(level * WAYS) + F.col("j"), F.lit(VALUES)).cast("int")
+        child = F.when(F.col("j") < 0, _node(F.col("node"), F.lit(-2))).otherwise(
+            _node(F.col("node"), F.col("j"), _value(place)))
+        ways = F.array(*(F.lit(j) for j in range(WAYS)))
+        # comparisons of a node's branches, to be set against its own
+        wide = stats.where((F.col("rows") > whole) & (F.col("most") * 2 < F.col("rows"))).select("node")
+        work = rows.join(wide, "node", "left_semi").withColumn("j", F.explode(ways)).groupBy(
+            "node", child.alias("child")).agg(F.count(F.lit(1)).cast("double").alias("c")).groupBy("node").agg(
+            F.sum(F.col("c") * F.col("c")).alias("work"))
+        if level < depth:
+            stats = stats.join(work, "node", "left")
+        else:
+            stats = stats.withColumn("work", F.lit(None).cast("double"))
         kind = F.when((F.col("rows") <= whole) | F.lit(level == depth), "blocks").when(
-            F.col("most") * 2 >= F.col("rows"), "ruled").otherwise("branch")
+            F.col("most") * 2 >= F.col("rows"), "ruled").when(
+            F.col("work") < F.col("rows").cast("double") * F.col("rows"), "branch").otherwise("blocks")
         count = F.greatest(F.ceil(F.col("rows") / block), F.ceil(F.col("all_n") / SHINGLES), F.lit(1)).cast("int")
         rows = cut(rows.join(stats.select("node", "main", kind.alias("kind"), count.alias("count")), "node"), "near-nodes")
         main, every, count = F.col("label") == F.col("main"), F.lit(True), F.col("count")
@@ -363,10 +381,7 @@ def _search_large(rows: DataFrame, whole: int, block: int, depth: int) -> list[D
         more = rows.where("kind <> 'blocks'").where(~main | (F.col("kind") == "branch"))
         if level == depth or more.isEmpty():
             break
-        place = F.pmod(_node(F.col("node"), F.col("j")), F.lit(VALUES)).cast("int")
-        child = F.when(F.col("j") == 0, _node(F.col("node"), F.lit(-2))).otherwise(
-            _node(F.col("node"), F.col("j"), _value(place)))
-        ways = F.when(F.col("kind") == "ruled", F.array(F.lit(0))).otherwise(F.array(F.lit(1), F.lit(2)))
+        ways = F.when(F.col("kind") == "ruled", F.array(F.lit(-1))).otherwise(ways)
         rows = more.withColumn("j", F.explode(ways)).withColumn("node", child).select(
             "node", "id", "n", "digest", "sketch", "label")
     return groups

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from adspend.llm.near_dedup import components, near_classes, near_dedup
+from adspend.llm.near_dedup import _search_large, components, near_classes, near_dedup, sketches
 
 
 def shingles(t):
@@ -73,6 +73,26 @@ def test_large_groups_by_chunks_branches_and_blocks(docs, sorted_rows, spread):
         assert sorted_rows(near_classes(docs(rows), **options), *COLUMNS) == expected
 
 
+@pytest.mark.parametrize("passage", [45, 150])
+def test_every_pair_of_a_group_beyond_whole_meets(docs, passage):
+    """Pairs at the threshold whose documents all share a passage, in one large node; each pair is a draw of its own."""
+    rnd = random.Random(passage)
+    said, texts = [f"p{k}" for k in range(passage)], []
+    for k in range(700):
+        own = [f"u{rnd.randrange(10**7)}" for _ in range(130)]
+        other = [w + "x" if i in (40, 90) else w for i, w in enumerate(own)]
+        texts += [(2 * k, " ".join(own + said)), (2 * k + 1, " ".join(other + said))]
+    rows = sketches(docs(texts), "doc_id", "text").select(
+        F.lit(1).cast("long").alias("node"), "id", "n", "digest", "sketch", F.col("id").alias("label"))
+    met = set()
+    for g in _search_large(rows, 60, 30, 8):
+        held = {}
+        for r in g.select("group", "id").collect():
+            held.setdefault(r.group, set()).add(r.id)
+        met |= {i for ids in held.values() for i in ids if i % 2 == 0 and i + 1 in ids}
+    assert len(met) == 700
+
+
 def test_stage_keeps_one_of_each_class(docs):
     rows = corpus(8, 5)
     left = near_dedup(docs(rows))
