@@ -26,7 +26,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,10 +147,24 @@ def expand_replies(segments: DataFrame, conv_col: str = "conv_id") -> DataFrame:
     """One example per target turn: its context is the conversation's first
     ``context_chars`` code points, its loss mask the text from ``loss_start`` to
     ``loss_end`` and nothing else; the example ends with that turn."""
-    return segments.where("trained").select(
-        conv_col, F.col("seq").alias("target_seq"), F.col("offset").alias("context_chars"),
-        F.col("text_start").alias("loss_start"), F.col("text_end").alias("loss_end"),
-        (F.col("offset") + F.char_length("segment")).alias("example_chars"))
+    return segments.where("trained").select(conv_col, *_example())
+
+
+def _example() -> list[Column]:
+    return [F.col("seq").alias("target_seq"), F.col("offset").alias("context_chars"),
+            F.col("text_start").alias("loss_start"), F.col("text_end").alias("loss_end"),
+            (F.col("offset") + F.char_length("segment")).cast("long").alias("example_chars")]
+
+
+def with_examples(segments: DataFrame, conv_col: str = "conv_id") -> DataFrame:
+    """The segments in order, each target's followed by its example: a row with the
+    columns of ``expand_replies`` and no segment; a segment's row has none of them."""
+    columns = [F.col(n) for n, _ in SEGMENTS]
+    names = ["target_seq", "context_chars", "loss_start", "loss_end", "example_chars"]
+    turn = F.struct(*columns, *(F.lit(None).cast("long").alias(n) for n in names))
+    example = F.struct(*(F.lit(None).cast(t).alias(n) for n, t in SEGMENTS), *_example())
+    both = F.when(F.col("trained"), F.array(turn, example)).otherwise(F.array(turn))
+    return segments.select(F.col(f"`{conv_col}`"), F.explode(both).alias("_row")).select(F.col(f"`{conv_col}`"), "_row.*")
 
 
 def render(segments: DataFrame, conv_col: str = "conv_id") -> DataFrame:
@@ -180,14 +194,19 @@ def render(segments: DataFrame, conv_col: str = "conv_id") -> DataFrame:
 
 
 def read_back(segments: DataFrame, conv_col: str = "conv_id") -> DataFrame:
-    """One row per conversation, parsed from its formatted turns and loss spans:
-    n_turns, turns_sha256, n_examples, loss_chars, loss_sha256, formatted_chars."""
-    rows = segments.select(conv_col, *(n for n, _ in SEGMENTS))
+    """One row per conversation: n_turns, turns_sha256 and formatted_chars, parsed from
+    its formatted turns; n_examples, loss_chars and loss_sha256, from its examples.
+
+    An example must reach as far as the turns up to its reply; its loss span is cut
+    from the stored segment.
+    """
+    rows = with_examples(segments.select(conv_col, *(n for n, _ in SEGMENTS)), conv_col)
     outputs = (("n_turns", T.LongType()), ("turns_sha256", T.StringType()), ("n_examples", T.LongType()),
                ("loss_chars", T.LongType()), ("loss_sha256", T.StringType()), ("formatted_chars", T.LongType()))
 
     def start():
         state: list = []
+        last: list = []  # seq, segment and begin of the turn before
 
         def step(new, row):
             if new:
@@ -197,16 +216,21 @@ def read_back(segments: DataFrame, conv_col: str = "conv_id") -> DataFrame:
                 state[:] = [row[0], 0, hashlib.sha256(), 0, 0, hashlib.sha256(), 0] if row is not None else []
             if row is None:
                 return
-            _, _, whole, offset, a, b, trained = row
-            role, text = parse(whole)
-            state[1] += 1
-            state[2].update(f"{role}\n{text}\n".encode())
-            if trained:
-                target = unescape(whole[a - offset: b - offset])
-                state[3] += 1
-                state[4] += len(target)
-                state[5].update(target.encode())
-            state[6] += len(whole)
+            _, seq, whole, _, _, _, _, target, context, a, b, chars = row
+            if target is None:
+                role, text = parse(whole)
+                last[:] = seq, whole, state[6]
+                state[1] += 1
+                state[2].update(f"{role}\n{text}\n".encode())
+                state[6] += len(whole)
+                return
+            own, whole, begin = last
+            if (target, context, chars) != (own, begin, state[6]):
+                raise ValueError(f"example {target} of conversation {row[0]} doesn't end with its reply")
+            reply = unescape(whole[a - begin: b - begin])
+            state[3] += 1
+            state[4] += len(reply)
+            state[5].update(reply.encode())
         return step
 
     return _streamed(rows, outputs, start)

@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -62,6 +63,23 @@ def test_every_reply_is_an_example_with_all_turns_before_it(spark):
         assert r.text[s.loss_end:] == chat.END  # nothing but the reply is under the mask, and it is the last turn
 
 
+def test_the_examples_are_made_and_read_back(spark):
+    segments = chat.format_turns(conversations(spark))
+    both = chat.with_examples(segments).collect()
+    made = sorted((repr(r.conv_id), r.target_seq, r.context_chars, r.loss_start, r.loss_end, r.example_chars)
+                  for r in both if r.seq is None)
+    assert made == sorted((repr(r[0]), *r[1:]) for r in chat.expand_replies(segments).collect())
+    assert sum(r.seq is not None for r in both) == len(ROWS)
+    for before, r in zip(both, both[1:], strict=False):
+        assert r.seq is not None or (before.conv_id, before.seq) == (r.conv_id, r.target_seq)
+    # examples whose context isn't the turns before the reply are told
+    moved = segments
+    for name in ("offset", "text_start", "text_end"):
+        moved = moved.withColumn(name, F.col(name) + 5)
+    with pytest.raises(Exception, match="doesn't end with its reply"):
+        chat.read_back(moved).collect()
+
+
 def test_empty_table(spark):
     none = conversations(spark, [])
     assert chat.read_back(chat.format_turns(none)).collect() == []
