@@ -71,7 +71,9 @@ def _pages(lines: DataFrame, row_schema: StructType, col: str, account_id=None,
     reason = (F.when(F.col(CORRUPT).isNotNull() | F.col("response").isNull() | code.isNull(), "unreadable")
               .when(code != PAGE_OK, "refused")
               .when(F.coalesce(F.size("response.data.list"), F.lit(0)) <= 0, "empty"))
-    return r.withColumn("reason", reason)
+    # the only page of a slice needs no number
+    only = F.coalesce("response.data.page_info.total_page", F.lit(1)) == 1
+    return r.withColumn("reason", reason).withColumn("page", F.coalesce("page", F.when(only, 1)))
 
 
 def incomplete_slices(pages: DataFrame) -> DataFrame:

@@ -13,8 +13,12 @@ account-day slices it carries replace those slices in a table partitioned by
   over the old ones (``operators.table_writes``), so a failure at any point
   loses no row, and a batch replayed leaves the same table.
 
-By default a slice is replaced only when all its pages are in the batch and
-readable; ``rejects`` keeps the lines that gave no rows, with the reason.
+By default a slice is replaced only when all its pages are there and readable.
+Pages of a slice that isn't complete are held in a written table, one version a
+batch, and judged again together with the next pages of that slice: a page that
+comes again, or one of a pull with another ``total_page``, takes the place of a
+held one. ``rejects`` keeps the lines that gave no rows in their own batch, with
+the reason; held pages are among them.
 """
 
 from __future__ import annotations
@@ -22,12 +26,32 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators.table_writes import replace_slices_in_table
+from ..operators.table_writes import _cut, read_table, replace_slices_in_table
 from ..session import shared_dir
-from ..sources.pages import parse_report_pages, report_page_rejects
+from ..sources.pages import _pages, incomplete_slices, parse_report_pages, report_page_rejects
+
+SLICE = ["account_id", "stat_date"]
+_LINE = StructType([StructField("value", StringType())])
+
+
+def _with_held(batch: DataFrame, held: DataFrame, row_schema: StructType) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The batch's lines with the held lines that belong to its slices, those held lines, and the lines to hold next."""
+    total = F.coalesce("response.data.page_info.total_page", F.lit(1))
+    new, before = _pages(batch, row_schema, "value"), _pages(held, row_schema, "value")
+    good = new.where("reason IS NULL")
+    parts = incomplete_slices(new).join(good.groupBy(SLICE).agg(F.max(total).alias("total")), SLICE)
+    old = before.join(parts, SLICE).where(total == F.col("total")).join(
+        good.select(*SLICE, "page"), [*SLICE, "page"], "left_anti").select(F.col("line").alias("value"))
+    old = _cut(old)
+    lines = _cut(batch.select("value").unionByName(old))
+    pages = _pages(lines, row_schema, "value")
+    still = pages.where("reason IS NULL").join(incomplete_slices(pages), SLICE, "left_semi")
+    rest = before.join(good.select(SLICE).distinct(), SLICE, "left_anti")
+    return lines, old, still.select("line").unionByName(rest.select("line")).withColumnRenamed("line", "value")
 
 
 def land_report_pages(spark: SparkSession, source: str, target: str, row_schema: StructType, *,
@@ -39,15 +63,24 @@ def land_report_pages(spark: SparkSession, source: str, target: str, row_schema:
     ``available_now`` processes what has landed and stops (a scheduled run);
     otherwise the stream keeps running.  The stream's checkpoint defaults to
     the shared checkpoint folder.  ``rejects`` is a folder to which lines without
-    rows are appended, by batch (a replayed batch replaces its own).
+    rows are appended, by batch (a replayed batch replaces its own); it defaults
+    to one beside the checkpoint, where the held pages are too.
     """
     checkpoint = checkpoint or os.path.join(shared_dir(spark), f"stream-{name}")
     lines = spark.readStream.format("text").load(source)
 
+    rejects = rejects or f"{checkpoint}-rejects"
+
     def apply(batch: DataFrame, epoch: int) -> None:
-        if rejects:
-            report_page_rejects(batch, row_schema, complete=complete).write.mode("overwrite").parquet(
-                f"{rejects}/batch={epoch}")
+        old = None
+        if complete:
+            held = read_table(batch.sparkSession, f"{checkpoint}-held/batch={epoch - 1}", _LINE)
+            batch, old, hold = _with_held(batch, held, row_schema)
+            hold.write.mode("overwrite").parquet(f"{checkpoint}-held/batch={epoch}")
+        out = report_page_rejects(batch, row_schema, complete=complete)
+        if old is not None:  # those were told with their own batch
+            out = out.join(old.select(F.col("value").alias("line")), "line", "left_anti")
+        out.write.mode("overwrite").parquet(f"{rejects}/batch={epoch}")
         replace_slices_in_table(parse_report_pages(batch, row_schema, complete=complete), target, keys=keys)
 
     w = lines.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).queryName(name)

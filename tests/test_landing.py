@@ -64,6 +64,20 @@ def test_first_batch_without_rows_then_rows(spark, tmp_dir):
     assert reasons == ["incomplete", "incomplete", "refused", "unreadable"]
 
 
+def test_pages_of_a_slice_over_two_batches(spark, tmp_dir):
+    src, target, ckpt = (f"{tmp_dir}/{x}" for x in ("in", "table", "ckpt"))
+    no_number = page(4, "2020-01-01", [(0, 4)]).replace('"page": 1, ', "")
+    for name, lines in (("a.json", [page(1, "2020-01-01", [(0, 1)], n=1, total=2), page(2, "2020-01-01", [(0, 2)], n=1, total=2),
+                                    no_number]),
+                        ("b.json", [page(1, "2020-01-01", [(1, 10)], n=2, total=2), page(2, "2020-01-01", [(0, 3)], n=1, total=2)]),
+                        ("c.json", [page(2, "2020-01-01", [(1, 20)], n=2, total=2)])):
+        land(src, name, lines)
+        land_report_pages(spark, src, target, ROW, checkpoint=ckpt).awaitTermination()
+    assert table(spark, target) == [(1, "2020-01-01", 0, 1), (1, "2020-01-01", 1, 10), (2, "2020-01-01", 0, 3),
+                                    (2, "2020-01-01", 1, 20), (4, "2020-01-01", 0, 4)]
+    assert [r.reason for r in spark.read.parquet(f"{ckpt}-rejects").collect()] == ["incomplete"] * 3
+
+
 BATCH = "account_id bigint, stat_date date, hour int, cost bigint"
 
 
