@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, quality, warc
+from . import chat, hard_negatives, langid, quality, warc
 from . import sentencepiece_codec as codec
 from .decontaminate import mark_contamination
 from .exact_dedup import exact_dedup
@@ -92,6 +92,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label").cast("bigint")
+    label = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = hard_negatives.prepare(table(spark, sf_dir, "embeddings"), label=label, anchor=vec_id % 100 == 0)
+    return hard_negatives.mine(rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece_codec": op1_sentencepiece_codec,
     "op2_language_id": op2_language_id,
@@ -103,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_html_extract": op9_html_extract,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -168,4 +176,25 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        row_number() OVER (PARTITION BY n ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(n) AS text_sha256
 FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS n FROM documents)
 WINDOW same AS (PARTITION BY n)""",
+    "op12_hard_negatives": """
+WITH part AS (
+    SELECT row_number() OVER () AS r, vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (
+    SELECT a.r AS ar, a.vec_id AS anchor_id, b.r AS br, b.vec_id AS id, a.label = b.label AS same,
+           list_dot_product(a.v, b.v)::BIGINT AS score
+    FROM part a JOIN part b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+pos AS (
+    SELECT ar, anchor_id, br, id AS positive_id, score AS positive_score FROM pair WHERE same
+    QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, id, br) <= 5)
+SELECT pos.anchor_id, positive_id,
+       row_number() OVER (PARTITION BY pos.ar, pos.br ORDER BY score DESC, id, pair.br)::INTEGER AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM pos JOIN pair ON pair.ar = pos.ar AND NOT same
+     AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY rank <= 10""",
 }
