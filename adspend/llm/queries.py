@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, hard_negatives, langid, quality, warc
+from . import chat, collocations, hard_negatives, langid, quality, warc
 from . import sentencepiece_codec as codec
 from .decontaminate import mark_contamination
 from .exact_dedup import exact_dedup
@@ -99,6 +99,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece_codec": op1_sentencepiece_codec,
     "op2_language_id": op2_language_id,
@@ -111,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_extract": op9_html_extract,
     "op10_exact_dedup": op10_exact_dedup,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_collocations": op13_collocations,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -197,4 +202,30 @@ SELECT pos.anchor_id, positive_id,
 FROM pos JOIN pair ON pair.ar = pos.ar AND NOT same
      AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
 QUALIFY rank <= 10""",
+    "op13_collocations": rf"""
+WITH piece AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+word AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM word GROUP BY lang),
+place AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM word, range(1, 5) AS sizes(m) WHERE len(w) >= m),
+f AS (SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, count(*) AS a
+      FROM place GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+cut AS (SELECT lang, phrase, a, m, w, unnest(range(1, m)) AS k FROM cand),
+scored AS (
+    SELECT cut.lang, cut.phrase, cut.a, x.a AS l, y.a AS r, ((2000000::HUGEINT * cut.a) // (x.a + y.a))::BIGINT AS score
+    FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(list_slice(w, 1, k), ' ')
+    JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(list_slice(w, k + 1, cut.m), ' ')
+    QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.phrase ORDER BY score, k) = 1),
+inner_part AS (
+    SELECT lang, a, array_to_string(list_slice(w, i, i + s - 1), ' ') AS phrase
+    FROM (SELECT lang, a, w, m, s, unnest(range(1, m - s + 2)) AS i
+          FROM (SELECT lang, a, w, m, unnest(range(2, m)) AS s FROM cand))),
+around AS (SELECT lang, phrase, max(a) AS b FROM inner_part GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM scored LEFT JOIN around USING (lang, phrase) JOIN n USING (lang)
+WHERE b IS NULL OR 100 * b::HUGEINT < 80 * a::HUGEINT
+QUALIFY rank <= 2000""",
 }
