@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, collocations, hard_negatives, langid, quality, warc
+from . import chat, collocations, hard_negatives, langid, quality, secret_scan, warc
 from . import sentencepiece_codec as codec
 from .decontaminate import mark_contamination
 from .exact_dedup import exact_dedup
@@ -92,6 +92,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.scan_secrets(docs, secret_scan.train(docs))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vec_id, label = F.col("vec_id"), F.col("label").cast("bigint")
     label = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
@@ -114,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_html_extract": op9_html_extract,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_secret_scan": op11_secret_scan,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_collocations": op13_collocations,
 }
