@@ -42,9 +42,9 @@ LONGEST = 4
 #: Text bytes of one shard; about 25 bytes of memory each while it is sorted.
 SHARD_BYTES = 8 << 20
 #: Text bytes whose windows make one prefix range, on average.
-RANGE_BYTES = 24 << 20
+RANGE_BYTES = 8 << 20
 #: States that are held before they are union-ed into one transducer.
-HELD_STATES = 4_000_000
+HELD_STATES = 2_000_000
 #: Windows sampled for the splitters (they decide the balance, not the result).
 SAMPLE = 20_000
 #: Frequent phrases in one lookup bucket, and the tasks that share a bucket's lookups.
@@ -105,7 +105,8 @@ class Transducer:
             is_state = column[starts] > 0
             weight = np.add.reduceat(count, starts) if len(starts) else count
             state = np.cumsum(is_state) - 1
-            levels.append((column[starts][is_state] - 1, above[starts][is_state], weight[is_state]))
+            levels.append(((column[starts][is_state] - 1).astype(np.int32), above[starts][is_state].astype(np.int32),
+                           weight[is_state]))
             above = state[np.cumsum(new) - 1]
         return cls(vocab, levels)
 
@@ -129,7 +130,8 @@ class Transducer:
             at += 9 + size * n
         data, sizes, *rest = arrays
         vocab = _binary(np.concatenate([[0], np.cumsum(sizes.astype(np.int64))]), data)
-        levels = [(label.astype(np.int64), np.repeat(np.arange(len(kids)), kids.astype(np.int64)), weight.astype(np.int64))
+        levels = [(label.astype(np.int32), np.repeat(np.arange(len(kids), dtype=np.int32), kids.astype(np.int64)),
+                   weight.astype(np.int64))
                   for label, kids, weight in zip(rest[::3], rest[1::3], rest[2::3], strict=True)]
         return cls(vocab, levels)
 
@@ -151,7 +153,7 @@ class Transducer:
         state, out = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
         for k, ((label, up, weight), part) in enumerate(zip(self.levels, parts, strict=True)):
             word = np.asarray(pc.fill_null(pc.index_in(part, value_set=self.vocab), -1)).astype(np.int64)
-            arcs, want = (up << 32) | label, (state << 32) | word
+            arcs, want = (up.astype(np.int64) << 32) | label, (state << 32) | word
             at = np.minimum(np.searchsorted(arcs, want), max(len(arcs) - 1, 0))
             ok = (state >= 0) & (word >= 0) & (arcs[at] == want if len(arcs) else False)
             state = np.where(ok, at, -1)
@@ -173,7 +175,7 @@ def union(parts: Sequence[Transducer]) -> Transducer:
         arcs, state = np.unique(arcs, return_inverse=True)
         weight = np.zeros(len(arcs), dtype=np.int64)
         np.add.at(weight, state, np.concatenate([p.levels[k][2] for p in parts]))
-        levels.append((arcs & 0xFFFFFFFF, arcs >> 32, weight))
+        levels.append(((arcs & 0xFFFFFFFF).astype(np.int32), (arcs >> 32).astype(np.int32), weight))
         above = np.split(state, np.cumsum([len(p.levels[k][0]) for p in parts])[:-1])
     return Transducer(vocab, levels)
 
