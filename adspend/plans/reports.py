@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
+from ..sources.report_schema import AVERAGED, ReportSchema
+
 # event kind -> report column it counts
 EVENT_COUNTS = {"view": "view_count", "click": "valid_click_count",
                 "signup": "web_register_count", "purchase": "web_order_count"}
 ORDER_EVENT = "purchase"
-# columns averaged (not summed) in the agent roll-up; fixed values
-MEAN_COLUMNS = ("thousand_display_price", "cpc")
+MEAN_COLUMNS = AVERAGED  # in the agent roll-up; all other whole numbers are summed
 REPORT_KEYS = ("stat_date", "account_id", "hour")
 
 
@@ -101,11 +102,17 @@ def rollup_columns(daily: DataFrame, *, keys=REPORT_KEYS, mean_cols=MEAN_COLUMNS
     return [c for c in measures if c not in mean_cols], [c for c in measures if c in mean_cols]
 
 
-def agent_rollup(daily: DataFrame, *, agent_id, dates=None, sum_cols=None, mean_cols=MEAN_COLUMNS) -> DataFrame:
+def agent_rollup(daily: DataFrame, *, agent_id, dates=None, sum_cols=None, mean_cols=MEAN_COLUMNS,
+                 schema: ReportSchema | None = None) -> DataFrame:
     """Account reports of a day rolled up to the agent (AGG-11): sums (0 when
     all NULL, H6) and means (NULL when all NULL), plus the constant
     ``agent_id``.  ``dates`` restricts the days (a date slice; pruned at the
-    scan when the report is partitioned by ``stat_date``)."""
+    scan when the report is partitioned by ``stat_date``).  With a report
+    ``schema`` the whitelist and the summed and averaged columns are those it
+    derives (PRJ-2); a column it lists must be there."""
+    if schema is not None:
+        daily = daily.select(*schema.rollup_columns)
+        sum_cols, mean_cols = schema.summed, schema.averaged
     if dates is not None:
         daily = daily.filter(F.col("stat_date").isin(*[F.to_date(F.lit(d)) for d in dates]))
     sums, means = rollup_columns(daily, mean_cols=mean_cols)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -57,3 +58,8 @@ def shared_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="adspend-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A folder of its own under the shared one, for a table that a job writes and reads again."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -104,7 +104,9 @@ def parse_report_pages(lines: DataFrame, row_schema: StructType, *, col: str = "
                        fields: list[str] | None = None, drop: tuple[str, ...] = ("date",),
                        account_id=None, stat_date=None, dates=None, complete: bool = False) -> DataFrame:
     """Rows of all accepted pages: ``account_id, stat_date`` and the requested
-    ``fields`` of the row schema (all but ``drop`` by default; H19).
+    ``fields`` of the row schema (all but ``drop`` by default; H19).  The JSON is
+    parsed by a schema cut to these fields: what is not asked for is skipped by
+    the parser, and a bad value in it does no harm.
 
     ``account_id`` / ``stat_date`` give the request's keys when the landed
     record does not carry them (SRC-7); ``dates = (first, last)`` keeps the
@@ -115,15 +117,16 @@ def parse_report_pages(lines: DataFrame, row_schema: StructType, *, col: str = "
     off by default: the reference stores what the accepted pages held, and only an
     unreadable page makes it leave the slice alone.
     """
-    r = _pages(lines, row_schema, col, account_id, stat_date)
+    names = [f.name for f in row_schema.fields
+             if f.name not in drop and f.name not in ("account_id", "stat_date")
+             and (fields is None or f.name in fields)]
+    asked = StructType([f for f in row_schema.fields if f.name in names])
+    r = _pages(lines, asked, col, account_id, stat_date)
     if complete:
         r = r.join(incomplete_slices(r), ["account_id", "stat_date"], "left_anti")
     if dates is not None:
         r = r.filter(F.col("stat_date").between(F.to_date(F.lit(str(dates[0]))), F.to_date(F.lit(str(dates[1])))))
     rows = r.filter("reason IS NULL").select("account_id", "stat_date", F.explode("response.data.list").alias("row"))
-    names = [f.name for f in row_schema.fields
-             if f.name not in drop and f.name not in ("account_id", "stat_date")
-             and (fields is None or f.name in fields)]
     return rows.select("account_id", "stat_date", *[F.col(f"row.{n}").alias(n) for n in names])
 
 
@@ -132,6 +135,29 @@ def read_report_pages(spark: SparkSession, path: str, row_schema: StructType, **
     return parse_report_pages(spark.read.text(path), row_schema, **kw)
 
 
+def write_pages_by_day(lines: DataFrame, path: str, *, col: str = "value", mode: str = "append") -> None:
+    """Landed lines in one folder a day (``stat_date=yyyy-mm-dd``), by the day they say; a line that says none,
+    or can't be read, goes to the default folder, which every read of rejects sees."""
+    day = F.regexp_extract(col, r'"stat_date"\s*:\s*"(\d{4}-\d{2}-\d{2})"', 1)
+    lines.select(F.col(col).alias("value"), F.when(day != "", day).try_cast("date").alias("stat_date")).write.mode(
+        mode).partitionBy("stat_date").text(path)
+
+
+def read_pages_by_day(spark: SparkSession, path: str, row_schema: StructType, *, dates=None, fields=None,
+                      **kw) -> DataFrame:
+    """Rows of the pages landed by ``write_pages_by_day`` on the days ``dates = (first, last)``.
+
+    The range is a predicate on the folders: files of other days are neither
+    listed for reading nor parsed (SRC-6), and of the days' own pages only the
+    asked ``fields`` are parsed (SRC-5).
+    """
+    landed_lines = spark.read.schema(StructType([StructField("value", StringType()),
+                                                 StructField("stat_date", DateType())])).text(path)
+    if dates is not None:
+        landed_lines = landed_lines.where(F.col("stat_date").between(*(F.lit(str(d)).cast("date") for d in dates)))
+    return parse_report_pages(landed_lines.select("value"), row_schema, fields=fields, dates=dates, **kw)
+
+
 def parse_account_pages(lines: DataFrame, *, col: str = "value") -> DataFrame:
     """Account ids listed on accepted account pages (SRC-3), distinct."""
     r = lines.select(F.from_json(F.col(col), envelope(ACCOUNT_ROW)).alias("r"))

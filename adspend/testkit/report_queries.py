@@ -19,10 +19,13 @@ from ..operators.merge import duplicate_keys, last_per_key, replace_slice, upser
 from ..plans import contracts as C
 from ..plans import facts as Fa
 from ..plans import reports as R
-from ..sources.pages import (parse_account_pages, parse_channel_report, parse_report_pages, report_page_rejects,
-                             to_json_rows)
+from ..session import scratch_path
+from ..sources import report_schema as S
+from ..sources.pages import (parse_account_pages, parse_channel_report, parse_report_pages, read_pages_by_day,
+                             report_page_rejects, to_json_rows, write_pages_by_day)
 from ..sources.tables import SOURCE_SCHEMAS, empty_like
 from .oracle import _SPINE, fact_select
+from . import wide_reports as W
 from .queries import PARAMS, present
 from .standins import (STANDIN_SQL, TEST_AGENT_ID, TEST_AS_OF, TEST_START, TestTables, build_sources,
                        report_events)
@@ -31,7 +34,7 @@ CHANNEL_ID, CHANNEL_TYPE = 7, 2
 PAGE_ROW = StructType([StructField("hour", IntegerType()), StructField("view_count", LongType()),
                        StructField("valid_click_count", LongType()), StructField("cost", LongType()),
                        StructField("date", StringType())])
-REFUSED_ACCOUNT_EVERY = 9      # stand-in: the API refuses pages of every 9th account
+REFUSED_ACCOUNT_EVERY = W.REFUSED_ACCOUNT_EVERY
 FIRST_PULL_UNTIL, SECOND_PULL_FROM = "2024-01-16", "2024-01-10"
 DAY_REPULL_FROM = "2024-01-20"
 FIRST_PULL = f"ts < TIMESTAMP_NTZ '{FIRST_PULL_UNTIL} 00:00:00'"
@@ -124,24 +127,41 @@ def _active_earlier(spark, sf):
                                      dates=[ROLLUP_DAY], earlier=earlier))
 
 
-def _landing(spark, sf, active_only: bool):
-    """Two pulls of report pages: rows of the second replace the account-days they carry."""
+def _landing(spark, sf, schema: S.ReportSchema, active_only: bool):
+    """Two pulls of report pages, all fields of the request: rows of the second replace the account-days they carry."""
     t = TestTables(spark, sf)
-    old = parse_report_pages(report_page_lines(t, FIRST_PULL), PAGE_ROW)
-    new = parse_report_pages(report_page_lines(t, f"{SECOND_PULL} AND event_type <> 'error'"), PAGE_ROW)
+    old = parse_report_pages(W.page_lines(t, schema, FIRST_PULL), schema.row())
+    new = parse_report_pages(W.page_lines(t, schema, f"{SECOND_PULL} AND event_type <> 'error'"), schema.row())
     if active_only:
         new = R.only_active(new, R.active_accounts(R.hourly_report(report_events(t).where("event_type = 'purchase'"))))
     return present(replace_slice(old, new, ["account_id", "stat_date"]))
 
 
+def _daily_table(spark, sf, where: str = "TRUE") -> DataFrame:
+    """Daily report rows of full width, landed in a table with one folder a day."""
+    path = scratch_path(spark, "daily-report")
+    rows = parse_report_pages(W.page_lines(TestTables(spark, sf), S.DAILY, where), S.DAILY.row())
+    rows.write.partitionBy("stat_date").parquet(path)
+    return spark.read.schema(S.DAILY.struct).parquet(path)
+
+
 def _rollup_day(spark, sf):
-    """The agent's days from the first pull, one of them made anew from all events."""
-    ev = _ev(spark, sf)
-    old = R.agent_rollup(R.daily_report(ev.where(FIRST_PULL)), agent_id=TEST_AGENT_ID)
-    new = R.agent_rollup(R.daily_report(ev), agent_id=TEST_AGENT_ID, dates=[ROLLUP_DAY])
+    """The agent's days from the first pull, one of them made anew from that day's folder: 171 measures."""
+    old = R.agent_rollup(_daily_table(spark, sf, FIRST_PULL), agent_id=TEST_AGENT_ID, schema=S.DAILY)
+    new = R.agent_rollup(_daily_table(spark, sf), agent_id=TEST_AGENT_ID, schema=S.DAILY, dates=[ROLLUP_DAY])
     return present(replace_slice(old, new, ["stat_date"]))
 
 
+DAY_FIELDS = ("hour", "cost", "view_count", "order_roi")
+
+
+def _pages_by_day(spark, sf):
+    """Landed pages in folders by day: a range of days and a few fields are read, the rest stays on disk."""
+    path = scratch_path(spark, "landed-pages")
+    write_pages_by_day(W.page_lines(TestTables(spark, sf), S.HOURLY), path)
+    return present(read_pages_by_day(spark, path, S.HOURLY.row(), fields=DAY_FIELDS, dates=(DAY_REPULL_FROM, "2024-01-22")))
+
+
 def _rejects(spark, sf):
     r = report_page_rejects(report_page_lines(TestTables(spark, sf)), PAGE_ROW)
     return present(r.groupBy("account_id", "stat_date", "reason").agg(F.count(F.lit(1)).alias("lines")))
@@ -278,8 +298,9 @@ REPORT_QUERIES = {
     "active_accounts": _active,
     "known_accounts_union": _known_union,
     "active_accounts_earlier": _active_earlier,
-    "hourly_landing": lambda spark, sf: _landing(spark, sf, active_only=False),
-    "daily_landing_active": lambda spark, sf: _landing(spark, sf, active_only=True),
+    "hourly_landing": lambda spark, sf: _landing(spark, sf, S.HOURLY, active_only=False),
+    "daily_landing_active": lambda spark, sf: _landing(spark, sf, S.DAILY, active_only=True),
+    "pages_by_day": _pages_by_day,
     "agent_rollup_day": _rollup_day,
     "report_page_rejects": _rejects,
     "pages_date_range": _pages_dates,
@@ -464,10 +485,10 @@ def _AT(day: str) -> str:
     return f"TIMESTAMP '{day} 00:00:00'"
 
 
-def _landed(accounts: str) -> str:
+def _landed(schema: S.ReportSchema, accounts: str) -> str:
     """Pages of the first pull, where the second pull has no row of the account's day, and all of the second."""
-    first = f"{PAGES} AND ts < {_AT(FIRST_PULL_UNTIL)}"
-    second = f"{PAGES} AND ts >= {_AT(SECOND_PULL_FROM)} AND event_type <> 'error' AND {accounts}"
+    first = W.rows_sql(schema, f"ts < {_AT(FIRST_PULL_UNTIL)}")
+    second = W.rows_sql(schema, f"ts >= {_AT(SECOND_PULL_FROM)} AND event_type <> 'error' AND {accounts}")
     return (f"SELECT * FROM ({first}) a WHERE NOT EXISTS (SELECT 1 FROM ({second}) b WHERE b.account_id = a.account_id "
             f"AND b.stat_date = a.stat_date) UNION ALL SELECT * FROM ({second}) c")
 
@@ -483,14 +504,16 @@ REPORT_ORACLE = {
         WHERE cost > 0 UNION SELECT account_id FROM report_events WHERE event_type = 'purchase' AND
         ts >= {_AT(SECOND_PULL_FROM)} AND CAST(ts AS DATE) = DATE '{ROLLUP_DAY}' GROUP BY account_id, hour(ts)
         HAVING SUM(cost) > 0""", _EV),
-    "hourly_landing": _show(_landed("TRUE")),
-    "daily_landing_active": _show(_landed(
+    "hourly_landing": _show(_landed(S.HOURLY, "TRUE")),
+    "daily_landing_active": _show(_landed(S.DAILY,
         "user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase' GROUP BY user_id, CAST(ts AS DATE), hour(ts) "
         "HAVING SUM(ROUND(value * 100)) > 0)")),
-    "agent_rollup_day": _w(_show(
-        "SELECT * FROM (" + ROLLUP.replace(DAILY, _with_rates(_report_sql(f"ts < {_AT(FIRST_PULL_UNTIL)}", hourly=False)))
-        + f") WHERE stat_date <> DATE '{ROLLUP_DAY}' UNION ALL SELECT * FROM ({ROLLUP}) WHERE stat_date = DATE '{ROLLUP_DAY}'"),
-        _EV),
+    "pages_by_day": _show(f"SELECT * FROM ({W.rows_sql(S.HOURLY, fields=DAY_FIELDS)}) p WHERE stat_date BETWEEN "
+                          f"DATE '{DAY_REPULL_FROM}' AND DATE '2024-01-22'"),
+    "agent_rollup_day": _show(
+        f"SELECT * FROM ({W.rollup_sql(S.DAILY, TEST_AGENT_ID, f'ts < {_AT(FIRST_PULL_UNTIL)}')}) WHERE stat_date <> "
+        f"DATE '{ROLLUP_DAY}' UNION ALL SELECT * FROM ({W.rollup_sql(S.DAILY, TEST_AGENT_ID)}) "
+        f"WHERE stat_date = DATE '{ROLLUP_DAY}'"),
     "report_page_rejects": _show(f"""SELECT account_id, stat_date, reason, SUM(n)::BIGINT AS lines
         FROM (SELECT DISTINCT user_id AS account_id, CAST(ts AS DATE) AS stat_date, event_id // 100 AS page,
                      CASE WHEN {_NOT_REFUSED} THEN 'empty' ELSE 'refused' END AS reason,
