@@ -40,7 +40,7 @@ from .words import LOWER, utf8
 #: Words in the longest phrase.
 LONGEST = 4
 #: Text bytes of one shard; about 25 bytes of memory each while it is sorted.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 #: Text bytes whose windows make one prefix range, on average.
 RANGE_BYTES = 8 << 20
 #: States that are held before they are union-ed into one transducer.
@@ -48,7 +48,7 @@ HELD_STATES = 2_000_000
 #: Windows sampled for the splitters (they decide the balance, not the result).
 SAMPLE = 20_000
 #: Frequent phrases in one lookup bucket, and the tasks that share a bucket's lookups.
-BUCKET, SHARES = 100_000, 8
+BUCKET, SHARES = 100_000, 4
 NO_LANG = "und"
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -276,9 +276,10 @@ class _Ordered(Sequence):
 # ---- Spark jobs ------------------------------------------------------------------
 
 _PIECE = T.StructType([T.StructField("range", T.IntegerType()), T.StructField("packed", T.BinaryType())])
-_COUNT = T.StructType([T.StructField("lang", T.StringType()), T.StructField("phrase", T.StringType()),
-                       T.StructField("words", T.IntegerType()), T.StructField("a", T.LongType()),
-                       T.StructField("edge", T.BooleanType())])
+_WORDS = [f"w{k + 1}" for k in range(LONGEST)]
+_PATH = ["lang", *_WORDS]
+_COUNT = T.StructType([*(T.StructField(c, T.StringType()) for c in _PATH), T.StructField("words", T.IntegerType()),
+                       T.StructField("a", T.LongType()), T.StructField("edge", T.BooleanType())])
 _SPLIT = T.StructType([T.StructField("path", T.ArrayType(T.BinaryType()))])
 
 
@@ -327,12 +328,10 @@ def _range_counts(least: int):
             states = np.flatnonzero(keep | edge)
             for at in range(0, len(states), 50_000):
                 part = states[at: at + 50_000]
-                lang, *words = t.path(level, part)
-                phrase = (pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary())) if words
-                          else pa.nulls(len(part), pa.large_binary()))
+                path = [c.cast(pa.large_string()).cast(pa.string()) for c in t.path(level, part)]
+                path += [pa.nulls(len(part), pa.string())] * (len(_PATH) - len(path))
                 yield pa.RecordBatch.from_arrays(
-                    [lang.cast(pa.large_string()).cast(pa.string()), phrase.cast(pa.large_string()).cast(pa.string()),
-                     pa.array(np.full(len(part), level, np.int32)), pa.array(weight[part]), pa.array(edge[part])],
+                    [*path, pa.array(np.full(len(part), level, np.int32)), pa.array(weight[part]), pa.array(edge[part])],
                     names=_COUNT.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,7 +352,7 @@ def _range_counts(least: int):
 
 def phrase_counts(docs: DataFrame, least: int, *, text_col: str = "text", lang_col: str = "lang",
                   shard_bytes: int = SHARD_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """(lang, phrase, words, a) of all phrases of 1 to 4 words that occur ``least`` times or more, as a written
+    """(lang, w1 to w4, words, a) of all phrases of 1 to 4 words that occur ``least`` times or more, as a written
     table; the rows with ``words`` = 0 hold each language's number of words."""
     docs = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(NO_LANG)).alias("lang"),
                        F.col(f"`{text_col}`").alias("text")).where("text <> ''")
@@ -363,14 +362,11 @@ def phrase_counts(docs: DataFrame, least: int, *, text_col: str = "text", lang_c
     pieces = docs.mapInArrow(_shard_pieces(splitters, shard_bytes), _PIECE)
     counts = cut(pieces.repartition(ranges, "range").sortWithinPartitions("range")
                  .mapInArrow(_range_counts(least), _COUNT), "phrase-counts")
-    ends = (counts.where("edge").groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a"))
+    ends = (counts.where("edge").groupBy(*_PATH, "words").agg(F.sum("a").alias("a"))
             .where((F.col("a") >= least) | (F.col("words") == 0)))
     return cut(counts.where("NOT edge").drop("edge").unionByName(ends), "phrases")
 
 
-_PATH = ["lang", "w1", "w2", "w3", "w4"]
-
-
 def _composed(schema: T.StructType, name: str):
     """Reads buckets in order, each one's frequent phrases before its lookups."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -421,26 +417,42 @@ def _of_phrases(parts: list[pa.RecordBatch]) -> Transducer:
     return Transducer(vocab, levels)
 
 
-def look_up(rows: DataFrame, part: str, counts: DataFrame, buckets: int, name: str) -> DataFrame:
-    """``rows`` with ``name``: how often the words of the array ``part`` occur. Lookups of one part are dealt over
-    ``SHARES`` tasks, so a part that very many candidates share fills none of them alone."""
-    def path(words):
-        return [F.get(words, k).alias(f"w{k + 1}") for k in range(LONGEST)]
-
-    home = F.pmod(F.xxhash64("lang", F.concat_ws(" ", F.col("_p"))), F.lit(buckets)) * SHARES
-    asked = rows.withColumn("_p", F.col(part)).withColumn(
-        "bucket", home + F.pmod(F.xxhash64("lang", "phrase", "k"), F.lit(SHARES)))
-    asked = asked.select("bucket", F.lit(1).alias("kind"), *rows.columns, *path(F.col("_p")),
-                         F.size("_p").alias("n_part"))
-    known = counts.where("words > 0").withColumn("_p", F.split("phrase", " "))
-    known = known.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
-    known = known.select((home + F.col("share")).alias("bucket"), F.lit(0).alias("kind"), "lang", "a", *path(F.col("_p")))
-    both = known.unionByName(asked, allowMissingColumns=True).select(asked.columns)
-    schema = T.StructType([*rows.schema.fields, T.StructField(name, T.LongType())])
+def look_up(asked: DataFrame, counts: DataFrame, buckets: int, name: str = "f") -> DataFrame:
+    """``asked`` with ``name``: how often the phrase of ``n_part`` words in w1 to w4 occurs. Lookups of one phrase are
+    dealt over ``SHARES`` tasks, so one that very many candidates share fills none of them alone."""
+    home = F.pmod(F.xxhash64(*_PATH), F.lit(buckets)) * SHARES
+    rest = [c for c in asked.columns if c not in _PATH]
+    share = F.pmod(F.xxhash64(*rest), F.lit(SHARES))
+    asked_rows = asked.select((home + share).alias("bucket"), F.lit(1).alias("kind"), *_PATH, *rest)
+    known = counts.where("words > 0").select(home.alias("home"), *_PATH, "a").withColumn(
+        "share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    known = known.select((F.col("home") + F.col("share")).alias("bucket"), F.lit(0).alias("kind"), *_PATH, "a")
+    both = known.unionByName(asked_rows, allowMissingColumns=True)
+    schema = T.StructType([*asked.schema.fields, T.StructField(name, T.LongType())])
     return (both.repartition(buckets * SHARES, "bucket").sortWithinPartitions("bucket", "kind")
             .mapInArrow(_composed(schema, name), schema))
 
 
+def _parts(candidates: DataFrame) -> DataFrame:
+    """Both parts of every cut of every candidate: (lang, w1 to w4, n_part) with the candidate, the cut and the side."""
+    cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1)))
+    words = F.array(*_WORDS)
+    first = cuts.select("lang", *(F.when(F.col("k") > i, F.col(w)).alias(w) for i, w in enumerate(_WORDS)),
+                        F.col("k").alias("n_part"), "phrase", "a", "k", F.lit(True).alias("first"))
+    rest = cuts.select("lang", *(F.get(words, F.col("k") + i).alias(w) for i, w in enumerate(_WORDS)),
+                       (F.col("words") - F.col("k")).alias("n_part"), "phrase", "a", "k", F.lit(False).alias("first"))
+    return first.unionByName(rest)
+
+
+def _inner(longer: DataFrame) -> DataFrame:
+    """Every run of 2 or more words inside candidates of 3 or 4, with the candidate's count."""
+    def joined(i: int, j: int):
+        return F.when(F.col("words") >= j, F.concat_ws(" ", *_WORDS[i:j]))
+    runs = [(i, j) for m in range(2, LONGEST) for i in range(LONGEST - m + 1) for j in (i + m,)]
+    runs = F.array(*(F.when(F.col("words") > j - i, joined(i, j)) for i, j in runs))
+    return longer.select("lang", F.explode(runs).alias("phrase"), F.col("a").alias("around")).where("phrase IS NOT NULL")
+
+
 def mine(docs: DataFrame, *, least: int = 30, covered: int = 80, factor: int = 2_000_000, top: int = 2000,
          text_col: str = "text", lang_col: str = "lang", **sizes) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of each language's ``top`` collocations.
@@ -455,22 +467,18 @@ def mine(docs: DataFrame, *, least: int = 30, covered: int = 80, factor: int = 2
     """
     counts = phrase_counts(docs, least, text_col=text_col, lang_col=lang_col, **sizes)
     buckets = max(1, -(-counts.count() // BUCKET))
-    words = F.split("phrase", " ")
-    candidates = counts.where("words > 1").select("lang", "phrase", "words", "a")
-    cuts = candidates.withColumn("w", words).select(
-        "lang", "phrase", "a", "w", F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k"))
-    cuts = cuts.select("lang", "phrase", "a", "k", F.slice("w", F.lit(1), F.col("k")).alias("first"),
-                       F.slice("w", F.col("k") + 1, F.size("w") - F.col("k")).alias("rest"))
-    found = look_up(look_up(cuts, "first", counts, buckets, "l").drop("first"), "rest", counts, buckets, "r")
-    score = F.expr(f"CAST(a AS DECIMAL(20,0)) * {factor} DIV (CAST(l AS DECIMAL(20,0)) + r)")
-    scored = found.groupBy("lang", "phrase", "a").agg(
-        F.min(F.struct(score.alias("score"), F.col("k"), F.col("l"), F.col("r"))).alias("s"))
+    candidates = counts.where("words > 1").withColumn("phrase", F.concat_ws(" ", *_WORDS))
+    found = look_up(_parts(candidates), counts, buckets)
+    ks = range(1, LONGEST)
+    sides = [F.max(F.when((F.col("k") == k) & (F.col("first") == side), F.col("f"))).alias(f"{'l' if side else 'r'}{k}")
+             for k in ks for side in (True, False)]
+    scored = found.groupBy("lang", "phrase", "a").agg(*sides)
+    cut_k = [F.when(F.col(f"l{k}").isNotNull(), F.struct(
+        F.expr(f"CAST(a AS DECIMAL(20,0)) * {factor} DIV (CAST(l{k} AS DECIMAL(20,0)) + r{k})").alias("score"),
+        F.lit(k).alias("k"), F.col(f"l{k}").alias("l"), F.col(f"r{k}").alias("r"))) for k in ks]
+    scored = scored.select("lang", "phrase", "a", F.least(*cut_k).alias("s"))
     # the most frequent longer candidate around each phrase
-    longer = candidates.where("words > 2").withColumn("w", words)
-    spans = F.expr("flatten(transform(sequence(2, words - 1), m -> "
-                   "transform(sequence(1, words - m + 1), i -> array_join(slice(w, i, m), ' '))))")
-    around = longer.select("lang", F.explode(spans).alias("phrase"), F.col("a").alias("around")).groupBy(
-        "lang", "phrase").agg(F.max("around").alias("around"))
+    around = _inner(candidates.where("words > 2")).groupBy("lang", "phrase").agg(F.max("around").alias("around"))
     wide = "DECIMAL(20,0)"
     own = scored.join(around, ["lang", "phrase"], "left").where(
         F.expr(f"around IS NULL OR 100 * CAST(around AS {wide}) < {covered} * CAST(a AS {wide})"))
