@@ -47,6 +47,11 @@ def day_of(c: str | Column) -> Column:
     return F.to_date(col_of(c))
 
 
+def day_or(c: str | Column, default=None) -> Column:
+    """The day, or ``default`` (today, if none is given) where it is missing (SCL-12)."""
+    return F.coalesce(day_of(c), F.current_date() if default is None else F.to_date(F.lit(str(default))))
+
+
 def epoch_seconds_day(c: str | Column, tz: str = "UTC") -> Column:
     """Day of epoch seconds as seen in time zone ``tz`` (``FROM_UNIXTIME(sec, '%Y-%m-%d')``).
 

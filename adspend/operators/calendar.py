@@ -1,4 +1,4 @@
-"""Daily calendars: key x day spines, period expansion, apportionment, forward fill.
+"""Daily calendars: key x day spines, period expansion, apportionment.
 
 Everything is ``explode(sequence(...))`` on one row per key or per period, so
 no cartesian product is planned and each output day is made by the task that
@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -41,6 +41,29 @@ def _as_date(v) -> Column:
     return F.to_date(F.lit(v))
 
 
+#: Days that one row is exploded into at once.
+CHUNK_DAYS = 256
+
+
+def expand_days(df: DataFrame, lo: Column, hi: Column, *, name: str, chunk_days: int = CHUNK_DAYS) -> DataFrame:
+    """One row per day of ``[lo, hi]``, in two levels: the period is cut into chunks of at most ``chunk_days``,
+    the chunks are dealt over all shuffle partitions, and only there become days.
+
+    The rows to expand are few and small, so AQE leaves them in a task or two,
+    and one key's period can be longer than all others together. Dealt by
+    chunk, a task gets its share of the days whatever key they are of. The deal
+    is by a hash of the row and the chunk's first day (no sort, and a retried
+    task gets the same rows) with an explicit count, which AQE doesn't merge.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    periods = df.withColumns({"_lo": lo, "_hi": hi})
+    chunks = periods.withColumn("_skip", F.explode(F.sequence(F.lit(0), F.datediff("_hi", "_lo"), F.lit(chunk_days))))
+    chunks = chunks.withColumn("_lo", F.date_add("_lo", F.col("_skip"))).withColumn(
+        "_hi", F.least("_hi", F.date_add("_lo", chunk_days - 1))).drop("_skip")
+    dealt = chunks.repartition(n, F.xxhash64(*[F.col(f"`{c}`") for c in chunks.columns if c != "_hi"]))
+    return dealt.withColumn(name, F.explode(F.sequence("_lo", "_hi", one_day()))).drop("_lo", "_hi")
+
+
 def date_spine(keys: DataFrame, start, as_of=None, *, name: str = "stat_date") -> DataFrame:
     """Every row of ``keys`` times every day in ``[start, as_of]`` (both included).
 
@@ -81,7 +104,7 @@ def expand_period(df: DataFrame, begin: str | Column, end: str | Column, *,
                   name: str = "stat_date", drop: bool = True) -> DataFrame:
     """One row per day of each row's period ``[begin, end]``."""
     lo, hi = period_bounds(begin, end)
-    out = spread(df).withColumn(name, F.explode(F.sequence(lo, hi, one_day())))
+    out = expand_days(df.where(lo.isNotNull()), lo, hi, name=name)
     if drop:
         out = out.drop(*[c for c in (begin, end) if isinstance(c, str) and c != name])
     return out
@@ -115,8 +138,8 @@ def apportion_daily(df: DataFrame, keys: list[str], begin: str, end: str, amount
     ties go to the shorter period, then the smaller amount), divided by the
     number of days.  One aggregate (partial aggregation collapses a hot key
     map-side; where days and a decimal amount pack into one wide number it is a
-    hash aggregate), then one explode in the same stage: the shuffle by key has
-    spread the keys already.
+    hash aggregate), then ``expand_days``: a key of a century is dealt over many
+    tasks like many keys of a year.
     """
     out = out or amount
     lo, hi = period_bounds(begin, end)
@@ -129,36 +152,8 @@ def apportion_daily(df: DataFrame, keys: list[str], begin: str, end: str, amount
     per_key = (df.groupBy(*keys)
                .agg(F.min(lo).alias("_lo"), F.max(hi).alias("_hi"), first.alias("_amt"))
                .filter(F.col("_lo").isNotNull()))
-    n_days = F.datediff(F.col("_hi"), F.col("_lo")) + F.lit(1)
-    return per_key.select(
-        *keys,
-        F.explode(F.sequence(F.col("_lo"), F.col("_hi"), one_day())).alias(name),
-        (F.col("_amt").cast("double") / n_days.cast("double")).alias(out))
-
-
-def forward_fill(df: DataFrame, keys: list[str], order: str, cols: list[str], *,
-                 chunk: Column | None = None) -> DataFrame:
-    """Replace NULLs in ``cols`` by the last non-NULL value before them, per key.
-
-    Hot keys are split: rows are filled inside (key, chunk) windows (chunk =
-    calendar month of ``order`` by default), the last value of every chunk is
-    carried into the following chunks through a small per-chunk table, and
-    the two are combined.  No window ever spans a whole key.
-    """
-    chunk = chunk if chunk is not None else F.date_trunc("month", F.col(order))
-    base = df.withColumn("_chunk", chunk)
-    inner = (Window.partitionBy(*keys, "_chunk").orderBy(order)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    filled = base.select("*", *[F.last(c, ignorenulls=True).over(inner).alias(f"_ff_{c}") for c in cols])
-
-    # last non-NULL value of each chunk, then carried over earlier chunks
-    lasts = base.groupBy(*keys, "_chunk").agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_last_{c}") for c in cols])
-    across = (Window.partitionBy(*keys).orderBy("_chunk")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carry = lasts.select(*keys, "_chunk",
-                         *[F.last(f"_last_{c}", ignorenulls=True).over(across).alias(f"_carry_{c}") for c in cols])
-    out = filled.join(carry, [*keys, "_chunk"], "left")
-    for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(f"_ff_{c}"), F.col(f"_carry_{c}")))
-    return out.drop("_chunk", *[f"_ff_{c}" for c in cols], *[f"_carry_{c}" for c in cols])
+    n_days = (F.datediff("_hi", "_lo") + F.lit(1)).cast("double")
+    share = per_key.select(*keys, F.col("_lo").alias("_first"), F.col("_hi").alias("_last"),
+                           (F.col("_amt").cast("double") / n_days).alias(out))
+    days = expand_days(share, F.col("_first"), F.col("_last"), name=name)
+    return days.select(*keys, name, out)

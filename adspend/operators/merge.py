@@ -65,6 +65,41 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).count().filter(F.col("count") > 1)
 
 
+class DuplicateKeys(ValueError):
+    """A batch held a key more than once."""
+
+
+def write_unique(df: DataFrame, path: str, keys: list[str], *, quarantine: str | None = None, mode: str = "append",
+                 partition_by: list[str] | None = None, fmt: str = "parquet") -> int:
+    """Write ``df`` where no key may repeat (SNK-7).
+
+    Without ``quarantine`` a batch with a repeated key is refused whole, before
+    anything is written (``DuplicateKeys``).  With it, all rows of repeated
+    keys go to that folder and the others are written; how many went there is
+    returned.  The batch is computed once; repeated keys are found by an
+    aggregate, so a key repeated very often is collapsed map-side, and NULL is
+    a key like others.
+    """
+    df = df.checkpoint(eager=True)
+    repeated = duplicate_keys(df, keys).select(*(F.col(f"`{k}`").alias(f"_r{i}") for i, k in enumerate(keys)),
+                                               F.col("count").alias("_n"))
+    some = repeated.limit(5).collect()
+    if some and quarantine is None:
+        raise DuplicateKeys(f"{path}: keys {keys} repeat, e.g. {[tuple(r)[:-1] for r in some]}")
+
+    def put(rows: DataFrame, to: str, how: str) -> None:
+        w = rows.write.mode(how).format(fmt)
+        (w.partitionBy(*partition_by) if partition_by else w).save(to)
+
+    if not some:
+        put(df, path, mode)
+        return 0
+    match = [F.col(f"`{k}`").eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)]
+    put(df.join(repeated, match, "left_semi"), quarantine, "append")
+    put(df.join(repeated, match, "left_anti"), path, mode)
+    return repeated.agg(F.sum("_n")).first()[0]
+
+
 def write_replacing(df: DataFrame, path: str, *, partition_by: list[str] | None = None,
                     fmt: str = "parquet") -> None:
     """Write ``df`` over the partitions it holds (dynamic partition overwrite).

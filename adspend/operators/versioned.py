@@ -29,17 +29,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .merge import replace_slice, upsert
+from .merge import DuplicateKeys, replace_slice, upsert
 
 POINTERS, VERSION = "_versions", "v"
 
 
-class Conflict(RuntimeError):
-    """Other writers moved the pointer at every attempt."""
+__all__ = ["VersionedTable", "Conflict", "DuplicateKeys"]
 
 
-class DuplicateKeys(ValueError):
-    """A batch held a key more than once."""
+class Conflict(RuntimeError):
+    """Other writers moved the pointer at every attempt."""
 
 
 class VersionedTable:

@@ -10,7 +10,7 @@ aggregation collapses it map-side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
@@ -60,6 +60,35 @@ def daily_report(events: DataFrame, *, account: str = "account_id", ts: str = "t
     return _rates(g)
 
 
+def both_reports(events: DataFrame, *, account: str = "account_id", ts: str = "ts",
+                 kind: str = "event_type", cost: str = "cost") -> DataFrame:
+    """The hourly and the daily report from one scan and one shuffle (GROUPING SETS): daily rows have no ``hour``
+    and ``grain`` says which report a row belongs to; the rates are taken after both sums."""
+    rows = events.select(F.col(account).alias("account_id"), F.to_date(ts).alias("stat_date"), F.hour(ts).alias("hour"),
+                         F.col(kind).alias("_kind"), F.col(cost).alias("_cost"))
+    keys = [F.col(c) for c in ("account_id", "stat_date", "hour")]
+    g = rows.groupingSets([keys, keys[:2]], *keys).agg(
+        F.when(F.grouping("hour") == 1, "daily").otherwise("hourly").alias("grain"), *_metrics("_kind", "_cost"))
+    return _rates(g)
+
+
+def daily_report_of_active(events: DataFrame, **columns) -> DataFrame:
+    """Daily rows of the accounts with cost in some hour (Q-31, Q-32), from one scan of the events.
+
+    The mark of an account is a window over its rows after the aggregate: at
+    most 25 a day, however many events an account has.
+    """
+    both = both_reports(events, **columns)
+    hot = F.max((F.col("grain") == "hourly") & (F.col("cost") > 0)).over(Window.partitionBy("account_id"))
+    rows = both.withColumn("_active", hot).where((F.col("grain") == "daily") & F.col("_active"))
+    return rows.drop("grain", "hour", "_active")
+
+
+def first_row(df: DataFrame, order: list[str]) -> DataFrame:
+    """The first row by ``order``, to look at (LIM-1): each task keeps one row, no whole sort."""
+    return df.orderBy(*order).limit(1)
+
+
 def _with_earlier(accounts: DataFrame, earlier: DataFrame | None) -> DataFrame:
     out = accounts.select("account_id")
     return (out if earlier is None else out.unionByName(earlier.select("account_id"))).distinct()

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -63,3 +65,11 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder of its own under the shared one, for a table that a job writes and reads again."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers find this package where it is not installed: its folder goes on the path they start with
+    (local runs; on a cluster it is installed or passed with --py-files)."""
+    home, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if home not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [home, env.get("PYTHONPATH")]))

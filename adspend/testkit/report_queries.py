@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from ..operators.calendar import date_spine, forward_fill
-from ..functions.columns import optional_column
+from ..operators.calendar import date_spine
+from ..functions.columns import day_or, optional_column
 from ..operators.groups import earliest_row_flag, group_mean_back, keep_on_first
-from ..operators.merge import duplicate_keys, last_per_key, replace_slice, upsert
+from ..operators.prefix_fill import forward_fill
+from ..operators.merge import duplicate_keys, last_per_key, replace_slice, upsert, write_snapshot, write_unique
+from ..operators.table_writes import read_table
+from ..operators.versioned import VersionedTable
 from ..plans import contracts as C
 from ..plans import facts as Fa
 from ..plans import reports as R
@@ -205,10 +208,57 @@ def _keep_first(spark, sf):
 
 
 def _daily_active(spark, sf):
+    return present(R.daily_report_of_active(_ev(spark, sf)))
+
+
+def _both(spark, sf):
+    return present(R.both_reports(_ev(spark, sf)))
+
+
+def _daily_active_joined(spark, sf):
     ev = _ev(spark, sf)
     return present(R.only_active(R.daily_report(ev), R.active_accounts(R.hourly_report(ev))))
 
 
+def _first_row(spark, sf):
+    return present(R.first_row(_hourly(spark, sf), ["account_id", "stat_date", "hour"]))
+
+
+def _append_twice(spark, sf):
+    """A snapshot appended by two runs holds every row twice (H7)."""
+    path = scratch_path(spark, "snapshot")
+    daily = R.daily_report(_ev(spark, sf))
+    for _ in range(2):
+        write_snapshot(daily, path)
+    return present(spark.read.schema(daily.schema).parquet(path))
+
+
+def _replaced_versions(spark, sf):
+    """Account-days replaced in a versioned table: the first pull, then the second one's slices."""
+    ev = _ev(spark, sf)
+    old, new = R.hourly_report(ev.where(FIRST_PULL)), R.hourly_report(ev.where(SECOND_PULL))
+    t = VersionedTable(spark, scratch_path(spark, "versioned"), old.schema, keys=["account_id", "stat_date", "hour"])
+    t.append(old)
+    t.replace_slices(new)
+    return present(t.read())
+
+
+def _unique_written(spark, sf):
+    """Page rows of unique keys; the rows of repeated keys are in the quarantine folder, counted by day."""
+    rows = parse_report_pages(report_page_lines(TestTables(spark, sf)), PAGE_ROW)
+    path = scratch_path(spark, "unique")
+    write_unique(rows, f"{path}/rows", ["account_id", "stat_date", "hour"], quarantine=f"{path}/repeated")
+    kept = read_table(spark, f"{path}/rows", rows.schema).groupBy("stat_date").agg(F.count(F.lit(1)).alias("rows"))
+    held = read_table(spark, f"{path}/repeated", rows.schema).groupBy("stat_date").agg(F.count(F.lit(1)).alias("held"))
+    return present(kept.join(held, "stat_date", "full_outer").fillna(0, ["rows", "held"]))
+
+
+def _day_or(spark, sf):
+    heads = _src(spark, sf).settlement_heads
+    end = F.when(F.col("customer_id") % 3 != 0, F.col("kpi_end_date"))
+    return present(heads.select("process_instance_id", day_or(end, TEST_AS_OF).alias("kpi_end_date")))
+
+
 def _rollup(spark, sf):
     return present(R.agent_rollup(R.daily_report(_ev(spark, sf)), agent_id=TEST_AGENT_ID))
 
@@ -311,6 +361,13 @@ REPORT_QUERIES = {
     "typed_empty_source": _typed_empty,
     "keep_on_first": _keep_first,
     "daily_report_active": _daily_active,
+    "daily_report_active_joined": _daily_active_joined,
+    "both_reports": _both,
+    "first_report_row": _first_row,
+    "append_snapshot": _append_twice,
+    "replace_slices_versioned": _replaced_versions,
+    "unique_keys_written": _unique_written,
+    "day_or_default": _day_or,
     "agent_rollup": _rollup,
     "agent_rollup_long": _rollup_long,
     "replace_account_day": _replace_account_day,
@@ -533,6 +590,22 @@ REPORT_ORACLE = {
                                            ORDER BY kpi_start_date NULLS FIRST, cents NULLS FIRST) AS k
               FROM (SELECT *, CAST(adjust_amount * 100 AS BIGINT) AS cents FROM settlement_heads) c) h GROUP BY 1, 2""", ["settlement_heads"]),
     "daily_report_active": _w(_show(f"SELECT * FROM ({DAILY}) d WHERE account_id IN ({ACTIVE})"), _EV),
+    "daily_report_active_joined": _w(_show(f"SELECT * FROM ({DAILY}) d WHERE account_id IN ({ACTIVE})"), _EV),
+    "both_reports": _w(_show(f"SELECT *, 'hourly' AS grain FROM ({HOURLY}) h UNION ALL BY NAME "
+                             f"SELECT *, 'daily' AS grain FROM ({DAILY}) d"), _EV),
+    "first_report_row": _w(_show(HOURLY) + " ORDER BY account_id, stat_date, hour LIMIT 1", _EV),
+    "append_snapshot": _w(_show(f"SELECT * FROM ({DAILY}) a UNION ALL SELECT * FROM ({DAILY}) b"), _EV),
+    "replace_slices_versioned": _w(_show(
+        f"SELECT * FROM ({_with_rates(_report_sql(f'ts < {_AT(FIRST_PULL_UNTIL)}'))}) o WHERE NOT EXISTS (SELECT 1 FROM "
+        f"report_events n WHERE n.account_id = o.account_id AND CAST(n.ts AS DATE) = o.stat_date AND "
+        f"n.ts >= {_AT(SECOND_PULL_FROM)}) UNION ALL "
+        f"SELECT * FROM ({_with_rates(_report_sql(f'ts >= {_AT(SECOND_PULL_FROM)}'))}) s"), _EV),
+    "unique_keys_written": _show(f"""SELECT stat_date, CAST(SUM(CASE WHEN n = 1 THEN 1 ELSE 0 END) AS BIGINT) AS rows,
+        CAST(SUM(CASE WHEN n > 1 THEN n ELSE 0 END) AS BIGINT) AS held
+        FROM (SELECT account_id, stat_date, hour, COUNT(*) AS n FROM ({PAGES}) p GROUP BY ALL) k GROUP BY 1"""),
+    "day_or_default": _w(f"""SELECT process_instance_id, strftime(CASE WHEN customer_id % 3 <> 0 THEN
+        coalesce(kpi_end_date, DATE '{TEST_AS_OF}') ELSE DATE '{TEST_AS_OF}' END, '%Y-%m-%d') AS kpi_end_date
+        FROM settlement_heads""", ["settlement_heads"]),
     "agent_rollup": _w(_show(ROLLUP), _EV),
     "agent_rollup_long": _w(_show(ROLLUP_LONG), _EV),
     "replace_account_day": _w(_show(REPLACE_ACCOUNT_DAY), _EV),
