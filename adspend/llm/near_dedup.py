@@ -5,7 +5,9 @@ words' bytes (all words, if fewer). Documents are linked where
 100 * intersection >= ``percent`` * union, on whole sets.
 
 1. Equal sets are one class; only a class's representative (its smallest
-   identifier) goes on, so copies are never paired with each other.
+   identifier) goes on, so copies are never paired with each other. Classes are
+   numbered in the order of representative and set, and the numbers stand for
+   them in all that follows: two sets under one identifier are two vertices.
 2. ``TREES`` independent trees branch every representative by the smallest of
    its shingles under the tree's hash; the chance that a linked pair shares no
    first node is (1 - similarity) ** TREES, below 3e-7 at 0.85. Nodes are
@@ -32,8 +34,8 @@ words' bytes (all words, if fewer). Documents are linked where
 
 Defined results: a row without words has an empty set and is linked with
 nothing; neither is a row without an identifier, which stays. Rows that repeat
-an identifier are judged each by its own text. Ties fall to the smallest
-identifier.
+an identifier are judged each by its own text, and go or stay by it. Ties fall
+to the smallest identifier. Identifiers may be of any type that can be ordered.
 """
 
 from __future__ import annotations
@@ -107,9 +109,8 @@ def _sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return trees, (values ^ (values >> np.uint32(16))).astype("<u2")
 
 
-_SKETCH = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType()),
-                        T.StructField("digest", T.BinaryType()), T.StructField("trees", T.ArrayType(T.LongType())),
-                        T.StructField("sketch", T.BinaryType())])
+_SKETCH = [T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()),
+           T.StructField("trees", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())]
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,8 +132,15 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")
-                       ).mapInArrow(_sketch_batches, _SKETCH)
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    return rows.mapInArrow(_sketch_batches, T.StructType([T.StructField("id", rows.schema["id"].dataType), *_SKETCH]))
+
+
+def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _small(batches):
+        digests = pa.array([_digest(s) for s in shingle_sets(batch.column("_text"))], pa.binary())
+        rest = [c for c in batch.schema.names if c != "_text"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), digests], names=[*rest, "_digest"])
 
 
 # comparing groups
@@ -387,14 +395,25 @@ def _search_large(rows: DataFrame, whole: int, block: int, depth: int) -> list[D
     return groups
 
 
-def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
-                 small: int = SMALL, whole: int = WHOLE, block: int = BLOCK, depth: int = DEPTH) -> DataFrame:
-    """One row per document: the identifier, n_shingles, component_id and kept."""
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+def _numbered(named: DataFrame) -> DataFrame:
+    """One row per set: its number ``id``, the smallest identifier ``first`` that has it, its size and sketch.
+
+    Numbers rise with (first, digest): partitions are ranges of it, sorted, and
+    numbered in their order. Written once, so that numbers stay.
+    """
+    reps = named.groupBy("digest").agg(F.min("id").alias("first"), F.first("n").alias("n"), F.first("trees").alias("trees"),
+                                       F.first("sketch").alias("sketch"))
+    parts = int(named.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(reps.repartitionByRange(parts, "first", "digest").sortWithinPartitions("first", "digest").select(
+        F.monotonically_increasing_id().alias("id"), "*"), "near-classes")
+
+
+def _classified(docs: DataFrame, id_col: str, text_col: str, percent: int, small: int, whole: int, block: int,
+                depth: int) -> DataFrame:
+    """id, n, digest and component_id of every row."""
+    texts = docs.select(F.col(f"`{id_col}`").alias("first"), F.col(f"`{text_col}`").alias("text"))
     rows = cut(sketches(docs, id_col, text_col), "near-sketches")
-    named = rows.where("digest IS NOT NULL AND id IS NOT NULL")
-    reps = cut(named.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("trees").alias("trees"),
-                                           F.first("sketch").alias("sketch")), "near-classes")
+    reps = _numbered(rows.where("digest IS NOT NULL AND id IS NOT NULL"))
     held = reps.select("id", "digest", "sketch")
     # groups: all rows that share a node with a pivot, in chunks that each hold the pivot too
     pairs = cut(_first_nodes(reps).select("pivot", "id", "n").distinct(), "near-pairs")
@@ -412,9 +431,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     large = sizes.where("chunks > 1").select("pivot")
     some = pairs.join(large, "pivot", "left_semi")
     # whole texts are moved once, and only those of rows that may be compared are kept; the identifiers
-    # grow with the documents, so this is a shuffled join at every size
-    wanted = near.select("id").unionByName(some.select("id")).distinct().hint("merge")
-    texts = cut(texts.join(wanted, "id", "left_semi"), "near-texts")
+    # grow with the documents, so this is a shuffled join at every size. Other texts of the same identifier
+    # come along and are told apart by their digests.
+    wanted = near.select("id").unionByName(some.select("id")).distinct()
+    wanted = reps.select("id", "first").join(wanted, "id", "left_semi").hint("merge")
+    texts = cut(texts.join(wanted, "first").select("id", "text"), "near-texts")
     links = _links(near, texts, percent)
     if not large.isEmpty():
         known = components(links).withColumnRenamed("v", "id")
@@ -425,16 +446,46 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for g in found[1:]:
             more = more.unionByName(g)
         links = links.unionByName(_links(_near(more, percent), texts, percent))
+    # only classes with links have a label; the smallest number of a component has its smallest identifier
     labels = components(links)
-    classes = reps.select("digest", F.col("id").alias("v")).join(labels, "v", "left").select(
-        "digest", F.coalesce("label", "v").alias("component_id"))
-    out = rows.join(classes, "digest", "left").withColumn("component_id", F.when(
-        F.col("id").isNotNull(), F.coalesce("component_id", "id")))
+    best = reps.select(F.col("id").alias("label"), F.col("first").alias("best"))
+    linked = labels.join(best, "label").select("v", "best")
+    classes = reps.select("digest", "first", F.col("id").alias("v")).join(linked, "v", "left").select(
+        "digest", F.coalesce("best", "first").alias("component_id"))
+    out = rows.select("id", "n", "digest").join(classes, "digest", "left")
+    return out.withColumn("component_id", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")))
+
+
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
+                 small: int = SMALL, whole: int = WHOLE, block: int = BLOCK, depth: int = DEPTH) -> DataFrame:
+    """One row per document: the identifier, n_shingles, component_id and kept."""
+    out = _classified(docs, id_col, text_col, percent, small, whole, block, depth)
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
                       F.col("component_id").eqNullSafe(F.col("id")).alias("kept"))
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows that another document of their class stands for; the same columns."""
-    gone = near_classes(docs, id_col, text_col, **options).where("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
+               small: int = SMALL, whole: int = WHOLE, block: int = BLOCK, depth: int = DEPTH) -> DataFrame:
+    """``docs`` without the rows that another document of their class stands for; the same columns.
+
+    A row goes by its identifier and its set. Where all rows of an identifier
+    go, as nearly always, the identifier decides; sets are made again only for
+    rows whose identifier has one text that goes and one that stays.
+    """
+    rows = _classified(docs, id_col, text_col, percent, small, whole, block, depth)
+    rows = rows.where("id IS NOT NULL").select("id", "digest", (F.col("component_id") == F.col("id")).alias("stays"))
+    gone = cut(rows.where("NOT stays").select("id", "digest").distinct(), "near-gone")
+    both = cut(rows.where("stays").join(gone.select("id").distinct(), "id", "left_semi").select("id").distinct(), "near-both")
+    own = F.col(f"`{id_col}`")
+    left = docs.join(gone.select(F.col("id").alias("_gone")).distinct(), own == F.col("_gone"), "left_anti")
+    if both.isEmpty():
+        return left
+    kinds = docs.schema
+    mixed = docs.join(both.select(F.col("id").alias("_both")), own == F.col("_both"), "left_semi")
+    named = mixed.select(*(F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(docs.columns)), F.col(f"`{text_col}`").alias("_text"))
+    out = T.StructType([*named.drop("_text").schema.fields, T.StructField("_digest", T.BinaryType())])
+    named = named.mapInArrow(_digest_batches, out)
+    go = gone.select(F.col("id").alias("_gone"), F.col("digest").alias("_set"))
+    stay = named.join(go, (F.col(f"_c{docs.columns.index(id_col)}") == F.col("_gone")) & (F.col("_digest") == F.col("_set")),
+                      "left_anti")
+    return left.union(stay.select(*(F.col(f"_c{k}").cast(f.dataType).alias(f.name) for k, f in enumerate(kinds.fields))))

@@ -109,3 +109,21 @@ def test_components_of_chains_and_stars(spark, sorted_rows):
     links = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7), (129, 300), (300, 129)]
     got = dict(sorted_rows(components(spark.createDataFrame(links, "a bigint, b bigint"))))
     assert got == {**{k: 0 for k in range(41)}, **{100 + k: 100 for k in range(30)}, 300: 100}
+
+
+def test_one_identifier_over_two_texts(spark, docs):
+    a, b = (" ".join(f"{w}{k}" for k in range(60)) for w in "ab")
+    rows = [(1, a), (2, a), (2, b), (3, b + " x"), (None, a), (4, None), (4, "")]
+    got = near_dedup(docs(rows))
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(
+        [(1, a), (2, b), (None, a), (4, None), (4, "")], key=repr)
+    classes = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_classes(docs(rows)).collect()}
+    assert {(1, 56, 1, True), (2, 56, 1, False), (2, 56, 2, True), (3, 57, 2, False)} <= classes
+
+
+def test_string_identifiers(spark):
+    a, b = (" ".join(f"{w}{k}" for k in range(60)) for w in "ab")
+    df = spark.createDataFrame([("x-10", a), ("x-2", a + " tail"), ("y", b), ("", b), (None, b)], "name string, text string")
+    got = {(r.name, r.component_id, r.kept) for r in near_classes(df, id_col="name").collect()}
+    assert got == {("x-10", "x-10", True), ("x-2", "x-10", False), ("", "", True), ("y", "", False), (None, None, True)}
+    assert {r.name for r in near_dedup(df, id_col="name").collect()} == {"x-10", "", None}
