@@ -11,7 +11,7 @@ def shingles(t):
     return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
-def plain(rows):
+def plain(rows, percent=85):
     sets = [shingles(t) for _, t in rows]
     part = list(range(len(rows)))
 
@@ -23,7 +23,7 @@ def plain(rows):
     for i in range(len(rows)):
         for j in range(i):
             a, b = sets[i], sets[j]
-            if a and b and rows[i][0] is not None and rows[j][0] is not None and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and rows[i][0] is not None and rows[j][0] is not None and 100 * len(a & b) >= percent * len(a | b):
                 part[root(i)] = root(j)
     best = {}
     for k, (i, _) in enumerate(rows):
