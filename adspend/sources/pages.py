@@ -92,14 +92,30 @@ def report_page_rejects(lines: DataFrame, row_schema: StructType, *, col: str =
     """``line, account_id, stat_date, reason`` of every landed line that gives no
     rows: unreadable, refused, empty, or (with ``complete``) of an incomplete slice."""
     pages = _pages(lines, row_schema, col, account_id, stat_date)
-    if complete:
-        gone = incomplete_slices(pages).select(F.col("account_id").alias("_a"), F.col("stat_date").alias("_d"),
-                                               F.lit("incomplete").alias("_why"))
+    return rejects_of(pages, incomplete_slices(pages) if complete else None)
+
+
+def rejects_of(pages: DataFrame, gone: DataFrame | None = None) -> DataFrame:
+    """``report_page_rejects`` of parsed pages; ``gone`` are the slices that are not complete."""
+    if gone is not None:
+        gone = gone.select(F.col("account_id").alias("_a"), F.col("stat_date").alias("_d"), F.lit("incomplete").alias("_why"))
         pages = pages.join(gone, F.col("account_id").eqNullSafe(F.col("_a")) & F.col("stat_date").eqNullSafe(F.col("_d")),
                            "left").withColumn("reason", F.coalesce("reason", "_why"))
     return pages.where("reason IS NOT NULL").select("line", "account_id", "stat_date", "reason")
 
 
+def asked_fields(row_schema: StructType, fields=None, drop: tuple[str, ...] = ("date",)) -> StructType:
+    """The part of a row schema that is asked for."""
+    return StructType([f for f in row_schema.fields if f.name not in drop and f.name not in ("account_id", "stat_date")
+                       and (fields is None or f.name in fields)])
+
+
+def rows_of(pages: DataFrame, asked: StructType) -> DataFrame:
+    """Rows of the accepted pages."""
+    rows = pages.filter("reason IS NULL").select("account_id", "stat_date", F.explode("response.data.list").alias("row"))
+    return rows.select("account_id", "stat_date", *[F.col(f"row.{f.name}").alias(f.name) for f in asked.fields])
+
+
 def parse_report_pages(lines: DataFrame, row_schema: StructType, *, col: str = "value",
                        fields: list[str] | None = None, drop: tuple[str, ...] = ("date",),
                        account_id=None, stat_date=None, dates=None, complete: bool = False) -> DataFrame:
@@ -117,17 +133,13 @@ def parse_report_pages(lines: DataFrame, row_schema: StructType, *, col: str = "
     off by default: the reference stores what the accepted pages held, and only an
     unreadable page makes it leave the slice alone.
     """
-    names = [f.name for f in row_schema.fields
-             if f.name not in drop and f.name not in ("account_id", "stat_date")
-             and (fields is None or f.name in fields)]
-    asked = StructType([f for f in row_schema.fields if f.name in names])
+    asked = asked_fields(row_schema, fields, drop)
     r = _pages(lines, asked, col, account_id, stat_date)
     if complete:
         r = r.join(incomplete_slices(r), ["account_id", "stat_date"], "left_anti")
     if dates is not None:
         r = r.filter(F.col("stat_date").between(F.to_date(F.lit(str(dates[0]))), F.to_date(F.lit(str(dates[1])))))
-    rows = r.filter("reason IS NULL").select("account_id", "stat_date", F.explode("response.data.list").alias("row"))
-    return rows.select("account_id", "stat_date", *[F.col(f"row.{n}").alias(n) for n in names])
+    return rows_of(r, asked)
 
 
 def read_report_pages(spark: SparkSession, path: str, row_schema: StructType, **kw) -> DataFrame:

@@ -14,10 +14,13 @@ account-day slices it carries replace those slices in a table partitioned by
   loses no row, and a batch replayed leaves the same table.
 
 By default a slice is replaced only when all its pages are there and readable.
-Pages of a slice that isn't complete are held in a written table, one version a
-batch, and judged again together with the next pages of that slice: a page that
+Pages of a slice that isn't complete are held in a versioned table with a folder
+a day, and judged again together with the next pages of that slice: a page that
 comes again, or one of a pull with another ``total_page``, takes the place of a
-held one. ``rejects`` keeps the lines that gave no rows in their own batch, with
+held one. A batch parses its own lines once, reads the held pages of its own
+slices' days, and changes no other day's. The version it began with is noted by
+batch, so a batch that is replayed after a failure finds the same held pages.
+``rejects`` keeps the lines that gave no rows in their own batch, with
 the reason; held pages are among them.
 """
 
@@ -28,38 +31,66 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
-from ..operators.table_writes import _cut, read_table, replace_slices_in_table
+from ..operators.table_writes import _cut, path_exists, replace_slices_in_table
+from ..operators.versioned import VersionedTable
 from ..session import shared_dir
-from ..sources.pages import _pages, incomplete_slices, parse_report_pages, report_page_rejects
+from ..sources.pages import _pages, asked_fields, incomplete_slices, rejects_of, rows_of
 
 SLICE = ["account_id", "stat_date"]
-_LINE = StructType([StructField("value", StringType())])
+_HELD = StructType([StructField("value", StringType()), StructField("account_id", LongType()),
+                    StructField("stat_date", DateType())])
 
 
-def _with_held(batch: DataFrame, held: DataFrame, row_schema: StructType) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The batch's lines with the held lines that belong to its slices, those held lines, and the lines to hold next."""
+class HeldPages:
+    """Lines of pages whose slice is not complete yet, in folders by day."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.table = VersionedTable(spark, path, _HELD)
+
+    def version_of(self, epoch: int) -> int:
+        """The version a batch begins with; the same when the batch is run again."""
+        notes = f"{self.path}/_batches"
+        for v in range(self.table.version(), -1, -1):
+            if path_exists(self.spark, f"{notes}/{epoch}-{v}"):
+                return v
+        v = self.table.version()
+        self.spark.createDataFrame([(epoch, v)], "epoch long, version long").coalesce(1).write.mode("overwrite").parquet(
+            f"{notes}/{epoch}-{v}")
+        return v
+
+    def read(self, version: int, days: list) -> DataFrame:
+        return self.table.read(version).where(F.col("stat_date").isin(days))
+
+    def replace(self, slices: DataFrame, lines: DataFrame) -> None:
+        """The held lines of these slices are ``lines`` from now on; other days are not touched."""
+        slices, lines = _cut(slices), _cut(lines.select(*_HELD.names))
+        self.table.commit(lambda old: old.join(slices, SLICE, "left_anti").unionByName(lines), slices)
+
+
+def _with_held(pages: DataFrame, good: DataFrame, held: DataFrame, asked: StructType) -> DataFrame:
+    """The batch's pages and the held ones that fill its incomplete slices (``was_held``)."""
     total = F.coalesce("response.data.page_info.total_page", F.lit(1))
-    new, before = _pages(batch, row_schema, "value"), _pages(held, row_schema, "value")
-    good = new.where("reason IS NULL")
-    parts = incomplete_slices(new).join(good.groupBy(SLICE).agg(F.max(total).alias("total")), SLICE)
-    old = before.join(parts, SLICE).where(total == F.col("total")).join(
-        good.select(*SLICE, "page"), [*SLICE, "page"], "left_anti").select(F.col("line").alias("value"))
-    old = _cut(old)
-    lines = _cut(batch.select("value").unionByName(old))
-    pages = _pages(lines, row_schema, "value")
-    still = pages.where("reason IS NULL").join(incomplete_slices(pages), SLICE, "left_semi")
-    rest = before.join(good.select(SLICE).distinct(), SLICE, "left_anti")
-    return lines, old, still.select("line").unionByName(rest.select("line")).withColumnRenamed("line", "value")
+    lines = held.join(good.select(*SLICE).distinct(), SLICE, "left_semi")
+    before = _pages(lines.select("value"), asked, "value")
+    parts = incomplete_slices(pages).join(good.groupBy(SLICE).agg(F.max(total).alias("total")), SLICE)
+    fill = before.join(parts, SLICE).where(total == F.col("total")).join(
+        good.select(*SLICE, "page"), [*SLICE, "page"], "left_anti").select(*pages.columns)
+    return pages.withColumn("was_held", F.lit(False)).unionByName(fill.withColumn("was_held", F.lit(True)))
 
 
 def land_report_pages(spark: SparkSession, source: str, target: str, row_schema: StructType, *,
                       keys=("account_id", "stat_date"), checkpoint: str | None = None,
                       available_now: bool = True, name: str = "report_pages", complete: bool = True,
-                      rejects: str | None = None) -> StreamingQuery:
+                      rejects: str | None = None, fields=None, versioned: bool = False) -> StreamingQuery:
     """Start the landing stream from ``source`` (JSON lines) into ``target``.
 
+    ``fields`` of the row schema are parsed and landed (all of them by default).
+    ``versioned``: ``target`` is a ``VersionedTable``, whose readers see a batch
+    whole or not at all; read it by that class.
+
     ``available_now`` processes what has landed and stops (a scheduled run);
     otherwise the stream keeps running.  The stream's checkpoint defaults to
     the shared checkpoint folder.  ``rejects`` is a folder to which lines without
@@ -71,17 +102,32 @@ def land_report_pages(spark: SparkSession, source: str, target: str, row_schema:
 
     rejects = rejects or f"{checkpoint}-rejects"
 
+    asked = asked_fields(row_schema, fields)
+
+    def land(rows: DataFrame) -> None:
+        if versioned:
+            VersionedTable(rows.sparkSession, target, rows.schema).replace_slices(rows, keys)
+        else:
+            replace_slices_in_table(rows, target, keys=keys)
+
     def apply(batch: DataFrame, epoch: int) -> None:
-        old = None
-        if complete:
-            held = read_table(batch.sparkSession, f"{checkpoint}-held/batch={epoch - 1}", _LINE)
-            batch, old, hold = _with_held(batch, held, row_schema)
-            hold.write.mode("overwrite").parquet(f"{checkpoint}-held/batch={epoch}")
-        out = report_page_rejects(batch, row_schema, complete=complete)
-        if old is not None:  # those were told with their own batch
-            out = out.join(old.select(F.col("value").alias("line")), "line", "left_anti")
-        out.write.mode("overwrite").parquet(f"{rejects}/batch={epoch}")
-        replace_slices_in_table(parse_report_pages(batch, row_schema, complete=complete), target, keys=keys)
+        pages = _cut(_pages(batch, asked, "value"))
+        if not complete:
+            rejects_of(pages).write.mode("overwrite").parquet(f"{rejects}/batch={epoch}")
+            land(rows_of(pages, asked))
+            return
+        held = HeldPages(batch.sparkSession, f"{checkpoint}-held")
+        version = held.version_of(epoch)
+        good = pages.where("reason IS NULL AND account_id IS NOT NULL AND stat_date IS NOT NULL")
+        days = [r.stat_date for r in good.select("stat_date").distinct().collect()]  # days of one batch
+        pages = _cut(_with_held(pages, good, held.read(version, days), asked))
+        gone = _cut(incomplete_slices(pages))
+        # held pages were told of with their own batch
+        rejects_of(pages.where("NOT was_held"), gone).write.mode("overwrite").parquet(f"{rejects}/batch={epoch}")
+        land(rows_of(pages.join(gone, SLICE, "left_anti"), asked))
+        # only now do pages that have landed leave the held ones
+        still = pages.where("reason IS NULL").join(gone, SLICE, "left_semi").withColumnRenamed("line", "value")
+        held.replace(good.select(*SLICE).distinct(), still)
 
     w = lines.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

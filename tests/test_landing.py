@@ -154,3 +154,59 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Session())
+
+
+def folders(path):
+    return {d for d in os.listdir(path) if d.startswith("stat_date=")}
+
+
+def test_a_batch_touches_only_its_own_days_of_held_pages(spark, tmp_dir):
+    from adspend.streaming.landing import HeldPages
+    src, target, ckpt = (f"{tmp_dir}/{x}" for x in ("in", "table", "ckpt"))
+    land(src, "a.json", [page(a, f"2020-01-0{d}", [(0, d)], n=1, total=2) for a in (1, 2) for d in (1, 2, 3)])
+    land_report_pages(spark, src, target, ROW, checkpoint=ckpt).awaitTermination()
+    held = HeldPages(spark, f"{ckpt}-held")
+    before = set(held.table.folders())
+    assert held.table.read().count() == 6 and {f.split("/")[0] for f in before} == {f"stat_date=2020-01-0{d}" for d in (1, 2, 3)}
+    land(src, "b.json", [page(1, "2020-01-02", [(1, 20)], n=2, total=2)])
+    land_report_pages(spark, src, target, ROW, checkpoint=ckpt).awaitTermination()
+    after = set(held.table.folders())
+    assert {f.split("/")[0] for f in before ^ after} == {"stat_date=2020-01-02"}  # the other days' folders are as they were
+    assert sorted((r.account_id, r.stat_date.day) for r in held.table.read().collect()) == [(1, 1), (1, 3), (2, 1), (2, 2), (2, 3)]
+    assert table(spark, target) == [(1, "2020-01-02", 0, 2), (1, "2020-01-02", 1, 20)]
+    text = held.read(held.table.version(), [__import__("datetime").date(2020, 1, 2)])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [stat_date" in text or "PartitionFilters: [isnotnull(stat_date" in text
+
+
+def test_a_replayed_batch_finds_the_held_pages_it_began_with(spark, tmp_dir, monkeypatch):
+    from adspend.streaming import landing
+    src, target, ckpt = (f"{tmp_dir}/{x}" for x in ("in", "table", "ckpt"))
+    land(src, "a.json", [page(1, "2020-01-01", [(0, 1)], n=1, total=2)])
+    land_report_pages(spark, src, target, ROW, checkpoint=ckpt).awaitTermination()
+    land(src, "b.json", [page(1, "2020-01-01", [(1, 2)], n=2, total=2)])
+    real = landing.HeldPages.replace
+
+    def dies(self, slices, lines):
+        real(self, slices, lines)
+        raise RuntimeError("lost after all was done")
+
+    with monkeypatch.context() as m:
+        m.setattr(landing.HeldPages, "replace", dies)
+        with pytest.raises(Exception, match="lost"):
+            land_report_pages(spark, src, target, ROW, checkpoint=ckpt).awaitTermination()
+    assert len(table(spark, target)) == 2
+    land_report_pages(spark, src, target, ROW, checkpoint=ckpt).awaitTermination()
+    assert table(spark, target) == [(1, "2020-01-01", 0, 1), (1, "2020-01-01", 1, 2)]
+    assert landing.HeldPages(spark, f"{ckpt}-held").table.read().count() == 0
+    assert spark.read.parquet(f"{ckpt}-rejects").count() == 1  # the first page, while it was alone
+
+
+def test_landing_into_a_versioned_table(spark, tmp_dir):
+    from adspend.operators.versioned import VersionedTable
+    src, target, ckpt = (f"{tmp_dir}/{x}" for x in ("in", "table", "ckpt"))
+    schema = spark.createDataFrame([], "account_id bigint, stat_date date, cost bigint").schema
+    for name, cost in (("a.json", 1), ("b.json", 2)):
+        land(src, name, [page(1, "2020-01-01", [(0, cost), (1, cost)])])
+        land_report_pages(spark, src, target, ROW, checkpoint=ckpt, versioned=True, fields=["cost"]).awaitTermination()
+    t = VersionedTable(spark, target, schema)
+    assert [r.cost for r in t.read().collect()] == [2, 2] and [r.cost for r in t.read(1).collect()] == [1, 1]
