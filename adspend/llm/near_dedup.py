@@ -6,8 +6,8 @@ words' bytes (all words, if fewer). Documents are linked where
 
 1. Equal sets are one class; only a class's representative (its smallest
    identifier) goes on, so copies are never paired with each other. Classes are
-   numbered in the order of representative and set, and the numbers stand for
-   them in all that follows: two sets under one identifier are two vertices.
+   numbered, and the numbers stand for them in all that follows: two sets under
+   one identifier are two vertices.
 2. ``TREES`` independent trees branch every representative by the smallest of
    its shingles under the tree's hash; the chance that a linked pair shares no
    first node is (1 - similarity) ** TREES, below 3e-7 at 0.85. Nodes are
@@ -396,16 +396,11 @@ def _search_large(rows: DataFrame, whole: int, block: int, depth: int) -> list[D
 
 
 def _numbered(named: DataFrame) -> DataFrame:
-    """One row per set: its number ``id``, the smallest identifier ``first`` that has it, its size and sketch.
-
-    Numbers rise with (first, digest): partitions are ranges of it, sorted, and
-    numbered in their order. Written once, so that numbers stay.
-    """
+    """One row per set: a number ``id``, the smallest identifier ``first`` that has it, its size and sketch. Written
+    once, so that numbers stay."""
     reps = named.groupBy("digest").agg(F.min("id").alias("first"), F.first("n").alias("n"), F.first("trees").alias("trees"),
                                        F.first("sketch").alias("sketch"))
-    parts = int(named.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut(reps.repartitionByRange(parts, "first", "digest").sortWithinPartitions("first", "digest").select(
-        F.monotonically_increasing_id().alias("id"), "*"), "near-classes")
+    return cut(reps.select(F.monotonically_increasing_id().alias("id"), "*"), "near-classes")
 
 
 def _classified(docs: DataFrame, id_col: str, text_col: str, percent: int, small: int, whole: int, block: int,
@@ -446,9 +441,9 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, percent: int, small
         for g in found[1:]:
             more = more.unionByName(g)
         links = links.unionByName(_links(_near(more, percent), texts, percent))
-    # only classes with links have a label; the smallest number of a component has its smallest identifier
-    labels = components(links)
-    best = reps.select(F.col("id").alias("label"), F.col("first").alias("best"))
+    # only classes with links have a label
+    labels = components(links).join(reps.select(F.col("id").alias("v"), "first"), "v")
+    best = labels.groupBy("label").agg(F.min("first").alias("best"))
     linked = labels.join(best, "label").select("v", "best")
     classes = reps.select("digest", "first", F.col("id").alias("v")).join(linked, "v", "left").select(
         "digest", F.coalesce("best", "first").alias("component_id"))
