@@ -8,7 +8,9 @@ language; equal votes go to the larger sum of margins, then to the name.
 
 Training reads labelled rows only: at most ``per_language`` texts a language
 and ``SAMPLE_ROWS`` in all, those with the smallest hash of their identifier,
-so the sample does not depend on how rows are dealt. Prediction reads nothing
+so the sample does not depend on how rows are dealt. It holds ten texts a
+language at least, so the ``SAMPLE_ROWS`` / 10 commonest languages can be
+learnt; with more of them raise ``sample_rows``. Prediction reads nothing
 but the text, all of it, and starts no shuffle.
 
 Defined results: ``und`` with score 0 for a null text, a text without letters,

@@ -62,3 +62,41 @@ def test_held_out_is_crc32_of_the_identifier(docs):
     got = {r.doc_id: r.h for r in docs([(i, "x") for i in range(40)]).select(
         "doc_id", langid.held_out(F.col("doc_id")).alias("h")).collect()}
     assert got == {i: zlib.crc32(str(i).encode()) % 3 == 1 for i in range(40)}
+
+
+def plain_prediction(model, text):
+    """Byte trigrams, family and language of one text, by dictionaries and loops."""
+    from collections import Counter
+    raw = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
+    cls = [b if 97 <= b <= 122 or b >= 128 else 32 for b in raw]
+    grams = Counter(tuple(cls[k:k + 3]) for k in range(len(cls) - 2) if not cls[k] == cls[k + 1] == 32)
+    x = np.zeros(langid.BUCKETS)
+    for (a, b, c), n in grams.items():
+        x[((a << 16 | b << 8 | c) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 52] += n
+    x = np.sqrt(x)
+    x /= max(np.sqrt((x * x).sum()), 1e-12)
+    margins = [float(x @ w + b) for w, b in model.outer]
+    family = model.families[int(np.argmax(margins))]
+    members = model.members[family]
+    votes, total = [0] * len(members), [0.0] * len(members)
+    for i, j, w, b in model.inner[family]:
+        m = float(x @ w + b)
+        votes[i if m > 0 else j] += 1
+        total[i] += m
+        total[j] -= m
+    best = max(range(len(members)), key=lambda k: (votes[k] + np.tanh(total[k]) / 4, -k))
+    return members[best], margins
+
+
+def test_predictions_against_plain_loops(docs):
+    rows = corpus(120) + [(500, "der the le el", None), (501, "ÉÀ ü ñ", None), (502, "Zaun" * 900, None), (503, "a", None)]
+    model = langid.train(docs(corpus()))
+    got = {r.doc_id: r for r in langid.predict(docs(rows), model).collect()}
+    checked = 0
+    for i, text, _ in rows:
+        best, margins = plain_prediction(model, text)
+        two = sorted(margins)[-2:]
+        if two[1] - two[0] > 1e-4:  # single precision may part a tie either way
+            assert got[i].lang_pred == best, (i, text)
+            checked += 1
+    assert checked > 100
