@@ -122,13 +122,12 @@ class Sources:
         """Rows of the key tables, and days of all contract periods, counted in
         one job on first use and kept: plans decide on broadcasts with them."""
         if self._sizes is None:
-            days = F.abs(F.datediff("contract_end_date", "contract_begin_date")) + 1
-            counts = [getattr(self, n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("what"), "n")
-                      for n in KEY_TABLES]
-            counts.append(self.contract_lines.agg(F.sum(F.coalesce(days, F.lit(1))).cast("bigint").alias("n")).select(
-                F.lit("contract_days").alias("what"), "n"))
-            rows = reduce(lambda a, b: a.unionByName(b), counts).collect()
-            self._sizes = {r["what"]: r["n"] or 0 for r in rows}
+            days = F.coalesce(F.abs(F.datediff("contract_end_date", "contract_begin_date")) + 1, F.lit(1))
+            rows = [getattr(self, n).select(F.lit(n).alias("what"), F.lit(1).alias("n")) for n in KEY_TABLES]
+            rows.append(self.contract_lines.select(F.lit("contract_days").alias("what"), days.alias("n")))
+            # one aggregate over all of them: partial sums in the scans, one exchange of a few rows
+            rows = reduce(lambda a, b: a.unionByName(b), rows).groupBy("what").agg(F.sum("n").alias("n")).collect()
+            self._sizes = dict.fromkeys((*KEY_TABLES, "contract_days"), 0) | {r["what"]: r["n"] for r in rows}
         return self._sizes
 
     def validate(self) -> None:

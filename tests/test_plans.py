@@ -49,7 +49,7 @@ def test_building_plans_starts_one_small_job_per_sources(spark):
     assert list(tracker.getJobIdsForGroup("plans-only")) == []
     src._sizes = None
     src.sizes()
-    assert len(tracker.getJobIdsForGroup("plans-only")) <= 8  # the stages of one collect, run as AQE's query stages
+    assert len(tracker.getJobIdsForGroup("plans-only")) <= 2  # the shuffle and the result of one collect, as AQE's query stages
     spark.sparkContext.setJobGroup("", "")
 
 
