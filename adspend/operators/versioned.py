@@ -32,6 +32,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from .merge import DuplicateKeys, replace_slice, upsert
 
 POINTERS, VERSION = "_versions", "v"
+LOCK_MS = 60_000
 
 
 __all__ = ["VersionedTable", "Conflict", "DuplicateKeys"]
@@ -84,21 +85,30 @@ class VersionedTable:
         out = self._fs.create(draft, False)
         out.write(bytearray(json.dumps(folders).encode()))
         out.close()
-        taken = self._jvm.org.apache.hadoop.fs.FileAlreadyExistsException
-        lock = self._path(f"{POINTERS}/_lock{version}") if self._fs.getScheme() == "file" else None
+        pointer = self._path(f"{POINTERS}/{version:012d}")
         try:
-            if lock is not None and not self._fs.createNewFile(lock):
+            if self._fs.getScheme() == "file" and not self._locked(version):
                 return False
             none = self._jvm.org.apache.hadoop.fs.Options.Rename.NONE
-            self._files.rename(draft, self._path(f"{POINTERS}/{version:012d}"), _array(self.spark, none))
+            self._files.rename(draft, pointer, _array(self.spark, none))
             return True
         except Exception as e:  # noqa: BLE001 - py4j wraps every Java exception alike
-            if isinstance(getattr(e, "java_exception", None), type(None)) or taken.__name__ not in str(e):
-                raise
-            return False
+            if "FileAlreadyExistsException" in str(e):
+                return False
+            raise
         finally:
             self._fs.delete(draft, False)
 
+    def _locked(self, version: int) -> bool:
+        """On a local folder: whether this writer may put the pointer of ``version``; a lock left by a writer that died
+        holds for ``LOCK_MS``."""
+        lock = self._path(f"{POINTERS}/_lock{version}")
+        if self._fs.exists(lock) and version not in (int(n) for n in self._names(POINTERS) if n.isdigit()):
+            age = self._jvm.System.currentTimeMillis() - self._fs.getFileStatus(lock).getModificationTime()
+            if age > LOCK_MS:
+                self._fs.delete(lock, False)
+        return self._fs.createNewFile(lock)
+
     # ---- reading ---------------------------------------------------------------
 
     def read(self, version: int | None = None) -> DataFrame:

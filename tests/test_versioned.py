@@ -140,3 +140,18 @@ def test_repeated_keys_are_refused_whole(make):
     with pytest.raises(V.DuplicateKeys, match="account_id"):
         t.append(make.rows((1, 2, 1), (2, 2, 2)))
     assert shown(t.read()) == [(1, 1, 1)] and t.version() == 1
+
+
+def test_a_taken_number_and_a_lock_left_behind(make, monkeypatch):
+    t = make(attempts=2)
+    t.append(make.rows((1, 1, 1)))
+    folders = t.folders()
+    with monkeypatch.context() as m:
+        m.setattr(V.VersionedTable, "_locked", lambda *a: True)
+        assert t._switch(1, []) is False  # the rename itself doesn't overwrite
+    assert t.version() == 1 and t.folders() == folders
+    assert t._locked(2)  # a writer dies here
+    with pytest.raises(V.Conflict):
+        t.append(make.rows((2, 2, 2)))
+    monkeypatch.setattr(V, "LOCK_MS", -1)
+    assert t.append(make.rows((2, 2, 2))) == 2
