@@ -53,11 +53,17 @@ def landed(row_schema: StructType) -> StructType:
 CORRUPT = "_corrupt_record"
 
 
+def _parsed(lines: DataFrame, col: str, schema: StructType, *others, options: dict | None = None) -> DataFrame:
+    """``line``, ``r`` (the line parsed by ``schema``, once) and ``others``. As a generator's output the record is
+    not put into the filters above it in place of its name, each of which would parse the line again."""
+    record = F.explode(F.array(F.from_json(F.col(col), schema, options or {})))
+    return lines.select(F.col(col).alias("line"), *others, record.alias("r"))
+
+
 def _pages(lines: DataFrame, row_schema: StructType, col: str, account_id=None, stat_date=None) -> DataFrame:
     """Landed records with the line they came from, and why a line gives no rows (NULL: it does)."""
     schema = landed(row_schema).add(CORRUPT, StringType())
-    r = lines.select(F.col(col).alias("line"), F.from_json(F.col(col), schema, {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r")).select("line", "r.*")
+    r = _parsed(lines, col, schema, options={"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).select("line", "r.*")
     if account_id is not None:
         r = r.withColumn("account_id", F.coalesce("account_id", F.lit(account_id).cast("long")))
     if stat_date is not None:
@@ -147,12 +153,16 @@ def read_report_pages(spark: SparkSession, path: str, row_schema: StructType, **
     return parse_report_pages(spark.read.text(path), row_schema, **kw)
 
 
-def write_pages_by_day(lines: DataFrame, path: str, *, col: str = "value", mode: str = "append") -> None:
+def write_pages_by_day(lines: DataFrame, path: str, *, col: str = "value", mode: str = "append",
+                       compression: str = "gzip") -> None:
     """Landed lines in one folder a day (``stat_date=yyyy-mm-dd``), by the day they say; a line that says none,
-    or can't be read, goes to the default folder, which every read of rejects sees."""
+    or can't be read, goes to the default folder, which every read of rejects sees.
+
+    Files are compressed, as names make up most of a page; a reader knows them by their ending. A file is
+    read by one task: it holds what one task wrote of one day."""
     day = F.regexp_extract(col, r'"stat_date"\s*:\s*"(\d{4}-\d{2}-\d{2})"', 1)
     lines.select(F.col(col).alias("value"), F.when(day != "", day).try_cast("date").alias("stat_date")).write.mode(
-        mode).partitionBy("stat_date").text(path)
+        mode).partitionBy("stat_date").text(path, compression=compression)
 
 
 def read_pages_by_day(spark: SparkSession, path: str, row_schema: StructType, *, dates=None, fields=None,
@@ -172,7 +182,7 @@ def read_pages_by_day(spark: SparkSession, path: str, row_schema: StructType, *,
 
 def parse_account_pages(lines: DataFrame, *, col: str = "value") -> DataFrame:
     """Account ids listed on accepted account pages (SRC-3), distinct."""
-    r = lines.select(F.from_json(F.col(col), envelope(ACCOUNT_ROW)).alias("r"))
+    r = _parsed(lines, col, envelope(ACCOUNT_ROW))
     ok = (F.col("r.code") == PAGE_OK) & (F.size("r.data.list") > 0)
     return (r.filter(ok).select(F.explode("r.data.list").alias("row"))
             .select(F.col("row.account_id").alias("account_id")).distinct())
@@ -188,8 +198,7 @@ def parse_channel_report(lines: DataFrame, *, channel_id, type_id, col: str = "v
     ``min_bids`` keeps rows with at least that many bids (off by default, H9).
     """
     schema = StructType([StructField("ec", IntegerType()), StructField("data", ArrayType(CHANNEL_ROW))])
-    r = lines.select(F.from_json(F.col(col), schema).alias("r"),
-                     (F.col(seq) if seq else F.lit(0)).cast("long").alias("batch_seq"))
+    r = _parsed(lines, col, schema, (F.col(seq) if seq else F.lit(0)).cast("long").alias("batch_seq"))
     rows = r.filter(F.col("r.ec") == CHANNEL_OK).select(
         "batch_seq", F.posexplode("r.data").alias("batch_pos", "row"))
     if min_bids is not None:

@@ -27,12 +27,18 @@ def field_sql(schema: ReportSchema, name: str) -> str:
 
 
 def page_lines(t: TestTables, schema: ReportSchema, where: str = "TRUE") -> DataFrame:
-    """Landed lines: an account's day in pages by block of events, each of them whole."""
+    """Landed lines: an account's day in pages by block of events, each of them whole.
+
+    Events are brought together as they are and get their fields there; the number of partitions is said, as
+    AQE would judge it by the few bytes that move and not by the pages they become.
+    """
     date = F.date_format("ts", "yyyy-MM-dd").alias("date")
     item = F.struct(*[date if c == "date" else F.expr(field_sql(schema, c)).alias(c) for c in schema.request_fields])
-    pages = t.events.where(where).groupBy(
-        F.col("user_id").alias("account_id"), F.to_date("ts").alias("stat_date"),
-        F.floor(F.col("event_id") / 100).cast("int").alias("page")).agg(F.collect_list(item).alias("list"))
+    keys = {"account_id": F.col("user_id"), "stat_date": F.to_date("ts"),
+            "page": F.floor(F.col("event_id") / 100).cast("int")}
+    events = t.events.where(where).drop("props").withColumns(keys).repartition(
+        int(t.spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+    pages = events.groupBy(*keys).agg(F.collect_list(item).alias("list"))
     code = F.when(F.col("account_id") % REFUSED_ACCOUNT_EVERY == 0, 40001).otherwise(0)
     data = F.struct("list", F.struct(F.lit(1).alias("total_page")).alias("page_info"))
     response = F.struct(code.alias("code"), F.lit("").alias("message"), data.alias("data"))
