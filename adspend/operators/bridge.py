@@ -2,10 +2,9 @@
 
 The reference walks this chain inside every SQL statement (LEFT JOINs followed
 by ``customer.id IS NOT NULL``, i.e. inner joins in effect).  Here it is one
-DataFrame that every fact joins on its own key.  No broadcast hint: the chain
-grows with the number of accounts, so Spark decides from its size
-(``autoBroadcastJoinThreshold``, re-checked at runtime by AQE) and falls back
-to a shuffled join beyond the bound.
+DataFrame that every fact joins on its own key.  The chain grows with the
+number of accounts: it is broadcast within the bound of ``operators.sizing`` and
+joined by a shuffle beyond it.
 """
 
 from __future__ import annotations

@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import MAX_BROADCAST_BYTES, fits
+from .sizing import MAX_BROADCAST_BYTES, broadcast_if_small, fits
 
 AMOUNT = "bigint"   # money as integer units of 1/10000 yuan (functions.columns)
 
@@ -119,7 +119,7 @@ def attach_bridge(rows: DataFrame, bridge: DataFrame, *, keep: tuple[str, ...] =
     row per measure that had rows and whose platform condition holds:
     ``(keep..., stat_date, by..., metric, amount)``."""
     need = list(dict.fromkeys([*keep, "platform_id"]))
-    j = rows.join(bridge.select("_src", "_k", *need), ["_src", "_k"])
+    j = rows.join(bridge.drop(*(c for c in bridge.columns if c not in ("_src", "_k", *need))), ["_src", "_k"])
     long = j.select(*need, "stat_date", *by, F.inline("_m"))
     ok = F.col("_ok") & (F.col("_platform").isNull() | (F.col("platform_id") == F.col("_platform")))
     return long.filter(ok).select(*keep, "stat_date", *by, "metric", "amount")
@@ -157,6 +157,7 @@ def ledger_long_many(sources, bridge: DataFrame, *, keep: tuple[str, ...] = ("cu
     parts = [preaggregate(fact, key=key, day=day, measures=ms, by=by, tag=tag)
              for fact, key, day, ms, tag in sources]
     rows = reduce(lambda a, b: a.unionByName(b), parts)
+    bridge = broadcast_if_small(bridge, bridge_rows, max_broadcast_bytes)
     return sum_by(attach_bridge(rows, bridge, keep=keep, by=by), (*keep, "stat_date", *by))
 
 

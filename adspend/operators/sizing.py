@@ -5,7 +5,9 @@ row's bytes, is within a limit in bytes. The counts come from the source
 tables (``Sources.sizes``: one small job per ``Sources``, kept there), never
 from executing the side itself. Beyond the limit the side is joined by a
 shuffle (AQE splits skewed partitions), so a dimension that grows with the
-data never floods executor memory.
+data never floods executor memory. There the shuffle is asked for by a hint: AQE
+judges a side by its compressed shuffle files, and would send tables of a million
+rows through the driver, several at once.
 """
 
 from __future__ import annotations
@@ -25,5 +27,5 @@ def fits(rows: int | None, max_bytes: int = MAX_BROADCAST_BYTES, row_bytes: int
 
 
 def broadcast_if_small(df: DataFrame, rows: int | None, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``rows`` rows and these fit, else ``df``."""
-    return F.broadcast(df) if fits(rows, max_bytes) else df
+    """``broadcast(df)`` when ``df`` has at most ``rows`` rows and these fit, else ``df`` as a side that is shuffled."""
+    return F.broadcast(df) if fits(rows, max_bytes) else df.hint("merge")

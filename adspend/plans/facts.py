@@ -18,7 +18,7 @@ from ..functions.columns import (cents_to_units, day_of, epoch_seconds_day, mone
                                  units_to_money)
 from ..operators.bridge import project_bridge, unified_bridge
 from ..operators.ledger import Measure, ledger_long_many, sum_long
-from ..operators.sizing import MAX_BROADCAST_BYTES
+from ..operators.sizing import MAX_BROADCAST_BYTES, fits
 from ..sources.tables import Sources
 
 # ---- fixed values (as the reference states them) -------------------------
@@ -94,8 +94,9 @@ def to_date(d) -> dt.date:
     return dt.date.fromisoformat(str(d)[:10])
 
 
-def bridges(src: Sources, tags=("gdt", "tt", "wechat", "project")) -> DataFrame:
-    """The unified bridge of the key spaces ``tags``, built once per plan."""
+def bridges(src: Sources, tags=("gdt", "tt", "wechat", "project"), *, small: bool = True) -> DataFrame:
+    """The unified bridge of the key spaces ``tags``, built once per plan; unless ``small``, accounts and
+    projects are joined by a shuffle whatever the projects' size."""
     pb = project_bridge(src.projects, src.entities, src.customers)
     accounts = {"gdt": lambda: src.gdt_accounts, "tt": lambda: src.tt_accounts,
                 "wechat": lambda: src.wechat_accounts}
@@ -104,7 +105,8 @@ def bridges(src: Sources, tags=("gdt", "tt", "wechat", "project")) -> DataFrame:
         if t == "project":
             parts[t] = pb
         else:
-            parts[t] = accounts[t]().select("account_id", "project_id").join(pb, "project_id").select(
+            side = pb if small else pb.hint("merge")
+            parts[t] = accounts[t]().select("account_id", "project_id").join(side, "project_id").select(
                 "account_id", *pb.columns)
     return unified_bridge(parts)
 
@@ -226,8 +228,9 @@ def facts_long(src: Sources, names: list[str] | None = None, *, p: Params | None
             tags.append(s.tag)
     if not sources:
         raise KeyError(f"unknown measures {names}")
-    return ledger_long_many(sources, bridges(src, tags), keep=keep, by=by, bridge_rows=bridge_rows(src, tags),
-                            max_broadcast_bytes=(p or Params()).max_broadcast_bytes)
+    rows, bound = bridge_rows(src, tags), (p or Params()).max_broadcast_bytes
+    return ledger_long_many(sources, bridges(src, tags, small=fits(rows, bound)), keep=keep, by=by, bridge_rows=rows,
+                            max_broadcast_bytes=bound)
 
 
 def fact_daily(src: Sources, names: list[str], *, p: Params | None = None,
@@ -342,6 +345,7 @@ def invoice_units(src: Sources, *, result: str = INVOICE_RESULT, status: str = I
                               & F.col("customer_id").isNotNull())
     if window is not None:
         inv = inv.filter(day_window("instance_finish_time", day_of("instance_finish_time"), window))
+    codes = codes.hint("merge")  # a row an invoice: never through the driver
     j = inv.join(codes, inv["process_instance_id"] == codes["_code"], "left")
     amount = money_units("invoice_balance") * F.coalesce(F.col("_times"), F.lit(1))
     return j.groupBy("customer_id", day_of("instance_finish_time").alias("stat_date")).agg(
@@ -365,7 +369,7 @@ def receipt_units(src: Sources, *, window=None) -> DataFrame:
              .agg(F.sum(money_units("receipt_money")).alias("_amt")))
     heads = src.receipt_heads.select(F.col("id").alias("_order"), "customer_id", "customer_entity_id")
     ents = src.entities.select(F.col("id").alias("customer_entity_id"), "customer_id")
-    j = lines.join(heads, "_order").join(ents, ["customer_entity_id", "customer_id"])
+    j = lines.join(heads.hint("merge"), "_order").join(ents, ["customer_entity_id", "customer_id"])
     return j.groupBy("customer_id", "stat_date").agg(F.sum("_amt").alias("arrive_amount"))
 
 
