@@ -8,6 +8,8 @@
    aligned with it by simple tree matching (the largest set of node pairs with
    equal labels that keeps order and ancestors); equal subtrees are found by
    their hashes and matched whole, only what differs between them is compared.
+   Long lists of children are compared by rows, in bounded memory, with the same
+   result.
    Labels are element and class names; identifiers, which number things, are not
    part of them.
 3. Texts are counted per host and aligned node, once for each distinct page
@@ -39,9 +41,12 @@ from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
+from itertools import chain
+from math import isqrt
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -53,7 +58,8 @@ from .scratch import cut
 MIN_PAGES = 10           # of a host, with contents of their own, for a text to be called constant
 CONSTANT_SHARE = 0.9     # of the host's distinct contents that have it in the same node
 BROADCAST_BYTES = 16 << 20
-PAIRS = 200_000          # of children with equal labels that are compared in two different middles
+PAIRS = 200_000          # of nodes with equal labels that are compared one by one; beyond, by rows
+CELLS = 1 << 20          # numbers of rows that are kept
 
 # Element names of HTML.
 BLOCKS = frozenset("""html body head title article section main header footer nav aside div p h1 h2 h3 h4 h5 h6 ul ol
@@ -284,6 +290,113 @@ def _heaviest(pairs: list[tuple[int, int, int]], width: int) -> list[tuple[int,
     return out[::-1]
 
 
+def _laid(lists: list[list[int]], none: int, apart: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lists laid end to end, ``none`` before each: the slots, what totals over a list start with, its last slot.
+    Starts are ``apart``, so the totals of a list are below those of the next."""
+    sizes = np.array([len(c) + 1 for c in lists], np.int64)
+    ends = np.cumsum(sizes)
+    slots = np.full(ends[-1], none, np.int64)
+    slots[np.delete(np.arange(len(slots)), ends - sizes)] = np.fromiter(chain.from_iterable(lists), np.int64)
+    return slots, np.repeat(np.arange(len(lists), dtype=np.int64) * apart, sizes), ends - 1
+
+
+def _take(totals: np.ndarray, slots: np.ndarray, row: np.ndarray) -> None:
+    """Best order-keeping totals up to each slot, with one child more on the other side."""
+    more = row[slots[1:]]
+    more += totals[:-1]
+    np.maximum(totals[1:], more, out=totals[1:])
+    np.maximum.accumulate(totals, out=totals)
+
+
+class _Rows:
+    """Weights of a subtree of one layout with all of some siblings' distinct subtrees in another, and a last 0.
+
+    A node is matched with nodes of its own depth alone, so totals over the child lists of that depth, one
+    array a depth, are all that is held; every child goes through all the lists at once. Rows of repeated
+    subtrees are kept, up to ``CELLS`` numbers.
+    """
+
+    def __init__(self, labels: list[str], size: list[int], kind: list[int],
+                 siblings: list[int], labels_b: list[str], children_b: list[list[int]], kind_b: list[int]):
+        self.labels, self.size, self.kind = labels, size, kind
+        self.kept: dict[tuple[int, int], np.ndarray] = {}
+        self.held = 0
+        self.counts: list[int] = []
+        # of each depth, by label: the subtrees' places, and their child lists
+        self.parts: list[dict[str, tuple[np.ndarray, ...]]] = []
+        level = list({kind_b[n]: n for n in siblings}.values())
+        self.places = {kind_b[n]: at for at, n in enumerate(level)}
+        while level:
+            below = list({kind_b[c]: c for n in level for c in children_b[n]}.values())
+            places, parts = {kind_b[c]: at for at, c in enumerate(below)}, {}
+            for at, n in enumerate(level):
+                parts.setdefault(labels_b[n], []).append(at)
+            self.counts.append(len(level))
+            self.parts.append({label: (np.array(ats), *_laid(
+                [[places[kind_b[c]] for c in children_b[level[at]]] for at in ats], len(below), len(labels) + 1))
+                for label, ats in parts.items()})
+            level = below
+
+    def __call__(self, top: int) -> np.ndarray:
+        path: list[tuple[int, tuple[np.ndarray, ...], np.ndarray]] = []  # open nodes, their lists and totals
+        n = top
+        while True:
+            row = self.kept.get((len(path), self.kind[n]))
+            part = self.parts[len(path)].get(self.labels[n]) if row is None else None
+            if part is not None:
+                path.append((n, part, part[2].copy()))
+                n += 1 if len(path) < len(self.parts) else self.size[n]  # numbers of a subtree follow each other
+            elif path:
+                if row is not None:
+                    _take(path[-1][2], path[-1][1][1], row)
+                n += self.size[n]
+            else:
+                return np.zeros(self.counts[0] + 1, np.int64) if row is None else row
+            while path and n == path[-1][0] + self.size[path[-1][0]]:
+                a, (places, _, starts, ends), totals = path.pop()
+                row = np.zeros(self.counts[len(path)] + 1, np.int64)
+                row[places] = 1 + totals[ends] - starts[ends]
+                if self.held + len(row) <= CELLS:
+                    self.kept[len(path), self.kind[a]] = row
+                    self.held += len(row)
+                if not path:
+                    return row
+                _take(path[-1][2], path[-1][1][1], row)
+
+
+def _heaviest_by_rows(rows: Callable[[int], np.ndarray], x: list[int], slots: np.ndarray) -> tuple[int, list[tuple[int, int]]]:
+    """The largest total weight, and the choice ``_heaviest`` makes, of all pairs of ``x`` and ``slots``.
+
+    Totals are kept at the start of every block of children only; from the last block to the first, its
+    rows are made again and the choice is read from them.
+    """
+    slots = np.concatenate([[-1], slots])
+    block = max(isqrt(len(x)) + 1, CELLS // len(slots))
+    totals, saved = np.zeros(len(slots), np.int64), []
+    for i in range((len(x) - 1) // block * block):
+        if i % block == 0:
+            saved.append(totals.astype(np.int32))
+        _take(totals, slots, rows(x[i]))
+    saved.append(totals.astype(np.int32))
+    out, whole, left, j = [], None, 0, len(slots) - 1
+    for at in range((len(x) - 1) // block * block, -1, -block):
+        totals, seen = saved.pop().astype(np.int64), []
+        for n in x[at: at + block]:
+            row = rows(n)
+            seen.append((totals.astype(np.int32), row[slots[1:]].astype(np.int32)))
+            _take(totals, slots, row)
+        if whole is None:
+            whole = left = int(totals[-1])
+        for i in range(at + len(seen) - 1, at - 1, -1):
+            before, weight = seen.pop()
+            ends = np.flatnonzero((weight[:j] > 0) & (before[:j] + weight[:j] == left))
+            if len(ends):
+                j = int(ends[0])
+                left = int(before[j])
+                out.append((i, j))
+    return whole, out[::-1]
+
+
 def match(page: str, reference: str) -> list[int]:
     """For each node of a layout, the reference's node it is aligned with, or -1.
 
@@ -292,13 +405,15 @@ def match(page: str, reference: str) -> list[int]:
     Equal subtrees are matched whole; equal children at both ends of two lists
     belong together (nothing else could match more of them), so only the lists'
     different middles are compared, and there only children with equal labels.
-    Middles with more than ``PAIRS`` such pairs are compared in a band around their
-    diagonal that has no more.
+    Middles with more than ``PAIRS`` such pairs, or whose pairs hold more than ``PAIRS``
+    pairs of nodes, are compared by rows: the same matching, in memory of the order of
+    the longer list times the root of the other. Time stays quadratic.
     """
     known: dict[tuple, int] = {}
     la, ca, sa, ka = _numbered(page, known)
     lb, cb, sb, kb = _numbered(reference, known)
     weights: dict[tuple[int, int], int] = {}  # by subtree numbers
+    picked: dict[tuple[int, int], list[tuple[int, int]]] = {}  # what was chosen by rows
 
     def middles(a: int, b: int) -> tuple[int, list[int], list[int]]:
         x, y = ca[a], cb[b]
@@ -314,12 +429,7 @@ def match(page: str, reference: str) -> list[int]:
         where: dict[str, list[int]] = {}
         for j, n in enumerate(y):
             where.setdefault(lb[n], []).append(j)
-        every = [(i, where.get(la[n], ())) for i, n in enumerate(x)]
-        if sum(len(js) for _, js in every) <= PAIRS:
-            return [(i, j) for i, js in every for j in js]
-        band = max(1, PAIRS // len(x) // 2)
-        return [(i, j) for i, js in every
-                for j in js[bisect_left(js, i * len(y) // len(x) - band): bisect_left(js, i * len(y) // len(x) + band + 1)]]
+        return [(i, j) for i, n in enumerate(x) for j in where.get(la[n], ())]
 
     def weight(a: int, b: int) -> int | None:
         if ka[a] == kb[b]:
@@ -328,29 +438,47 @@ def match(page: str, reference: str) -> list[int]:
 
     def chosen(a: int, b: int) -> list[tuple[int, int]]:
         _, x, y = middles(a, b)
-        pairs = [(i, j, w) for i, j in candidates(x, y) if (w := weight(x[i], y[j]))]
-        return [(x[i], y[j]) for i, j in _heaviest(pairs, len(y))]
-
-    todo = [(0, 0)]
-    while todo:  # children before their parents, without recursion
-        a, b = todo[-1]
-        if weight(a, b) is not None:
+        best = picked.get((ka[a], kb[b]))
+        if best is None:
+            best = _heaviest([(i, j, w) for i, j in candidates(x, y) if (w := weight(x[i], y[j]))], len(y))
+        return [(x[i], y[j]) for i, j in best]
+
+    def solve(a: int, b: int) -> None:
+        todo = [(a, b)]
+        while todo:  # children before their parents, without recursion
+            a, b = todo[-1]
+            if weight(a, b) is not None:
+                todo.pop()
+                continue
+            lo, x, y = middles(a, b)
+            of, missing = Counter(lb[n] for n in y), {}
+            many = sum(of[la[n]] for n in x) > PAIRS
+            if not many:
+                missing = {(ka[x[i]], kb[y[j]]): (x[i], y[j]) for i, j in candidates(x, y) if weight(x[i], y[j]) is None}
+                many = len(missing) > 1 and sum(sa[i] * sb[j] for i, j in missing.values()) > PAIRS
+            if many:
+                rows = _Rows(la, sa, ka, y, lb, cb, kb)
+                inner, picked[ka[a], kb[b]] = _heaviest_by_rows(rows, x, np.array([rows.places[kb[n]] for n in y]))
+            elif missing:
+                todo.extend(missing.values())
+                continue
+            else:
+                inner = sum(weight(*p) for p in chosen(a, b))
+            ends = ca[a][:lo] + ca[a][lo + len(x):]
+            weights[ka[a], kb[b]] = 1 + sum(sa[c] for c in ends) + inner
             todo.pop()
-            continue
-        lo, x, y = middles(a, b)
-        missing = {(ka[x[i]], kb[y[j]]): (x[i], y[j]) for i, j in candidates(x, y) if weight(x[i], y[j]) is None}
-        if missing:
-            todo.extend(missing.values())
-            continue
-        ends = ca[a][:lo] + ca[a][lo + len(x):]
-        weights[ka[a], kb[b]] = 1 + sum(sa[c] for c in ends) + sum(weight(*p) for p in chosen(a, b))
-        todo.pop()
+
+    solve(0, 0)
     out, todo = [-1] * len(la), [(0, 0)] if weight(0, 0) else []
     while todo:
         a, b = todo.pop()
         if ka[a] == kb[b]:  # numbers of a subtree follow each other
             out[a: a + sa[a]] = range(b, b + sa[a])
             continue
+        if len(weights) > 2 * PAIRS:  # found again where they are needed
+            weights.clear()
+            picked.clear()
+        solve(a, b)  # what was compared by rows left no weights of the pairs below
         out[a] = b
         lo, x, y = middles(a, b)
         todo += zip(ca[a][:lo], cb[b][:lo], strict=True)

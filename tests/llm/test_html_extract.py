@@ -176,3 +176,26 @@ def test_long_pages_are_matched_in_bounded_time():
     start = time.time()
     out = match(shape(turns), shape(["x", *turns[1:-5], "y"]))
     assert time.time() - start < 5 and sum(x >= 0 for x in out) > 9_900
+
+
+def test_long_middles_are_matched_whole_far_off_the_diagonal():
+    own, other, same = ([f"d({','.join(f'{c}{k}-{n}()' for n in range(6))})" for k in range(600)] for c in "xyz")
+    out = match(f"r({','.join(own + same)})", f"r({','.join(same + other)})")
+    assert out == [0] + [-1] * (600 * 7) + list(range(1, 1 + 600 * 7))
+
+
+@pytest.mark.parametrize(("pairs", "cells"), [(0, 0), (0, 40), (12, 100)])
+def test_rows_choose_what_single_pairs_do(monkeypatch, pairs, cells):
+    import random
+
+    from adspend.llm import html_extract
+    rnd = random.Random(9)
+
+    def grown(depth):
+        return f"{rnd.choice('aab')}({','.join(grown(depth - 1) for _ in range(rnd.randrange(7))) if depth else ''})"
+
+    trees = [(grown(3), grown(rnd.randrange(2, 4))) for _ in range(150)]
+    single = [match(a, b) for a, b in trees]
+    monkeypatch.setattr(html_extract, "PAIRS", pairs)
+    monkeypatch.setattr(html_extract, "CELLS", cells)
+    assert [match(a, b) for a, b in trees] == single
