@@ -547,7 +547,10 @@ def wrappers(parsed: DataFrame, min_pages: int = MIN_PAGES, share: float = CONST
     layouts = shapes.join(pages, ["host", "layout"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     best = layouts.groupBy("host").agg(F.max(F.struct("n", "shape")).alias("best"), F.sum("n").alias("total"))
     best = best.where(F.col("total") >= min_pages)
-    pairs = layouts.join(best, "host").select("host", "layout", "shape", F.col("best.shape").alias("reference"))
+    # few bytes and much work: an explicit number of tasks, which is not merged by size
+    n = int(parsed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = layouts.join(best, "host").select("host", "layout", "shape", F.col("best.shape").alias("reference")).repartition(
+        n, F.xxhash64("host", "layout"))  # by plain columns it would fall to the aggregate's shuffle, which is merged
     slots = cut(pairs.mapInArrow(_align, T.StructType([
         T.StructField("host", T.StringType()), T.StructField("layout", T.LongType()),
         T.StructField("slots", T.ArrayType(T.IntegerType()))])), "html-slots")

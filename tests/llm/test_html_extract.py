@@ -199,3 +199,17 @@ def test_rows_choose_what_single_pairs_do(monkeypatch, pairs, cells):
     monkeypatch.setattr(html_extract, "PAIRS", pairs)
     monkeypatch.setattr(html_extract, "CELLS", cells)
     assert [match(a, b) for a, b in trees] == single
+
+
+def test_layouts_of_a_host_are_dealt_over_tasks(spark, monkeypatch):
+    from adspend.llm import html_extract
+    files, cut = {}, html_extract.cut
+
+    def counted(df, name):
+        out = cut(df, name)
+        files[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(html_extract, "cut", counted)
+    rows = [(k, "http://h/", f"<p class=a{k}>{k}</p><p>t</p>") for k in range(40)]
+    assert extract(pages(spark, rows)).count() == 40 and files["html-slots"] > 1
