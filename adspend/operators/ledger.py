@@ -3,7 +3,7 @@
 One generic operator covers every ledger query of the reference: they differ
 only in table, filter, unit, grain and name.  Each fact row carries the
 measures it counts for (conditional amounts, one scan for many measures),
-the rows of many tables are stacked with ``unionByName`` and joined once to
+the rows of many tables are stacked with ``unionByName`` and joined to
 the unified bridge (account or project -> entity, customer, platform), and
 the result is summed per (customer[, entity], day, by..., metric).
 
@@ -13,9 +13,9 @@ The bridge has one row per account.  Its number of rows is known beforehand
 * within the bound it is broadcast and the join runs map-side, inside the
   scan tasks; the facts never move, only the partial sums per customer and
   day do (a customer with a third of all rows is collapsed in every task);
-* beyond the bound each fact is pre-aggregated on its own key and day
-  (partial aggregation in the scan tasks), so the sort-merge join shuffles at
-  most one row per key, day and task, and AQE splits skewed partitions.
+* beyond the bound each key space is joined by itself, by one shuffle of
+  narrow fact rows (key, day, a mask of measures, an amount or two); AQE splits
+  skewed partitions, so a hot account is shared by many tasks.
 
 Money is summed as exact integer units (``functions.columns``).
 """
@@ -86,43 +86,62 @@ def sum_columns(rows: DataFrame, bridge: DataFrame, measures: list[Measure], *,
             .filter("_ok").drop("_ok"))
 
 
-def preaggregate(fact: DataFrame, *, key: str, day: Column, measures: list[Measure],
-                 by: tuple[str, ...] = (), tag: str | None = None) -> DataFrame:
-    """``(_src, _k, stat_date, by..., metric, amount, _platform)``: one row per
-    fact key, day and measure that had rows passing its filter.
+def _slots(measures: list[Measure]) -> list[Column]:
+    """The different amounts of a table's measures (measures that share an amount share the object)."""
+    return list({id(m.amount): m.amount for m in measures}.values())
 
-    Rows are filtered by the union of the measure filters first (pushed to
-    the scan), then summed per key and day with one conditional sum per
-    measure; the partial aggregate runs inside the scan tasks.
-    """
+
+def packed_rows(fact: DataFrame, *, key: str, day: Column, measures: list[Measure], bits: dict[str, int],
+                width: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """``(_k, stat_date, by..., _m, _a0, ...)`` straight from the fact rows: every
+    different amount once, and the measures the row counts for as bits of one
+    number (``bits``: a measure's bit; ``width``: amount columns).  That is what
+    a shuffled row consists of: a key, a day, a mask and an amount or two.
+    Rows counting for no measure are dropped at the scan."""
     conds = [m.where for m in measures]
-    pre = fact
+    rows = fact
     if all(c is not None for c in conds):
-        pre = pre.filter(reduce(lambda a, b: a | b, conds))
-    aggs = []
-    for i, m in enumerate(measures):
-        cond = m.where if m.where is not None else F.lit(True)
-        aggs.append(F.sum(F.when(cond, m.amount)).cast(AMOUNT).alias(f"_s{i}"))
-        aggs.append(F.count(F.when(cond, F.lit(1))).alias(f"_n{i}"))
-    pre = pre.groupBy(F.col(key).alias("_k"), day.alias("stat_date"), *by).agg(*aggs)
-    entries = [F.struct(F.lit(m.name).alias("metric"),
-                        F.coalesce(F.col(f"_s{i}"), F.lit(0).cast(AMOUNT)).alias("amount"),
-                        F.lit(m.platform).cast("int").alias("_platform"),
-                        (F.col(f"_n{i}") > 0).alias("_ok"))
-               for i, m in enumerate(measures)]
-    return pre.select(F.lit(tag or key).alias("_src"), "_k", "stat_date", *by, F.array(*entries).alias("_m"))
-
-
-def attach_bridge(rows: DataFrame, bridge: DataFrame, *, keep: tuple[str, ...] = ("customer_id",),
-                  by: tuple[str, ...] = ()) -> DataFrame:
-    """Join pre-aggregated rows to a (unified) bridge on ``(_src, _k)``, one
-    row per measure that had rows and whose platform condition holds:
-    ``(keep..., stat_date, by..., metric, amount)``."""
+        rows = rows.filter(reduce(lambda a, b: a | b, conds))
+    zero = F.lit(0).cast("bigint")
+    mask = reduce(lambda a, b: a + b, [F.lit(1 << bits[m.name]).cast("bigint") if m.where is None else
+                                       F.when(m.where, F.lit(1 << bits[m.name]).cast("bigint")).otherwise(zero)
+                                       for m in measures])
+    amounts = [F.coalesce(a.cast(AMOUNT), F.lit(0).cast(AMOUNT)) for a in _slots(measures)]
+    amounts += [F.lit(None).cast(AMOUNT)] * (width - len(amounts))
+    return rows.select(F.col(key).alias("_k"), day.alias("stat_date"), *by, mask.alias("_m"),
+                       *[a.alias(f"_a{i}") for i, a in enumerate(amounts)])
+
+
+def sum_packed(sources, bridge: DataFrame, *, keep: tuple[str, ...], by: tuple[str, ...]) -> DataFrame:
+    """The tables of one key space, ``[(fact, key, day, measures)]``, stacked as
+    ``packed_rows``, joined once to its bridge on ``_k`` and summed per
+    (keep..., stat_date, by...); long form out, one row per group and measure
+    that had rows."""
+    measures = {m.name: m for *_, ms in sources for m in ms}
+    bits = {name: i for i, name in enumerate(measures)}
+    width = max(len(_slots(ms)) for *_, ms in sources)
+    where: dict[str, set[int]] = {}
+    for *_, ms in sources:
+        slots = [id(a) for a in _slots(ms)]
+        for m in ms:
+            where.setdefault(m.name, set()).add(slots.index(id(m.amount)))
+    if len(measures) > 62 or any(len(s) > 1 for s in where.values()):
+        raise ValueError("at most 62 measures a key space, each with its amount in one column")
+    rows = reduce(lambda a, b: a.unionByName(b), [packed_rows(fact, key=key, day=day, measures=ms, bits=bits, width=width, by=by)
+                                                  for fact, key, day, ms in sources])
     need = list(dict.fromkeys([*keep, "platform_id"]))
-    j = rows.join(bridge.drop(*(c for c in bridge.columns if c not in ("_src", "_k", *need))), ["_src", "_k"])
-    long = j.select(*need, "stat_date", *by, F.inline("_m"))
-    ok = F.col("_ok") & (F.col("_platform").isNull() | (F.col("platform_id") == F.col("_platform")))
-    return long.filter(ok).select(*keep, "stat_date", *by, "metric", "amount")
+    j = rows.join(bridge.drop(*(c for c in bridge.columns if c not in ("_k", *need))), "_k")
+    aggs = []
+    for i, m in enumerate(measures.values()):
+        counts = F.col("_m").bitwiseAND(F.lit(1 << i).cast("bigint")) != 0
+        if m.platform is not None:
+            counts = counts & (F.col("platform_id") == F.lit(m.platform))
+        (slot,) = where[m.name]
+        aggs += [F.sum(F.when(counts, F.col(f"_a{slot}"))).alias(f"_s{i}"), F.count_if(counts).alias(f"_n{i}")]
+    g = j.groupBy(*keep, "stat_date", *by).agg(*aggs)
+    entries = [F.struct(F.lit(name).alias("metric"), F.coalesce(F.col(f"_s{i}"), F.lit(0).cast(AMOUNT)).alias("amount"),
+                        (F.col(f"_n{i}") > 0).alias("_ok")) for i, name in enumerate(measures)]
+    return g.select(*keep, "stat_date", *by, F.inline(F.array(*entries))).filter("_ok").drop("_ok")
 
 
 def sum_by(long: DataFrame, grain: tuple[str, ...]) -> DataFrame:
@@ -134,7 +153,7 @@ def sum_by(long: DataFrame, grain: tuple[str, ...]) -> DataFrame:
 
 def ledger_long_many(sources, bridge: DataFrame, *, keep: tuple[str, ...] = ("customer_id",),
                      by: tuple[str, ...] = (), bridge_rows: int | None = None,
-                     max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+                     max_broadcast_bytes: int = MAX_BROADCAST_BYTES, settle=None) -> DataFrame:
     """Long form of many fact tables ``[(fact, key, day, measures, tag)]``
     joined once to a unified bridge keyed ``(_src, _k)``.
 
@@ -143,10 +162,11 @@ def ledger_long_many(sources, bridge: DataFrame, *, keep: tuple[str, ...] = ("cu
     ``max_broadcast_bytes`` the bridge is
     broadcast and joined to the stacked rows of all tables map-side (one
     conditional sum per measure, measures of other tables are NULL), and only
-    the partial sums per customer and day shuffle.  Beyond the bound every
-    fact is first pre-aggregated on its own key and day, the pre-aggregates
-    are stacked and joined once, so the shuffled join moves at most one row
-    per key, day and task.
+    the partial sums per customer and day shuffle.  Beyond the bound the
+    tables of each key space are stacked as narrow rows and joined to their
+    part of the bridge, so a fact row is shuffled once, and only the sums per
+    customer and day after that.  ``settle(part, tag)``, if given, takes each
+    key space's sums there (``operators.parts``).
     """
     if fits(bridge_rows, max_broadcast_bytes):
         measures = list({m.name: m for _, _, _, ms, _ in sources for m in ms}.values())
@@ -154,11 +174,17 @@ def ledger_long_many(sources, bridge: DataFrame, *, keep: tuple[str, ...] = ("cu
                  for fact, key, day, ms, tag in sources]
         rows = reduce(lambda a, c: a.unionByName(c, allowMissingColumns=True), parts)
         return sum_columns(rows, F.broadcast(bridge), measures, keep=keep, by=by)
-    parts = [preaggregate(fact, key=key, day=day, measures=ms, by=by, tag=tag)
-             for fact, key, day, ms, tag in sources]
-    rows = reduce(lambda a, b: a.unionByName(b), parts)
+    spaces: dict[str, list] = {}
+    for fact, key, day, ms, tag in sources:
+        spaces.setdefault(tag, []).append((fact, key, day, ms))
     bridge = broadcast_if_small(bridge, bridge_rows, max_broadcast_bytes)
-    return sum_by(attach_bridge(rows, bridge, keep=keep, by=by), (*keep, "stat_date", *by))
+    parts = [sum_packed(tables, bridge.where(F.col("_src") == tag), keep=keep, by=by) for tag, tables in spaces.items()]
+    parts = [part if settle is None else settle(part, tag) for part, tag in zip(parts, spaces, strict=True)]
+    long = reduce(lambda a, b: a.unionByName(b), parts)
+    names = [{m.name for *_, ms in tables for m in ms} for tables in spaces.values()]
+    if sum(map(len, names)) == len(set().union(*names)):  # each measure in one key space: already summed
+        return long
+    return sum_by(long, (*keep, "stat_date", *by))
 
 
 def sum_long(long: DataFrame, names: list[str], *, grain: tuple[str, ...]) -> DataFrame:

@@ -18,6 +18,7 @@ from ..functions.columns import (cents_to_units, day_of, epoch_seconds_day, mone
                                  units_to_money)
 from ..operators.bridge import project_bridge, unified_bridge
 from ..operators.ledger import Measure, ledger_long_many, sum_long
+from ..operators.parts import settled
 from ..operators.sizing import MAX_BROADCAST_BYTES, fits
 from ..sources.tables import Sources
 
@@ -117,6 +118,12 @@ def bridge_rows(src: Sources, tags) -> int:
     return sum(sizes["projects" if t == "project" else f"{t}_accounts"] for t in tags)
 
 
+def part(df: DataFrame, name: str, src: Sources, p: Params | None) -> DataFrame:
+    """``df`` as a part of a job over several ledgers: settled by itself where the accounts are beyond the bound."""
+    rows = bridge_rows(src, ("gdt", "tt", "wechat", "project"))
+    return df if fits(rows, (p or Params()).max_broadcast_bytes) else settled(df, name)
+
+
 def _gdt(src: Sources, p: Params) -> FactSource:
     tt, at = F.col("trade_type"), F.col("account_type")
     amt = cents_to_units("amount")
@@ -131,34 +138,36 @@ def _gdt(src: Sources, p: Params) -> FactSource:
 
 def _tt_transfers(src: Sources, p: Params) -> FactSource:
     xt = F.col("transaction_type") == TT_TRANSFER
-    agents = list(p.agents) or [None]
+    agents, amt = list(p.agents) or [None], money_units("amount")
     return FactSource(src.tt_transfers, "account_id", "tt", day_of("create_time"), ts="create_time", measures=[
-        Measure("deposit_all_tt", money_units("amount"), xt & F.col("remitter").isin(*agents), TT),
-        Measure("refund_all_tt", money_units("amount"), xt & F.col("payee").isin(*agents), TT),
+        Measure("deposit_all_tt", amt, xt & F.col("remitter").isin(*agents), TT),
+        Measure("refund_all_tt", amt, xt & F.col("payee").isin(*agents), TT),
     ])
 
 
 def _wechat_statements(src: Sources, p: Params) -> FactSource:
-    wt = F.col("trade_type")
+    wt, amt = F.col("trade_type"), cents_to_units("amount")
     return FactSource(src.wechat_statements, "account_id", "wechat", epoch_seconds_day("wechat_time", p.tz),
                       ts="wechat_time", epoch=True, measures=[
-        Measure("deposit_all_wechat", cents_to_units("amount"), wt == WECHAT_DEPOSIT, WECHAT),
-        Measure("refund_all_wechat", cents_to_units("amount"), wt == WECHAT_REFUND, WECHAT),
+        Measure("deposit_all_wechat", amt, wt == WECHAT_DEPOSIT, WECHAT),
+        Measure("refund_all_wechat", amt, wt == WECHAT_REFUND, WECHAT),
     ])
 
 
 def _wechat_daily(src: Sources, p: Params) -> FactSource:
+    cost = cents_to_units("cost")
     return FactSource(src.wechat_daily, "account_id", "wechat", day_of("date"), ts="date", measures=[
-        Measure("total_cost_wechat", cents_to_units("cost")),
-        Measure("income_base_wechat", cents_to_units("cost")),
+        Measure("total_cost_wechat", cost),
+        Measure("income_base_wechat", cost),
     ])
 
 
 def _tt_daily(src: Sources, p: Params) -> FactSource:
+    spend = money_units("cash_cost") + money_units("reward_cost")
     return FactSource(src.tt_daily, "account_id", "tt", day_of("date"), ts="date", measures=[
         Measure("cb_tt", money_units("cash_cost")),
-        Measure("total_cost_tt", money_units("cash_cost") + money_units("reward_cost")),
-        Measure("income_base_tt", money_units("reward_cost") + money_units("cash_cost")),
+        Measure("total_cost_tt", spend),
+        Measure("income_base_tt", spend),
     ])
 
 
@@ -211,12 +220,13 @@ def fact_sources(src: Sources, p: Params | None = None, names=None) -> dict[str,
 
 
 def facts_long(src: Sources, names: list[str] | None = None, *, p: Params | None = None,
-               keep: tuple[str, ...] = ("customer_id",), by: tuple[str, ...] = ()) -> DataFrame:
+               keep: tuple[str, ...] = ("customer_id",), by: tuple[str, ...] = (), apart: bool = False) -> DataFrame:
     """Long rows ``(keep..., stat_date, by..., metric, amount)`` of the named
     measures (all when ``names`` is None).
 
     One scan per source table; the tables are stacked, joined to the unified
-    bridge once and summed per group (see ``operators.ledger``).
+    bridge and summed per group (see ``operators.ledger``).  ``apart``: beyond the
+    broadcast bound the key spaces are settled one after the other (``operators.parts``).
     """
     sources, tags = [], []
     window = (p or Params()).window
@@ -230,7 +240,8 @@ def facts_long(src: Sources, names: list[str] | None = None, *, p: Params | None
         raise KeyError(f"unknown measures {names}")
     rows, bound = bridge_rows(src, tags), (p or Params()).max_broadcast_bytes
     return ledger_long_many(sources, bridges(src, tags, small=fits(rows, bound)), keep=keep, by=by, bridge_rows=rows,
-                            max_broadcast_bytes=bound)
+                            max_broadcast_bytes=bound,
+                            settle=(lambda df, tag: settled(df, f"ledger-{tag}")) if apart else None)
 
 
 def fact_daily(src: Sources, names: list[str], *, p: Params | None = None,
@@ -323,7 +334,7 @@ def spend_by_entity(src, p=None, *, long: DataFrame | None = None, units: bool =
     as ``facts_long`` gives them) that already hold the income-base measures;
     ``units``: keep ``cost`` in integer units."""
     if long is None:
-        long = facts_long(src, list(INCOME_BASE), p=p, keep=("customer_id", "entity_id"))
+        long = facts_long(src, list(INCOME_BASE), p=p, keep=("customer_id", "entity_id"), apart=True)
     # one row per (customer, entity, day, metric) and one platform per metric: a projection
     platform = remap("metric", INCOME_BASE, default=None, keep_others=False)
     out = long.filter(F.col("metric").isin(*INCOME_BASE)).select(
@@ -359,17 +370,18 @@ def invoices_daily(src: Sources, **kw) -> DataFrame:
 
 
 def receipt_units(src: Sources, *, window=None) -> DataFrame:
-    """``(customer_id, stat_date, arrive_amount)`` in integer units.  Lines are
-    summed per order and day before the join with their order."""
+    """``(customer_id, stat_date, arrive_amount)`` in integer units.  An order
+    counts only if its entity is its customer's: that is settled on the orders,
+    so a line is shuffled once, with its order's key, its day and its amount."""
     lines = src.receipt_lines.filter(F.col("is_delete") == 0)
     if window is not None:
         lines = lines.filter(day_window("receipt_date", day_of("receipt_date"), window))
-    lines = (lines.groupBy(F.col("arrival_money_order_id").alias("_order"),
-                      day_of("receipt_date").alias("stat_date"))
-             .agg(F.sum(money_units("receipt_money")).alias("_amt")))
-    heads = src.receipt_heads.select(F.col("id").alias("_order"), "customer_id", "customer_entity_id")
+    lines = lines.select(F.col("arrival_money_order_id").alias("_order"), day_of("receipt_date").alias("stat_date"),
+                         money_units("receipt_money").alias("_amt"))
     ents = src.entities.select(F.col("id").alias("customer_entity_id"), "customer_id")
-    j = lines.join(heads.hint("merge"), "_order").join(ents, ["customer_entity_id", "customer_id"])
+    heads = src.receipt_heads.select(F.col("id").alias("_order"), "customer_id", "customer_entity_id").join(
+        ents, ["customer_entity_id", "customer_id"]).select("_order", "customer_id")
+    j = lines.join(heads.hint("merge"), "_order")
     return j.groupBy("customer_id", "stat_date").agg(F.sum("_amt").alias("arrive_amount"))
 
 

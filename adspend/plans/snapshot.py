@@ -1,7 +1,7 @@
 """The customer-day snapshot: one row per customer and day with every
 deposit, refund, spend, cost basis, invoice, receipt and income figure.
 
-Plan: every ledger table is scanned once and pre-aggregated on its own key;
+Plan: every ledger table is scanned once and summed per customer and day;
 all measures are stacked in long form and pivoted with one aggregate on
 (customer, day); the result is left-joined once to the customer x day spine.
 The only fan-out is the spine itself (customers x days, made by
@@ -21,7 +21,7 @@ from ..operators.ledger import sum_long
 from ..sources.tables import Sources
 from .contracts import net_income
 from ..functions.columns import optional_column, units_to_money
-from .facts import INCOME_BASE, Params, facts_long, invoice_units, receipt_units, spend_by_entity, to_date
+from .facts import INCOME_BASE, Params, facts_long, invoice_units, part, receipt_units, spend_by_entity, to_date
 
 JOINED = ["deposit_yxt_cash", "deposit_yxt_gift", "deposit_all_gdt", "deposit_all_tt",
           "deposit_all_wechat", "refund_all_gdt", "refund_all_tt", "refund_all_wechat",
@@ -56,16 +56,18 @@ def snapshot_long(src: Sources, p: Params | None = None) -> DataFrame:
     amount)``, amounts in integer units.
 
     The ledger tables are read once: the customer-level measures and the
-    entity-level spend behind net income come out of the same pass.
+    entity-level spend behind net income come out of the same pass.  Beyond the
+    broadcast bound each part is settled by itself, so that the shuffle files
+    of all ledgers never lie on the disk together.
     """
     ledger_names = [m for m in JOINED if m not in ("invoice_amount", "arrive_amount")]
-    ledger = facts_long(src, ledger_names + list(INCOME_BASE), p=p, keep=("customer_id", "entity_id"))
+    ledger = facts_long(src, ledger_names + list(INCOME_BASE), p=p, keep=("customer_id", "entity_id"), apart=True)
     window = (p or Params()).window
     parts = [ledger.filter(~F.col("metric").isin(*INCOME_BASE))
              .select("customer_id", "stat_date", "metric", "amount"),
-             _long(invoice_units(src, window=window), "invoice_amount"),
-             _long(receipt_units(src, window=window), "arrive_amount"),
-             net_income(src, p, spend=spend_by_entity(src, p, long=ledger, units=True), units=True)]
+             part(_long(invoice_units(src, window=window), "invoice_amount"), "invoices", src, p),
+             part(_long(receipt_units(src, window=window), "arrive_amount"), "receipts", src, p),
+             part(net_income(src, p, spend=spend_by_entity(src, p, long=ledger, units=True), units=True), "income", src, p)]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
