@@ -11,10 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..session import scratch_path
-
-#: Spark removes a query's shuffle files when the query ends (else when the driver happens to collect garbage).
-CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+from ..session import scratch_path, shuffles_removed
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
@@ -24,13 +21,6 @@ def settled(df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(spark, name)
     except ValueError:
         return df
-    before = spark.conf.get(CLEAN_UP, None)
-    spark.conf.set(CLEAN_UP, "true")
-    try:
+    with shuffles_removed(spark):
         df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(CLEAN_UP)
-        else:
-            spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)

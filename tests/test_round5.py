@@ -6,9 +6,10 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from adspend.operators.parts import CLEAN_UP, settled
+from adspend.operators.parts import settled
 from adspend.plans import facts as Fa
 from adspend.plans.snapshot import JOINED, customer_day_snapshot, snapshot_long
+from adspend.session import CLEAN_UP
 from adspend.testkit.queries import PARAMS
 from adspend.testkit.standins import TEST_AS_OF, TEST_START, TestTables, build_sources
 
